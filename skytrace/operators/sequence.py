@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skytrace.operators.lineage import cut
+
 CHUNK_ROWS = 1 << 20
 
 
@@ -52,3 +54,35 @@ def drop_first_seen_duplicates(
 ) -> DataFrame:
     """Distinct ``values`` with the smallest ``order`` at which each occurs."""
     return df.groupBy(*values).agg(F.min(order).alias(order))
+
+
+def number_globally(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Dense numbers 1, 2, ... over the whole of ``df`` in the given (total) order.
+
+    Rows are range partitioned, numbered inside their range, and shifted by the sizes of the
+    ranges before; the ranges are fixed by a checkpoint, so both uses see the same ones.
+    """
+    ranged = cut(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    )
+    return number_rows(ranged, [], "_range", order, name).drop("_range")
+
+
+def with_next_vertex(
+    vertices: DataFrame, line: str = "row_id", chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """Add ``next_x``/``next_y`` to lines whose ``vertex_no`` counts 0, 1, 2, ... per line.
+
+    The first vertex of each chunk is also sent to the chunk before it, so one shuffle is enough
+    and no line has to fit in a task.
+    """
+    home = chunk_of(F.col("vertex_no"), chunk_rows)
+    opens_chunk = (F.col("vertex_no") > 0) & (F.col("vertex_no") % chunk_rows == 0)
+    homes = F.when(opens_chunk, F.array(home, home - 1)).otherwise(F.array(home))
+    order = Window.partitionBy(line, "_chunk").orderBy("vertex_no")
+    return (
+        vertices.withColumn("_chunk", F.explode(homes))
+        .withColumns({f"next_{c}": F.lead(c).over(order) for c in ("x", "y")})
+        .filter(F.col("_chunk") == home)
+        .drop("_chunk")
+    )
