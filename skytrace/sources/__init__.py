@@ -1 +1,12 @@
 """Readers and writers."""
+
+from pyspark.sql import SparkSession
+
+
+def register(spark: SparkSession) -> None:
+    """Make the ``shp`` and ``las`` formats known to a session."""
+    from skytrace.sources.las import LasDataSource
+    from skytrace.sources.shapefile import ShapefileDataSource
+
+    spark.dataSource.register(ShapefileDataSource)
+    spark.dataSource.register(LasDataSource)
