@@ -24,10 +24,10 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b))
 
 
-def track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight back-and-forth flights over ``events``: passes of 50 fixes, then turns of six."""
+def track(spark: SparkSession, sf_dir: str, flights: int = 8) -> DataFrame:
+    """Back-and-forth flights over ``events``: passes of 50 fixes, then turns of six."""
     events = table(spark, sf_dir, "events").select(
-        (F.col("user_id") % 8).cast("string").alias("flight"),
+        (F.col("user_id") % flights).cast("string").alias("flight"),
         "event_id",
         "event_type",
         (F.col("value") - F.floor("value")).alias("u"),
@@ -61,8 +61,8 @@ def track(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vertices of one three-vertex line per part: ``row_id, direction, vertex_no, x, y``."""
+def line_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One three-vertex line per part: ``id, direction, coords``."""
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("long").alias("row_id"),
         _div(F.col("p_partkey"), 4).alias("r"),
@@ -86,15 +86,24 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         vertex(100 * sg + 96, 50 * r, 50 * r + 25),
     )
     return part.select(
-        "row_id",
+        F.col("row_id").alias("id"),
         F.when(r % 2 == 0, g.EAST_WEST).otherwise(g.NORTH_SOUTH).alias("direction"),
-        F.posexplode(vertices).alias("pos", "v"),
-    ).select(
-        "row_id",
-        "direction",
-        F.col("pos").cast("long").alias("vertex_no"),
-        F.col("v.x").alias("x"),
-        F.col("v.y").alias("y"),
+        vertices.alias("coords"),
+    )
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vertices of the line layer: ``row_id, direction, vertex_no, x, y``."""
+    return (
+        line_layer(spark, sf_dir)
+        .select(F.col("id").alias("row_id"), "direction", F.posexplode("coords").alias("pos", "v"))
+        .select(
+            "row_id",
+            "direction",
+            F.col("pos").cast("long").alias("vertex_no"),
+            F.col("v.x").alias("x"),
+            F.col("v.y").alias("y"),
+        )
     )
 
 
@@ -133,7 +142,7 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ring_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Endpoint layers of one project per order customer group, with many distance ties."""
+    """Endpoints of one project per thirty customers, with many distance ties."""
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
         _div(key, 30).alias("project_id"),
