@@ -23,6 +23,7 @@ from skytrace.operators.sequence import (
     CHUNK_ROWS,
     chunk_of,
     drop_first_seen_duplicates,
+    number_globally,
     number_rows,
     running_offsets,
 )
@@ -367,15 +368,18 @@ def production_vertices(
 ) -> DataFrame:
     """The vertices of the production lines, one row each, ``seq`` giving their order.
 
-    ``next_x``/``next_y`` are the following vertex of the same line (NULL at its end), so each
+    ``row_id`` numbers the lines of all flights by (flight, id). ``next_x``/``next_y`` are the following vertex of the same line (NULL at its end), so each
     row but the last of a line is also a segment.
     """
     pieces = FlightPieces(track, srid, chunk_rows)
     numbered = cut(numbered_stretches(pieces))
     runs = long_runs(cut(all_runs(numbered)), pieces)
-    kept = number_rows(runs, ["flight"], "chunk", ["run"], "id").select(
+    kept = number_globally(
+        number_rows(runs, ["flight"], "chunk", ["run"], "id"), ["flight", "run"], "row_id"
+    ).select(
         "flight",
         "run",
+        "row_id",
         F.col("id").cast("int").alias("id"),
         "direction",
         F.col("last_seq").alias("line_end"),
@@ -383,7 +387,7 @@ def production_vertices(
     lines = _by_stretch(
         pieces,
         numbered.join(kept, ["flight", "run"]),
-        ["id", "direction", "line_end", "last_seq", "next_u", "next_v"],
+        ["row_id", "id", "direction", "line_end", "last_seq", "next_u", "next_v"],
         "lines",
     )
     points = pieces.points().select(*CHUNK, "seq", "stretch", "u", "v", "next_u", "next_v")
@@ -395,6 +399,7 @@ def production_vertices(
     ahead = F.col("seq") < F.col("line.line_end")
     crossing = F.col("seq") == F.col("line.last_seq")
     return at.select(
+        F.col("line.row_id").alias("row_id"),
         "flight",
         F.col("line.id").alias("id"),
         F.col("line.direction").alias("direction"),

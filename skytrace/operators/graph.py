@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 from skytrace.operators.lineage import cut
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    # xxhash64 keeps both sums far from overflow after the shift.
-    mixed = F.shiftright(F.xxhash64("src", "dst"), 24)
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(mixed)).first())
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Does every node either point to exactly one root or be pointed to, but not both?"""
+    roles = edges.select(F.col("src").alias("node"), F.lit(1).alias("out")).unionByName(
+        edges.select(F.col("dst").alias("node"), F.lit(0).alias("out"))
+    )
+    mixed = (
+        roles.groupBy("node")
+        .agg(F.sum("out").alias("out"), F.min("out").alias("least"))
+        .filter((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("least") == 0)))
+    )
+    return mixed.isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -29,13 +36,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .select(F.least("src", "dst").alias("dst"), F.greatest("src", "dst").alias("src"))
         .distinct()
     )
-    before = _fingerprint(current)
-    while before[0]:
+    while not _is_star_forest(current):
         current = cut(_small_star(_large_star(current)))
-        after = _fingerprint(current)
-        if after == before:
-            break
-        before = after
     members = current.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     roots = current.select(F.col("dst").alias("node"), F.col("dst").alias("component"))
     return members.union(roots.distinct())
@@ -43,9 +45,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least of the node and its neighbours."""
-    both = edges.union(edges.select(F.col("src").alias("dst"), F.col("dst").alias("src")).select(
-        "dst", "src"
-    ))
+    flipped = edges.select(F.col("src").alias("dst"), F.col("dst").alias("src"))
+    both = edges.unionByName(flipped)
     least = both.groupBy("src").agg(F.min("dst").alias("least"))
     return (
         both.filter(F.col("dst") > F.col("src"))

@@ -26,20 +26,13 @@ CELL = ["direction", "cx", "cy"]
 
 
 def merge_input(vertices: DataFrame) -> DataFrame:
-    """Production vertices as a line layer: ``row_id`` orders lines by (flight, id).
+    """The vertices of ``flights.production_vertices`` as a line layer.
 
-    The id of a line stays below 2^31, so the flight's rank fills the upper half of ``row_id``.
+    ``vertex_no`` is the fix number, which grows along the line but need not be dense: the
+    segments are already given by ``next_x``/``next_y``.
     """
-    ranks = number_globally(vertices.select("flight").distinct(), ["flight"], "rank")
-    row_id = F.shiftleft(F.col("rank"), 32) + F.col("id")
-    return vertices.join(ranks, "flight").select(
-        row_id.alias("row_id"),
-        "direction",
-        F.col("seq").alias("vertex_no"),
-        "x",
-        "y",
-        "next_x",
-        "next_y",
+    return vertices.select(
+        "row_id", "direction", F.col("seq").alias("vertex_no"), "x", "y", "next_x", "next_y"
     )
 
 
@@ -80,8 +73,7 @@ def end_cells(lines: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
 def _nodes(points: DataFrame, size: float) -> DataFrame:
     """Distinct points gathered into square nodes of the given size.
 
-    A node with at most ``CELL_POINTS`` points carries them as an array; a fuller one carries none
-    and is told by ``n``.
+    A node with at most ``CELL_POINTS`` points carries them as an array; a fuller one carries none.
     """
     placed = points.withColumns({"sx": _cell("x", size), "sy": _cell("y", size)})
     key = [*CELL, "sx", "sy"]
@@ -91,7 +83,7 @@ def _nodes(points: DataFrame, size: float) -> DataFrame:
         .groupBy(*key)
         .agg(F.collect_list(F.struct("x", "y")).alias("points"))
     )
-    return sizes.join(light, key, "left")
+    return sizes.join(light, key, "left").drop("n")
 
 
 def _decided(pairs: DataFrame, size: float, tolerance: float) -> DataFrame:
@@ -116,15 +108,26 @@ def _decided(pairs: DataFrame, size: float, tolerance: float) -> DataFrame:
 
 
 def cell_links(lines: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """``direction, cx, cy, row_id``: some endpoint in the cell is within tolerance of the line.
+    """``direction, cx, cy, row_id``: some endpoint in the cell is within tolerance of the line."""
+    return _cell_links(lines, cut(end_cells(lines, tolerance)), tolerance)
 
-    Segments are keyed by a coarse grid over pieces no longer than one grid step, one row per
+
+def _cell_links(lines: DataFrame, ends: DataFrame, tolerance: float) -> DataFrame:
+    """Segments are keyed by a coarse grid over pieces no longer than one grid step, one row per
     piece; endpoint cells are spread over the (at most nine) grid squares their pieces can lie in.
     """
     step = 4 * tolerance
     side = _cell_side(tolerance)
-    points = end_cells(lines, tolerance).select(*CELL, "x", "y").distinct()
-    nodes = cut(_nodes(points, side))
+    points = ends.select(*CELL, "x", "y").distinct()
+    crowded = cut(
+        points.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL_POINTS)
+    )
+    any_crowded = not crowded.isEmpty()
+    if any_crowded:
+        nodes = cut(_nodes(points, side))
+    else:
+        nodes = ends.groupBy(*CELL).agg(F.collect_set(F.struct("x", "y")).alias("points"))
+        nodes = nodes.withColumns({"sx": F.col("cx"), "sy": F.col("cy")})
     around = [
         F.sequence(
             F.floor((F.col(c) * side - 3 * tolerance) / step),
@@ -141,20 +144,23 @@ def cell_links(lines: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
         segments(lines)
         .withColumn("pieces", pieces)
         .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
-        .withColumns(
-            {
-                "gx": F.floor((F.col("x") + (F.col("next_x") - F.col("x")) * share) / step),
-                "gy": F.floor((F.col("y") + (F.col("next_y") - F.col("y")) * share) / step),
-            }
+        .select(
+            "row_id",
+            "direction",
+            "x",
+            "y",
+            "next_x",
+            "next_y",
+            *[
+                F.floor((F.col(c) + (F.col(f"next_{c}") - F.col(c)) * share) / step).alias(f"g{c}")
+                for c in ("x", "y")
+            ],
         )
-        .select("row_id", "direction", "x", "y", "next_x", "next_y", "gx", "gy")
     )
     pairs = keyed.join(spread, ["direction", "gx", "gy"]).drop("gx", "gy")
     decided = _decided(pairs, side, tolerance)
-    link = [*CELL, "row_id"]
-    links = decided.filter("near").select(*link)
-    crowded = nodes.filter(F.col("points").isNull())
-    if not crowded.isEmpty():
+    links = decided.filter("near").select(*CELL, "row_id")
+    if any_crowded:
         links = links.unionByName(_crowded_links(decided, points, crowded, side, tolerance))
     return links.distinct()
 
@@ -166,7 +172,7 @@ def _crowded_links(
     found = decided.select(*CELL, "row_id").filter(F.lit(False))
     held = [*CELL, "sx", "sy", "row_id", "x", "y", "next_x", "next_y"]
     open_pairs = cut(decided.filter(F.col("near").isNull()).select(*held).distinct())
-    points = points.join(crowded.select(*CELL).distinct(), CELL, "left_semi")
+    points = points.join(crowded, CELL, "left_semi")
     while not open_pairs.isEmpty():
         size /= SPLIT
         children = _nodes(points, size).withColumns(
@@ -201,13 +207,13 @@ def proximity_groups(
     """
     if mode not in ("directed", "weak"):
         raise ValueError(f"unknown mode {mode!r}")
-    ends = cut(end_cells(lines, tolerance).select(*CELL, "row_id").distinct())
+    ends = cut(end_cells(lines, tolerance))
     leaders = ends.groupBy(*CELL).agg(F.min("row_id").alias("leader"))
-    members = cut(ends.join(leaders, CELL).select("row_id", "leader"))
+    members = cut(ends.select(*CELL, "row_id").join(leaders, CELL).select("row_id", "leader"))
     same_cell = members.select(F.col("row_id").alias("src"), F.col("leader").alias("dst"))
     # leader of the cell -> leaders of the cells the nearby line ends in
     arrows = cut(
-        cell_links(lines, tolerance)
+        _cell_links(lines, ends, tolerance)
         .join(leaders, CELL)
         .select(F.col("leader").alias("src"), "row_id")
         .distinct()
@@ -216,7 +222,7 @@ def proximity_groups(
         .filter(F.col("src") != F.col("dst"))
         .distinct()
     )
-    rows = lines.select("row_id", "direction").distinct()
+    rows = ends.select("row_id", "direction").distinct()
     if mode == "weak":
         components = graph.connected_components(same_cell.unionByName(arrows))
         return _named(rows, components, "component")
@@ -321,15 +327,20 @@ def merged_lines(lines: DataFrame, groups: DataFrame) -> DataFrame:
 def ordered_lines(merged: DataFrame) -> DataFrame:
     """Number merged lines 1, 2, ...: North-South from west to east, then East-West from north
     to south, then all others from south to north; equal centroids by group.
+
+    Centroids are compared to six decimals, because a distributed sum may end in other last bits.
     """
     ranked = merged.withColumns(
         {
             "block": F.when(F.col("direction") == g.NORTH_SOUTH, 0)
             .when(F.col("direction") == g.EAST_WEST, 1)
             .otherwise(2),
-            "place": F.when(F.col("direction") == g.NORTH_SOUTH, F.col("cx"))
-            .when(F.col("direction") == g.EAST_WEST, -F.col("cy"))
-            .otherwise(F.col("cy")),
+            "place": F.round(
+                F.when(F.col("direction") == g.NORTH_SOUTH, F.col("cx"))
+                .when(F.col("direction") == g.EAST_WEST, -F.col("cy"))
+                .otherwise(F.col("cy")),
+                6,
+            ),
         }
     )
     return number_globally(ranked, ["block", "place", "grp"], "id").drop("block", "place")

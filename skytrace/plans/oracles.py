@@ -247,7 +247,8 @@ merged AS (
   SELECT c.*, e.most_x, e.most_y, e.least_x, e.least_y,
     row_number() OVER (ORDER BY
       CASE c.direction WHEN 'N - S' THEN 0 WHEN 'E - W' THEN 1 ELSE 2 END,
-      CASE c.direction WHEN 'N - S' THEN cx WHEN 'E - W' THEN -cy ELSE cy END, c.grp) AS id
+      round(CASE c.direction WHEN 'N - S' THEN cx WHEN 'E - W' THEN -cy ELSE cy END, 6), c.grp
+      ) AS id
   FROM centred c JOIN extremes e ON c.direction = e.direction AND c.grp = e.grp)"""
 
 CTES["layer_lists"] = """

@@ -96,7 +96,7 @@ def projected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def production_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flights.production_vertices(inputs.track(spark, sf_dir))
+    return flights.production_vertices(inputs.track(spark, sf_dir)).drop("row_id")
 
 
 @query
