@@ -172,16 +172,15 @@ def _stages(source: int, target: int) -> list[Stage]:
 def reproject_coords(coords: Column, source: int | str, target: int | str) -> Column:
     """Reproject an array of ``struct<x,y>`` vertices."""
     for stage in _stages(parse_srid(source), parse_srid(target)):
-        coords = F.transform(coords, lambda p, s=stage: F.struct(*_named(s, p)))
+        coords = _staged(coords, stage)
     return coords
 
 
-def _named(stage: Stage, p: Column) -> list[Column]:
-    class Fields(dict):
-        def __missing__(self, key: str) -> Column:
-            return p[key]
-
-    return [col.alias(name) for name, col in stage(Fields()).items()]
+def _staged(coords: Column, stage: Stage) -> Column:
+    # A stage reads its inputs by name, which a struct column allows like a dictionary.
+    return F.transform(
+        coords, lambda p: F.struct(*[col.alias(name) for name, col in stage(p).items()])
+    )
 
 
 def reproject_rings(rings: Column, source: int | str, target: int | str) -> Column:

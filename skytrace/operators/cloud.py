@@ -1,16 +1,19 @@
 """Cropping point clouds by polygons.
 
-The plane is cut into bands (y) and columns (x) whose sizes are powers of two, so the square of a
-point is exact. For each polygon a square knows either that it lies fully inside, or which edges a
-point in it must be tested against, plus the parity of the edges that lie entirely to its right.
-Points meet squares by equality, and a point is kept when some polygon holds it (left semi).
+The plane is cut into squares whose sides are powers of two, so the square of a point is exact. For
+each polygon a square knows either that it lies fully inside, or which edges a point in it must be
+tested against plus the parity of the edges that lie entirely to its right. Squares with too many
+edges are split again, so the work per point is bounded wherever the vertices crowd. Points meet
+squares by equality, and a point is kept when some polygon holds it (left semi).
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytrace.functions import geometry as g
@@ -18,7 +21,11 @@ from skytrace.functions.crs import reproject_rings
 from skytrace.operators.lineage import cut
 
 BROADCAST_BYTES = 64 << 20
+MAX_TESTS = 64
+SPLIT = 8
+MAX_LEVELS = 12
 SQUARE = ["band", "col"]
+EDGE = ["x1", "y1", "x2", "y2"]
 
 
 def ring_edges(polygons: DataFrame) -> DataFrame:
@@ -62,80 +69,159 @@ def _extent(edges: DataFrame):
     ).first()
 
 
-def polygon_cover(edges: DataFrame, height: float, width: float) -> DataFrame:
-    """``band, col, poly_id, odd, tests``: the squares that may hold points of a polygon.
+@dataclass(frozen=True)
+class CoverLevel:
+    """Squares ``band, col, odd, tests`` of one size; ``tests`` is NULL for squares fully inside.
 
-    ``tests`` is NULL for squares fully inside. Otherwise a point is inside when ``odd`` plus the
-    number of test edges its ray crosses is odd.
+    Elsewhere a point is inside when ``odd`` plus the number of test edges its ray crosses is odd.
+    """
+
+    height: float
+    width: float
+    squares: DataFrame
+    bytes: int
+
+
+def _level_squares(edges: DataFrame, regions: DataFrame, height: float, width: float):
+    """Squares of the regions ``poly_id, region, band_lo/hi, col_lo/hi, odd0`` at one size.
+
+    Returns ``(squares, tested)``: per polygon and square the parity of the edges to its right and
+    the number of edges to test, and those edges one per row.
     """
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    slope = (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     banded = (
-        edges.filter(F.col("y1") != F.col("y2"))
-        .withColumn("band", F.explode(F.sequence(F.floor(low / height), F.floor(high / height))))
+        edges.join(regions, ["poly_id", "region"])
+        .withColumns(
+            {
+                "from_band": F.greatest(F.floor(low / height), "band_lo"),
+                "to_band": F.least(F.floor(high / height), "band_hi"),
+            }
+        )
+        .filter(F.col("from_band") <= F.col("to_band"))
+        .withColumn("band", F.explode(F.sequence("from_band", "to_band")))
         .withColumns({"floor_y": F.col("band") * height, "roof_y": (F.col("band") + 1) * height})
+        .withColumns(
+            {
+                "at_floor": F.col("x1") + (F.greatest(low, "floor_y") - F.col("y1")) * slope,
+                "at_roof": F.col("x1") + (F.least(high, "roof_y") - F.col("y1")) * slope,
+                "spans": (low <= F.col("floor_y")) & (high >= F.col("roof_y")),
+            }
+        )
+        # One column of slack on each side absorbs the rounding of the two crossings.
+        .withColumns(
+            {
+                "first": F.floor(F.least("at_floor", "at_roof") / width) - 1,
+                "last": F.floor(F.greatest("at_floor", "at_roof") / width) + 1,
+            }
+        )
     )
-    slope = (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    at = [
-        F.col("x1") + (y - F.col("y1")) * slope
-        for y in (F.greatest(low, "floor_y"), F.least(high, "roof_y"))
-    ]
-    # One column of slack on each side absorbs the rounding of the two crossings.
-    banded = banded.select(
-        "poly_id",
-        "band",
-        F.struct("x1", "y1", "x2", "y2").alias("edge"),
-        ((low <= F.col("floor_y")) & (high >= F.col("roof_y"))).alias("spans"),
-        (F.floor(F.least(*at) / width) - 1).alias("first"),
-        (F.floor(F.greatest(*at) / width) + 1).alias("last"),
-    )
-    key = ["poly_id", "band"]
-    width_of_band = banded.groupBy(*key).agg(
-        F.min("first").alias("leftmost"), F.max("last").alias("rightmost")
-    )
-    ranged = banded.join(width_of_band, key)
-    columns = width_of_band.select(
-        *key,
-        F.explode(F.sequence("leftmost", "rightmost")).alias("col"),
-        F.lit(None).cast(ranged.schema["edge"].dataType).alias("edge"),
-        F.lit(0).alias("opens"),
-    )
-    tested_from = F.when(F.col("spans"), F.col("first")).otherwise(F.col("leftmost"))
-    tested = ranged.select(
-        *key, F.explode(F.sequence(tested_from, F.col("last"))).alias("col"), "edge",
-        F.lit(0).alias("opens"),
-    )
-    opened = ranged.filter("spans").select(
-        *key,
-        F.col("first").alias("col"),
-        F.lit(None).cast(ranged.schema["edge"].dataType).alias("edge"),
-        F.lit(1).alias("opens"),
+    place = ["poly_id", "region", *SQUARE]
+    # An edge that ends inside the band matters to every square on its left, too.
+    start = F.when(F.col("spans"), F.greatest("first", "col_lo")).otherwise(F.col("col_lo"))
+    tested = cut(
+        banded.withColumns({"start": start, "end": F.least("last", "col_hi")})
+        .filter(F.col("start") <= F.col("end"))
+        .withColumn("col", F.explode(F.sequence("start", "end")))
+        .select(*place, *EDGE)
+    )
+    opened = banded.filter(F.col("spans") & (F.col("first") > F.col("col_lo"))).select(
+        "poly_id", "region", "band", F.least("first", F.col("col_hi") + 1).alias("col")
     )
+    grid = regions.withColumn("band", F.explode(F.sequence("band_lo", "band_hi"))).withColumn(
+        "col", F.explode(F.sequence("col_lo", "col_hi"))
+    )
+
+    def counted(rows: DataFrame, tests: int, opens: int, odd: Column) -> DataFrame:
+        return rows.select(
+            *place, F.lit(tests).alias("tests"), F.lit(opens).alias("opens"), odd.alias("odd0")
+        )
+
+    nothing = F.lit(None).cast("long")
     to_the_right = (
-        Window.partitionBy(*key)
+        Window.partitionBy("poly_id", "region", "band")
         .orderBy(F.desc("col"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    squares = (
-        columns.unionByName(tested)
-        .unionByName(opened)
-        .groupBy(*key, "col")
-        .agg(F.collect_list("edge").alias("tests"), F.sum("opens").alias("opens"))
-        .withColumn("odd", F.coalesce(F.sum("opens").over(to_the_right), F.lit(0)) % 2)
-        .drop("opens")
-    )
-    boundary = squares.filter(F.size("tests") > 0).select(*SQUARE, "poly_id", "odd", "tests")
-    inside = (
-        squares.filter((F.size("tests") == 0) & (F.col("odd") == 1))
-        .select(*SQUARE)
-        .distinct()
-        .select(
+    squares = cut(
+        counted(grid, 0, 0, F.col("odd0"))
+        .unionByName(counted(tested, 1, 0, nothing))
+        .unionByName(counted(opened, 0, 1, nothing))
+        .groupBy(*place)
+        .agg(
+            F.sum("tests").alias("tests"),
+            F.sum("opens").alias("opens"),
+            F.max("odd0").alias("odd0"),
+        )
+        .withColumn("right", F.coalesce(F.sum("opens").over(to_the_right), F.lit(0)))
+        .filter(F.col("odd0").isNotNull())
+        .select(*place, "tests", ((F.col("odd0") + F.col("right")) % 2).alias("odd"))
+        .filter((F.col("tests") > 0) | (F.col("odd") == 1))
+    )
+    return squares, tested
+
+
+def polygon_cover(
+    edges: DataFrame, height: float, width: float, max_tests: int | None = None
+) -> list[CoverLevel]:
+    """Levels of squares that hold all points of the polygons; no two levels share any place."""
+    max_tests = MAX_TESTS if max_tests is None else max_tests
+    edges = edges.filter(F.col("y1") != F.col("y2")).withColumn("region", F.lit("all"))
+
+    def reach(c: str, size: float, slack: int) -> list[Column]:
+        low, high = F.least(f"{c}1", f"{c}2"), F.greatest(f"{c}1", f"{c}2")
+        return [F.floor(F.min(low) / size) - slack, F.floor(F.max(high) / size) + slack]
+
+    bands, cols = reach("y", height, 0), reach("x", width, 1)
+    regions = edges.groupBy("poly_id", "region").agg(
+        bands[0].alias("band_lo"),
+        bands[1].alias("band_hi"),
+        cols[0].alias("col_lo"),
+        cols[1].alias("col_hi"),
+        F.lit(0).cast("long").alias("odd0"),
+    )
+    levels = []
+    while True:
+        squares, tested = _level_squares(edges, regions, height, width)
+        full = squares.filter("tests = 0").select(*SQUARE).distinct()
+        crowded = squares.filter(F.col("tests") > max_tests).select(*SQUARE).distinct()
+        crowded = cut(crowded.join(full, SQUARE, "left_anti"))
+        splitting = len(levels) + 1 < MAX_LEVELS and not crowded.isEmpty()
+        kept = tested.join(full, SQUARE, "left_anti")
+        if splitting:
+            kept = kept.join(crowded, SQUARE, "left_anti")
+        place = ["poly_id", "region", *SQUARE]
+        partial = (
+            kept.groupBy(*place)
+            .agg(F.collect_list(F.struct(*EDGE)).alias("tests"))
+            .join(squares.drop("tests"), place)
+            .select(*SQUARE, "odd", "tests")
+        )
+        solid = full.select(
             *SQUARE,
-            F.lit(None).cast("long").alias("poly_id"),
             F.lit(1).cast("long").alias("odd"),
-            F.lit(None).cast(squares.schema["tests"].dataType).alias("tests"),
+            F.lit(None).cast(partial.schema["tests"].dataType).alias("tests"),
         )
-    )
-    return boundary.unionByName(inside)
+        cover = cut(partial.unionByName(solid))
+        weight = F.lit(64) + F.coalesce(F.size("tests"), F.lit(0)) * 40
+        size = cover.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+        levels.append(CoverLevel(height, width, cover, size))
+        if not splitting:
+            return levels
+        inner = F.concat_ws(":", "band", "col")
+        edges = tested.join(crowded, SQUARE, "left_semi").select(
+            "poly_id", inner.alias("region"), *EDGE
+        )
+        regions = squares.join(crowded, SQUARE, "left_semi").select(
+            "poly_id",
+            inner.alias("region"),
+            (F.col("band") * SPLIT).alias("band_lo"),
+            (F.col("band") * SPLIT + SPLIT - 1).alias("band_hi"),
+            (F.col("col") * SPLIT).alias("col_lo"),
+            (F.col("col") * SPLIT + SPLIT - 1).alias("col_hi"),
+            F.col("odd").alias("odd0"),
+        )
+        height, width = height / SPLIT, width / SPLIT
 
 
 def crop_points(
@@ -151,38 +237,44 @@ def crop_points(
     """
     rings = reproject_rings(F.col("rings"), polygon_srid, point_srid)
     edges = cut(
-        ring_edges(polygons.select(F.col("poly_id").cast("long").alias("poly_id"), rings.alias("rings")))
+        ring_edges(
+            polygons.select(F.col("poly_id").cast("long").alias("poly_id"), rings.alias("rings"))
+        )
     )
     extent = _extent(edges)
     if not extent["edges"]:
         return points.filter(F.lit(False))
-    bands = min(max(extent["edges"] // 4, 16), 1 << 16)
+    bands = min(max(extent["edges"] // 4, 16), 1 << 14)
     columns = min(max(8 * math.isqrt(extent["polygons"]), 32), 1024)
     height = _power_of_two(extent["y_max"] - extent["y_min"], bands)
     width = _power_of_two(extent["x_max"] - extent["x_min"], columns)
-    cover = cut(polygon_cover(edges, height, width))
-    size = cover.agg(
-        F.coalesce(F.sum(F.lit(64) + F.coalesce(F.size("tests"), F.lit(0)) * 40), F.lit(0))
-    ).first()[0]
+    near = points.filter(
+        F.col("x").between(extent["x_min"], extent["x_max"])
+        & F.col("y").between(extent["y_min"], extent["y_max"])
+    )
+    inside = [_inside(near, level) for level in polygon_cover(edges, height, width)]
+    return reduce(DataFrame.unionByName, inside)
+
+
+def _inside(points: DataFrame, level: CoverLevel) -> DataFrame:
+    placed = points.withColumns(
+        {"_band": F.floor(F.col("y") / level.height), "_col": F.floor(F.col("x") / level.width)}
+    )
+    squares = level.squares.withColumnsRenamed({"band": "_band", "col": "_col"})
+    if level.bytes <= BROADCAST_BYTES:
+        squares = F.broadcast(squares)
+    p, s = placed.alias("p"), squares.alias("s")
     crossed = F.size(
         F.filter(
-            "tests",
+            "s.tests",
             lambda e: g.edge_crossed(
-                F.col("x"), F.col("y"), e["x1"], e["y1"], e["x2"], e["y2"]
+                F.col("p.x"), F.col("p.y"), e["x1"], e["y1"], e["x2"], e["y2"]
             ),
         )
     )
-    names = cover.withColumnsRenamed({"band": "_band", "col": "_col"})
-    placed = points.filter(
-        F.col("x").between(extent["x_min"], extent["x_max"])
-        & F.col("y").between(extent["y_min"], extent["y_max"])
-    ).withColumns({"_band": F.floor(F.col("y") / height), "_col": F.floor(F.col("x") / width)})
-    p, c = placed.alias("p"), names.alias("c")
     condition = (
-        (F.col("p._band") == F.col("c._band"))
-        & (F.col("p._col") == F.col("c._col"))
-        & (F.col("c.tests").isNull() | ((F.col("c.odd") + crossed) % 2 == 1))
+        (F.col("p._band") == F.col("s._band"))
+        & (F.col("p._col") == F.col("s._col"))
+        & (F.col("s.tests").isNull() | ((F.col("s.odd") + crossed) % 2 == 1))
     )
-    if size <= BROADCAST_BYTES:
-        c = F.broadcast(c)
-    return p.join(c, condition, "left_semi").drop("_band", "_col")
+    return p.join(s, condition, "left_semi").drop("_band", "_col")
