@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 from skytrace.sources.files import file_size, list_files, read_range, remove_file, write_file
 
 RECORDS = 1 << 20
+FILE_POINTS = 1 << 22
 BATCH = 1 << 16
 
 # Layout of the point record formats.
@@ -155,67 +156,90 @@ def _batch(part: RecordRange, first: int, last: int) -> pa.RecordBatch:
 
 
 @dataclass
-class WrittenFile(WriterCommitMessage):
-    file: str | None
+class WrittenFiles(WriterCommitMessage):
+    files: list[str]
+
+
+class _OpenFile:
+    """Points gathered for one file and what its header says about them."""
+
+    def __init__(self) -> None:
+        self.chunks: list[bytes] = []
+        self.count = 0
+        self.lows, self.highs = np.full(3, np.inf), np.full(3, -np.inf)
+        self.returns = np.zeros(5, np.int64)
 
 
 class LasWriter(DataSourceArrowWriter):
-    """One LAS 1.2 file (format 3) per task; an attempt that fails leaves no file behind."""
+    """LAS 1.2 files (format 3), at least one per task with points; a new one every few million
+    points. A failed job removes the files its finished tasks left.
+    """
+
+    layout = np.dtype(FORMATS[WRITTEN_FORMAT])
 
     def __init__(self, options: dict[str, str]) -> None:
         self.path = options["path"].rstrip("/")
-        self.scale = [float(options.get("scale", 0.001))] * 3
-        self.shift = [float(options.get(f"offset_{c}", 0.0)) for c in "xyz"]
-
-    def write(self, iterator) -> WrittenFile:
-        layout = np.dtype(FORMATS[WRITTEN_FORMAT])
-        chunks: list[bytes] = []
-        count, lows, highs = 0, [np.inf] * 3, [-np.inf] * 3
-        returns = np.zeros(5, np.int64)
+        self.scale = np.full(3, float(options.get("scale", 0.001)))
+        self.shift = np.array([float(options.get(f"offset_{c}", 0.0)) for c in "xyz"])
+
+    def write(self, iterator) -> WrittenFiles:
+        files: list[str] = []
+        out = _OpenFile()
         for batch in iterator:
-            if not batch.num_rows:
-                continue
-            points = np.zeros(batch.num_rows, layout)
-            given = set(batch.schema.names)
-
-            def column(name: str, batch=batch) -> np.ndarray:
-                return np.nan_to_num(batch.column(name).to_numpy(zero_copy_only=False))
-
-            for i, c in enumerate("xyz"):
-                stored = np.rint((column(c) - self.shift[i]) / self.scale[i])
-                if np.abs(stored).max() >= 2**31:
-                    raise ValueError(f"{c} does not fit the LAS scale and offset given")
-                points[c.upper()] = stored
-                back = points[c.upper()] * self.scale[i] + self.shift[i]
-                lows[i], highs[i] = min(lows[i], back.min()), max(highs[i], back.max())
-            for name in layout.names[3:]:
-                if name in given:
-                    points[name] = column(name).astype(layout[name])
-            number = column("return_number") if "return_number" in given else np.ones(len(points))
-            total = column("number_of_returns") if "number_of_returns" in given else number
-            points["bits"] = (number.astype(int) & 7) | ((total.astype(int) & 7) << 3)
-            returns += np.bincount(np.clip(number.astype(int), 1, 5), minlength=6)[1:6]
-            count += len(points)
-            chunks.append(points.tobytes())
-        if not count:
-            return WrittenFile(None)
-        file = f"{self.path}/part-{uuid.uuid4().hex}.las"
+            if batch.num_rows:
+                self._add(out, batch)
+            if out.count >= FILE_POINTS:
+                files.append(self._finish(out))
+                out = _OpenFile()
+        if out.count:
+            files.append(self._finish(out))
+        return WrittenFiles(files)
+
+    def _add(self, out: _OpenFile, batch: pa.RecordBatch) -> None:
+        points = np.zeros(batch.num_rows, self.layout)
+        given = set(batch.schema.names)
+
+        def column(name: str) -> np.ndarray:
+            return np.nan_to_num(batch.column(name).to_numpy(zero_copy_only=False))
+
+        for i, c in enumerate("xyz"):
+            stored = np.rint((column(c) - self.shift[i]) / self.scale[i])
+            if np.abs(stored).max() >= 2**31:
+                raise ValueError(f"{c} does not fit the LAS scale and offset given")
+            points[c.upper()] = stored
+            back = points[c.upper()] * self.scale[i] + self.shift[i]
+            out.lows[i] = min(out.lows[i], back.min())
+            out.highs[i] = max(out.highs[i], back.max())
+        for name in self.layout.names[3:]:
+            if name in given:
+                points[name] = column(name).astype(self.layout[name])
+        ones = np.ones(len(points))
+        number = (column("return_number") if "return_number" in given else ones).astype(int)
+        total = column("number_of_returns").astype(int) if "number_of_returns" in given else number
+        points["bits"] = (number & 7) | ((total & 7) << 3)
+        out.returns += np.bincount(np.clip(number, 1, 5), minlength=6)[1:6]
+        out.count += len(points)
+        out.chunks.append(points.tobytes())
+
+    def _finish(self, out: _OpenFile) -> str:
         header = bytearray(HEADER_SIZE)
         header[0:4] = b"LASF"
         header[24:26] = bytes((1, 2))
         header[26:32] = b"export"
         struct.pack_into("<HII", header, 94, HEADER_SIZE, HEADER_SIZE, 0)
-        struct.pack_into("<BHI5I", header, 104, WRITTEN_FORMAT, layout.itemsize, count, *returns)
+        struct.pack_into(
+            "<BHI5I", header, 104, WRITTEN_FORMAT, self.layout.itemsize, out.count, *out.returns
+        )
         struct.pack_into("<6d", header, 131, *self.scale, *self.shift)
-        bounds = [b for i in range(3) for b in (highs[i], lows[i])]
-        struct.pack_into("<6d", header, 179, *bounds)
-        write_file(file, [bytes(header), *chunks])
-        return WrittenFile(file)
+        struct.pack_into("<6d", header, 179, *np.stack([out.highs, out.lows], axis=1).ravel())
+        file = f"{self.path}/part-{uuid.uuid4().hex}.las"
+        write_file(file, [bytes(header), *out.chunks])
+        return file
 
     def abort(self, messages) -> None:
         for message in messages:
-            if message is not None and message.file:
-                remove_file(message.file)
+            for file in message.files if message is not None else []:
+                remove_file(file)
 
 
 class LasDataSource(DataSource):

@@ -40,7 +40,8 @@ from skytrace.sources.files import (
 RECORDS = 1 << 16
 BATCH = 1 << 12
 TEXT_WIDTH = 254
-PART_LIMIT = (1 << 31) - (1 << 20)
+FILE_BYTES = 1 << 28
+RECORD_LIMIT = (1 << 31) - FILE_BYTES - (1 << 20)
 
 # Shape type codes.
 KINDS = {"point": 1, "line": 3, "polygon": 5}
@@ -247,9 +248,21 @@ class WrittenFiles(WriterCommitMessage):
     files: list[str]
 
 
+class _OpenFile:
+    """Records gathered for one shapefile."""
+
+    def __init__(self) -> None:
+        self.shapes: list[bytes] = []
+        self.index: list[bytes] = []
+        self.rows: list[bytes] = []
+        self.size = 100
+        self.low, self.high = np.full(2, np.inf), np.full(2, -np.inf)
+
+
 class ShapefileWriter(DataSourceArrowWriter):
-    """One shapefile per task. Text longer than a DBF field or a file beyond the format's limit
-    is an error, never cut short.
+    """At least one shapefile per task with rows, and a new one before a file grows too large.
+
+    Text longer than a DBF field or a feature beyond the format's limit is an error, never cut.
     """
 
     def __init__(self, options: dict[str, str], schema: T.StructType) -> None:
@@ -300,32 +313,39 @@ class ShapefileWriter(DataSourceArrowWriter):
         return head + starts.tobytes() + vertices.tobytes(), vertices
 
     def write(self, iterator) -> WrittenFiles:
-        shapes: list[bytes] = []
-        index: list[bytes] = []
-        rows: list[bytes] = []
-        size, low, high = 100, np.full(2, np.inf), np.full(2, -np.inf)
+        files: list[str] = []
+        out = _OpenFile()
         for batch in iterator:
             for row in batch.to_pylist():
-                body, vertices = struct.pack("<i", 0), None
-                if row["parts"]:
-                    body, vertices = self._record(row["parts"])
-                    low = np.minimum(low, vertices.min(axis=0))
-                    high = np.maximum(high, vertices.max(axis=0))
-                index.append(struct.pack(">2i", size // 2, len(body) // 2))
-                shapes.append(struct.pack(">2i", len(shapes) + 1, len(body) // 2) + body)
-                size += len(body) + 8
-                if size > PART_LIMIT:
-                    raise ValueError("too much geometry for one shapefile; use more partitions")
-                cells = (self._cell(row[n], letter, w) for n, letter, w, _ in self.fields)
-                rows.append(b" " + b"".join(cells))
-        if not rows:
-            return WrittenFiles([])
+                self._add(out, row)
+                if out.size >= FILE_BYTES:
+                    files += self._finish(out)
+                    out = _OpenFile()
+        if out.rows:
+            files += self._finish(out)
+        return WrittenFiles(files)
+
+    def _add(self, out: _OpenFile, row: dict) -> None:
+        body = struct.pack("<i", 0)
+        if row["parts"]:
+            body, vertices = self._record(row["parts"])
+            out.low = np.minimum(out.low, vertices.min(axis=0))
+            out.high = np.maximum(out.high, vertices.max(axis=0))
+        if len(body) > RECORD_LIMIT:
+            raise ValueError("a feature is too large for a shapefile record")
+        out.index.append(struct.pack(">2i", out.size // 2, len(body) // 2))
+        out.shapes.append(struct.pack(">2i", len(out.shapes) + 1, len(body) // 2) + body)
+        out.size += len(body) + 8
+        cells = (self._cell(row[n], letter, w) for n, letter, w, _ in self.fields)
+        out.rows.append(b" " + b"".join(cells))
+
+    def _finish(self, out: _OpenFile) -> list[str]:
         stem = f"{self.path}/part-{uuid.uuid4().hex}"
-        box = (*low, *high) if np.isfinite(low).all() else (0.0,) * 4
+        box = (*out.low, *out.high) if np.isfinite(out.low).all() else (0.0,) * 4
         outputs = {
-            ".shp": [self._main_header(size, box), *shapes],
-            ".shx": [self._main_header(100 + 8 * len(index), box), *index],
-            ".dbf": [self._table_header(len(rows)), *rows, b"\x1a"],
+            ".shp": [self._main_header(out.size, box), *out.shapes],
+            ".shx": [self._main_header(100 + 8 * len(out.index), box), *out.index],
+            ".dbf": [self._table_header(len(out.rows)), *out.rows, b"\x1a"],
             ".cpg": [self.encoding.encode("ascii")],
         }
         projection = projection_text(self.srid)
@@ -333,7 +353,7 @@ class ShapefileWriter(DataSourceArrowWriter):
             outputs[".prj"] = [projection.encode()]
         for extension, chunks in outputs.items():
             write_file(stem + extension, chunks)
-        return WrittenFiles([stem + extension for extension in outputs])
+        return [stem + extension for extension in outputs]
 
     def _main_header(self, size: int, box: tuple) -> bytes:
         return struct.pack(">7i", 9994, 0, 0, 0, 0, 0, size // 2) + struct.pack(
