@@ -13,8 +13,8 @@ from skytrace.functions import geometry as g
 from skytrace.operators.lineage import cut, ensure_checkpoint_dir
 from skytrace.operators.sequence import with_next_vertex
 
-IN_TASK = 20_000
-WALK = 10_000
+IN_TASK = 200_000
+WALK = 20_000
 RING = "pos long, point_id long, type string, x double, y double"
 
 

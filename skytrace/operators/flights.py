@@ -1,6 +1,7 @@
 """From GNSS tracks to production lines.
 
-Input is ``track(flight, seq, x, y, z)``: one row per fix, ``seq`` increasing along the flight.
+Input is ``track(flight, seq, x, y, z)``: one row per fix, ``seq`` counting the fixes of a flight (gaps
+are fine; clock times would make chunks of a few rows).
 The work runs in two levels so that a flight of any length spreads over many tasks:
 
 1. *Stretches*: inside ``(flight, chunk)`` consecutive fixes with the same heading group collapse
