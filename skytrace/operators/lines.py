@@ -70,40 +70,52 @@ def end_cells(lines: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     return line_ends(lines).withColumns({"cx": _cell("x", side), "cy": _cell("y", side)})
 
 
-def _nodes(points: DataFrame, size: float) -> DataFrame:
-    """Distinct points gathered into square nodes of the given size.
+def _exact_targets(points: DataFrame, tolerance: float) -> DataFrame:
+    limit = F.lit(tolerance * tolerance)
+    return points.select(
+        *CELL,
+        "sx",
+        "sy",
+        F.col("x").alias("tx"),
+        F.col("y").alias("ty"),
+        limit.alias("near2"),
+        limit.alias("open2"),
+    )
+
 
-    A node with at most ``CELL_POINTS`` points carries them as an array; a fuller one carries none.
+def _targets(points: DataFrame, size: float, tolerance: float) -> DataFrame:
+    """What segments are measured against: ``tx, ty`` with two limits of the squared distance.
+
+    Up to ``near2`` a segment is within tolerance of a point, beyond ``open2`` it is not. For a
+    point both limits are the tolerance. A square node of the given size with more than
+    ``CELL_POINTS`` distinct points is measured by its centre instead; its limits differ by its
+    half diagonal and a margin for rounding, and what falls between them must be split.
     """
     placed = points.withColumns({"sx": _cell("x", size), "sy": _cell("y", size)})
     key = [*CELL, "sx", "sy"]
     sizes = placed.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    light = (
-        placed.join(sizes.filter(F.col("n") <= CELL_POINTS), key, "left_semi")
-        .groupBy(*key)
-        .agg(F.collect_list(F.struct("x", "y")).alias("points"))
+    light = placed.join(sizes.filter(F.col("n") <= CELL_POINTS), key, "left_semi")
+    reach = size * 0.7072 + tolerance * 1e-9
+    full = sizes.filter(F.col("n") > CELL_POINTS).select(
+        *key,
+        ((F.col("sx") + 0.5) * size).alias("tx"),
+        ((F.col("sy") + 0.5) * size).alias("ty"),
+        F.lit((tolerance - reach) ** 2 if reach < tolerance else -1.0).alias("near2"),
+        F.lit((tolerance + reach) ** 2).alias("open2"),
     )
-    return sizes.join(light, key, "left").drop("n")
-
+    return _exact_targets(light, tolerance).unionByName(full)
 
-def _decided(pairs: DataFrame, size: float, tolerance: float) -> DataFrame:
-    """Add ``near``: true or false where the node decides it, NULL where it must be split.
 
-    A full node is judged by its centre and half diagonal, with a margin for rounding; whatever
-    is too close to call goes to smaller nodes and in the end to the points themselves.
-    """
-    ends = [F.col(c) for c in ("x", "y", "next_x", "next_y")]
-    limit = F.lit(tolerance * tolerance)
-    by_points = F.exists(
-        "points", lambda p: g.point_segment_distance2(p["x"], p["y"], *ends) <= limit
-    )
-    centre = F.sqrt(
-        g.point_segment_distance2((F.col("sx") + 0.5) * size, (F.col("sy") + 0.5) * size, *ends)
+def _measured(pairs: DataFrame) -> DataFrame:
+    """Pairs of segments and targets that are near or undecided, told apart by ``near``."""
+    squared = g.point_segment_distance2(
+        *[F.col(c) for c in ("tx", "ty", "x", "y", "next_x", "next_y")]
     )
-    reach = size * 0.7072 + tolerance * 1e-9
-    by_node = F.when(centre + reach <= tolerance, True).when(centre - reach > tolerance, False)
-    return pairs.withColumn(
-        "near", F.when(F.col("points").isNotNull(), by_points).otherwise(by_node)
+    return (
+        pairs.withColumn("d2", squared)
+        .filter(F.col("d2") <= F.col("open2"))
+        .withColumn("near", F.col("d2") <= F.col("near2"))
+        .select(*CELL, "sx", "sy", "row_id", "x", "y", "next_x", "next_y", "near")
     )
 
 
@@ -114,9 +126,9 @@ def cell_links(lines: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
 
 def _cell_links(lines: DataFrame, ends: DataFrame, tolerance: float) -> DataFrame:
     """Segments are keyed by a coarse grid over pieces no longer than one grid step, one row per
-    piece; endpoint cells are spread over the (at most nine) grid squares their pieces can lie in.
+    piece; endpoints are spread over the (at most sixteen) grid squares their pieces can lie in.
     """
-    step = 4 * tolerance
+    step = 2 * tolerance
     side = _cell_side(tolerance)
     points = ends.select(*CELL, "x", "y").distinct()
     crowded = cut(
@@ -124,18 +136,19 @@ def _cell_links(lines: DataFrame, ends: DataFrame, tolerance: float) -> DataFram
     )
     any_crowded = not crowded.isEmpty()
     if any_crowded:
-        nodes = cut(_nodes(points, side))
+        targets = _targets(points, side, tolerance)
     else:
-        nodes = ends.groupBy(*CELL).agg(F.collect_set(F.struct("x", "y")).alias("points"))
-        nodes = nodes.withColumns({"sx": F.col("cx"), "sy": F.col("cy")})
+        targets = _exact_targets(
+            points.withColumns({"sx": F.col("cx"), "sy": F.col("cy")}), tolerance
+        )
     around = [
         F.sequence(
-            F.floor((F.col(c) * side - 3 * tolerance) / step),
-            F.floor(((F.col(c) + 1) * side + 3 * tolerance) / step),
+            F.floor((F.col(c) * side - step) / step),
+            F.floor(((F.col(c) + 1) * side + step) / step),
         )
         for c in ("cx", "cy")
     ]
-    spread = nodes.withColumn("gx", F.explode(around[0])).withColumn("gy", F.explode(around[1]))
+    spread = targets.withColumn("gx", F.explode(around[0])).withColumn("gy", F.explode(around[1]))
 
     length = g.distance(F.col("x"), F.col("y"), F.col("next_x"), F.col("next_y"))
     pieces = F.greatest(F.ceil(length / step), F.lit(1)).cast("long")
@@ -157,42 +170,37 @@ def _cell_links(lines: DataFrame, ends: DataFrame, tolerance: float) -> DataFram
             ],
         )
     )
-    pairs = keyed.join(spread, ["direction", "gx", "gy"]).drop("gx", "gy")
-    decided = _decided(pairs, side, tolerance)
-    links = decided.filter("near").select(*CELL, "row_id")
+    # Both sides grow in an explode the size estimates do not see: never broadcast them by estimate.
+    measured = _measured(keyed.hint("merge").join(spread, ["direction", "gx", "gy"]))
     if any_crowded:
-        links = links.unionByName(_crowded_links(decided, points, crowded, side, tolerance))
-    return links.distinct()
+        measured = cut(measured.distinct())
+        return _crowded_links(measured, points, crowded, side, tolerance).distinct()
+    return measured.filter("near").select(*CELL, "row_id").distinct()
 
 
 def _crowded_links(
-    decided: DataFrame, points: DataFrame, crowded: DataFrame, size: float, tolerance: float
+    measured: DataFrame, points: DataFrame, crowded: DataFrame, size: float, tolerance: float
 ) -> DataFrame:
     """Split undecided nodes into smaller ones until every (cell, line) is decided."""
-    found = decided.select(*CELL, "row_id").filter(F.lit(False))
-    held = [*CELL, "sx", "sy", "row_id", "x", "y", "next_x", "next_y"]
-    open_pairs = cut(decided.filter(F.col("near").isNull()).select(*held).distinct())
+    found = measured.select(*CELL, "row_id").filter(F.lit(False))
     points = points.join(crowded, CELL, "left_semi")
-    while not open_pairs.isEmpty():
-        size /= SPLIT
-        children = _nodes(points, size).withColumns(
-            {"px": F.floor(F.col("sx") / SPLIT), "py": F.floor(F.col("sy") / SPLIT)}
-        )
-        parents = open_pairs.withColumnsRenamed({"sx": "px", "sy": "py"})
-        tested = cut(
-            _decided(parents.join(children, [*CELL, "px", "py"]), size, tolerance).select(
-                *held, "near"
-            )
-        )
-        near = tested.filter("near").select(*CELL, "row_id").distinct()
-        found = found.unionByName(near)
+    while True:
         # A line already linked to the cell needs no further test there.
-        open_pairs = cut(
-            tested.filter(F.col("near").isNull())
+        near = measured.filter("near").select(*CELL, "row_id").distinct()
+        undecided = cut(
+            measured.filter(~F.col("near"))
             .drop("near")
             .join(near, [*CELL, "row_id"], "left_anti")
         )
-    return found
+        found = found.unionByName(near)
+        if undecided.isEmpty():
+            return found
+        size /= SPLIT
+        children = _targets(points, size, tolerance).withColumns(
+            {"px": F.floor(F.col("sx") / SPLIT), "py": F.floor(F.col("sy") / SPLIT)}
+        )
+        parents = undecided.withColumnsRenamed({"sx": "px", "sy": "py"})
+        measured = cut(_measured(parents.join(children, [*CELL, "px", "py"])).distinct())
 
 
 def proximity_groups(
