@@ -280,30 +280,32 @@ def drop_singletons(groups: DataFrame, directions: list[str] | None = None) -> D
     return groups.join(singles.select("row_id"), "row_id", "left_anti")
 
 
-def merged_lines(lines: DataFrame, groups: DataFrame) -> DataFrame:
-    """One row per group: length, centroid and the two extreme vertices of its lines.
+def dissolved_segments(lines: DataFrame, groups: DataFrame) -> DataFrame:
+    """The distinct segments of every group, ``direction, grp, ax, ay, bx, by``.
 
-    Shared segments count once, whichever way they run. East-West groups are extreme in x, all
-    others in y; of several extreme vertices the first in (row, vertex) order is taken.
+    A segment counts once, whichever way lines run along it; a is its lesser end by (x, y).
     """
-    key = ["direction", "grp"]
-    grouped = lines.join(groups.select("row_id", "grp"), "row_id")
-    parts = segments(grouped)
+    parts = segments(lines.join(groups.select("row_id", "grp"), "row_id"))
     forward = (F.col("x") < F.col("next_x")) | (
         (F.col("x") == F.col("next_x")) & (F.col("y") <= F.col("next_y"))
     )
-    undirected = parts.select(
-        *key,
-        *[
-            F.when(forward, F.col(a)).otherwise(F.col(b)).alias(name)
-            for a, b, name in (
-                ("x", "next_x", "ax"),
-                ("y", "next_y", "ay"),
-                ("next_x", "x", "bx"),
-                ("next_y", "y", "by"),
-            )
-        ],
+    ends = (("x", "next_x", "ax"), ("y", "next_y", "ay"), ("next_x", "x", "bx"), ("next_y", "y", "by"))
+    return parts.select(
+        "direction",
+        "grp",
+        *[F.when(forward, F.col(a)).otherwise(F.col(b)).alias(name) for a, b, name in ends],
     ).distinct()
+
+
+def merged_lines(lines: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row per group: length, centroid and the two extreme vertices of its lines.
+
+    East-West groups are extreme in x, all others in y; of several extreme vertices the first in
+    (row, vertex) order is taken.
+    """
+    key = ["direction", "grp"]
+    grouped = lines.join(groups.select("row_id", "grp"), "row_id")
+    undirected = dissolved_segments(lines, groups)
     weight = g.distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
     centroids = (
         undirected.withColumn("w", weight)

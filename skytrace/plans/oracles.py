@@ -439,6 +439,12 @@ ORACLES["drop_singletons"] = sql(
     recursive=True,
 )
 
+ORACLES["dissolved_segments"] = sql(
+    [*LAYER, "groups", "all_kept", "merged"],
+    'SELECT direction, grp, ax, ay, bx, by_ AS "by" FROM undirected',
+    recursive=True,
+)
+
 ORACLES["merged_lines"] = sql(
     [*LAYER, "groups", "all_kept", "merged"],
     """SELECT id, direction, grp, round(long_km, 9) AS long_km, round(cx, 6) AS cx,
@@ -496,6 +502,13 @@ ORACLES["exclude_boxes"] = sql(
            AND e.y BETWEEN 400 * r_regionkey AND 400 * r_regionkey + 350)""",
 )
 
+ORACLES["box_filter"] = sql(
+    ["line_layer", "layer_lists", "endpoints"],
+    """SELECT point_id, line_id, type, x, y FROM endpoints e WHERE EXISTS (
+         SELECT 1 FROM region WHERE e.x BETWEEN 100 * r_regionkey AND 100 * r_regionkey + 120
+           AND e.y BETWEEN 400 * r_regionkey AND 400 * r_regionkey + 350)""",
+)
+
 ORACLES["volume_report"] = sql(
     ["line_layer", "layer_lists"],
     """SELECT id, round(sum((w1 + w2) / 1000), 6) AS long_km, grouping(id) = 1 AS is_total

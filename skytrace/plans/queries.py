@@ -149,6 +149,12 @@ def drop_singletons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_singletons(groups, [g.EAST_WEST])
 
 
+@query
+def dissolved_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layer = inputs.lines(spark, sf_dir)
+    return lines.dissolved_segments(layer, cut(lines.proximity_groups(layer)))
+
+
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     layer = inputs.lines(spark, sf_dir)
     return lines.merged_lines(layer, cut(lines.proximity_groups(layer)))
@@ -221,6 +227,14 @@ def exclude_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.exclude_boxes(points, coverage.sorted_boxes(inputs.boxes(spark, sf_dir)))
 
 
+@query
+def box_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points selected by a few literal boxes."""
+    points = lines.line_endpoints(inputs.line_layer(spark, sf_dir))
+    few = [(100.0 * k, 100.0 * k + 120, 400.0 * k, 400.0 * k + 350) for k in range(5)]
+    return points.filter(coverage.in_any_box(F.col("x"), F.col("y"), few))
+
+
 @query
 def volume_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = lines.volume_report(inputs.line_layer(spark, sf_dir))
