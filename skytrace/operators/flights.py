@@ -369,8 +369,9 @@ def production_vertices(
 ) -> DataFrame:
     """The vertices of the production lines, one row each, ``seq`` giving their order.
 
-    ``row_id`` numbers the lines of all flights by (flight, id). ``next_x``/``next_y`` are the following vertex of the same line (NULL at its end), so each
-    row but the last of a line is also a segment.
+    ``row_id`` numbers the lines of all flights by (flight, id). ``next_x``/``next_y`` are the
+    following vertex of the same line (NULL at its end), so each row but the last of a line is also
+    a segment.
     """
     pieces = FlightPieces(track, srid, chunk_rows)
     numbered = cut(numbered_stretches(pieces))

@@ -63,7 +63,9 @@ def test_area_of_a_rectangle(spark):
     rows += [(2, 0, "Max", 0.0, 0.0), (2, 1, "Min", 5.0, 5.0)]
     rows += [(1, 9, "Min", 400.0, 400.0)]
     df = spark.createDataFrame(rows, "project_id long, point_id long, type string, x double, y double")
-    boxes = spark.createDataFrame([(400.0, 390.0, 400.0, 500.0)], "x_from double, x_to double, y_from double, y_to double")
+    boxes = spark.createDataFrame(
+        [(400.0, 390.0, 400.0, 500.0)], "x_from double, x_to double, y_from double, y_to double"
+    )
     areas = coverage.coverage_area(df, coverage.sorted_boxes(boxes)).collect()
     got = {r.project_id: (r.area_m2, r.area_ha, r.area_km2) for r in areas}
     assert got == {1: (5000.0, 0.5, 0.005), 2: (None, None, None)}

@@ -128,7 +128,8 @@ def test_points_and_polygons(spark, tmp_path):
 def test_layers_of_a_folder_are_united_by_name(spark, tmp_path):
     path = str(tmp_path / "u")
     for k, column in enumerate(["a", "b"]):
-        df = spark.createDataFrame([(k, f"v{k}", [[(0.0, 0.0), (1.0, 1.0)]])], f"id int, {column} string, parts {PARTS}")
+        row = (k, f"v{k}", [[(0.0, 0.0), (1.0, 1.0)]])
+        df = spark.createDataFrame([row], f"id int, {column} string, parts {PARTS}")
         df.repartition(1).write.format("shp").mode("append").save(path)
     got = {(r.id, r.a, r.b) for r in spark.read.format("shp").load(path).collect()}
     assert got == {(0, "v0", None), (1, None, "v1")}
