@@ -153,11 +153,18 @@ def ring_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def photo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five camera logs over ``orders``: ``file, line_no, value``; some lines are too short."""
+LOG_KEYS = 5000
+
+
+def photo_log(spark: SparkSession, sf_dir: str, short_logs: bool = False) -> DataFrame:
+    """Camera logs over ``orders``: ``file, line_no, value``; some lines are too short.
+
+    There are five logs, or one for every 5,000 order keys (``short_logs``).
+    """
     key = F.col("o_orderkey")
+    log = _div(key, LOG_KEYS) if short_logs else F.col("o_custkey") % 5
     rows = table(spark, sf_dir, "orders").select(
-        (F.col("o_custkey") % 5).cast("string").alias("file"),
+        log.cast("string").alias("file"),
         "o_orderkey",
         chunk_of(key, CHUNK_ROWS).alias("part"),
         F.when(key % 13 == 0, F.lit("IMG"))

@@ -573,7 +573,9 @@ ORACLES["renumber_photos"] = sql(
 
 ORACLES["track_text"] = sql(["track"], "SELECT flight, x, y, z FROM track")
 
-ORACLES["camera_log_text"] = ORACLES["renumber_photos"]
+ORACLES["camera_log_text"] = ORACLES["renumber_photos"].replace(
+    "o_custkey % 5", "o_orderkey // 5000"
+)
 
 ORACLES["las_cloud"] = sql(
     ["inside"],

@@ -316,22 +316,19 @@ def track_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def camera_log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Camera logs written as text, read in line order and renumbered."""
+    """Camera logs of bounded size written as one text file each, read and renumbered."""
     path = _scratch(spark, "photos")
     (
-        inputs.photo_log(spark, sf_dir)
-        .repartition(1, "file")
+        inputs.photo_log(spark, sf_dir, short_logs=True)
+        .repartition("file")
         .sortWithinPartitions("file", "line_no")
         .select("file", "value")
         .write.partitionBy("file")
         .text(path)
     )
-    logs = None
-    for row in range(5):
-        one = read_camera_logs(spark, f"{path}/file={row}", prefix="part-")
-        one = one.withColumn("file", F.regexp_extract("file", "file=([^/]*)/", 1))
-        logs = one if logs is None else logs.unionByName(one)
-    return photos.renumber_photos(logs)
+    logs = read_camera_logs(spark, path, prefix="part-", recursive=True)
+    named = logs.withColumn("file", F.regexp_extract("file", "file=([^/]*)/", 1))
+    return photos.renumber_photos(named)
 
 
 @query

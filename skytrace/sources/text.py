@@ -98,6 +98,9 @@ def read_tracks(
     return TrackScan(track, rejects)
 
 
-def read_camera_logs(spark: SparkSession, folder: str, prefix: str = CAMERA_PREFIX) -> DataFrame:
+def read_camera_logs(
+    spark: SparkSession, folder: str, prefix: str = CAMERA_PREFIX, recursive: bool = False
+) -> DataFrame:
     """``file, line_no, value`` of the camera logs of a folder, earlier outputs left out."""
-    return numbered_lines(spark, folder, prefix).filter(~F.col("file").rlike(CAMERA_OUTPUT))
+    lines = numbered_lines(spark, folder, prefix, recursive)
+    return lines.filter(~F.col("file").rlike(CAMERA_OUTPUT))
