@@ -13,16 +13,20 @@ move between tasks:
    anchor and form a run; a run has one row, about one for 150 bytes of text.
 2. Rows are bucketed by anchor. An anchor found once settles its run: nothing repeats. If the runs of
    an anchor agree in all their strings (same identifiers at first and last start), all repeat.
-3. Only runs that share an anchor without agreeing are refined to the full depth. Up to ``CROWD`` of
-   them meet in a task with their bytes; more are dealt out as their strings, one row each.
-
-Larger groups are only counted or reduced to their least and largest member, so that none has to be
-in one task; the result is the same either way. Two identifiers must agree in 128 bits (anchor and string) to count as equal.
+3. Runs that share an anchor without agreeing are refined. The starts of a run are cut into blocks of
+   64 by their distance from the anchor. What all strings of a block have in common is looked up; if
+   no other run has it, the block is done. If another run has the whole block, all its strings
+   repeat. Blocks between the two are cut into four, down to single strings.
+
+Groups are only counted or reduced to their least and largest member, so no group has to be in one
+task, and no pairs are made. Two identifiers must agree in 128 bits (anchor and string) to count as
+equal.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,8 @@ from skytrace.llm.common import column, fresh, stored, utf8
 
 #: Starts that are worked on at a time, whether of many texts or of a part of a long one.
 BLOCK = 1 << 17
-#: Runs that share an anchor are refined together in a task up to this number, else string by string.
-CROWD = 512
+#: Sizes of the blocks of starts in the rounds of refinement.
+ROUNDS = (64, 16, 4, 1)
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -49,8 +53,8 @@ def _refine(first: np.ndarray, later: np.ndarray) -> np.ndarray:
     return ids
 
 
-def identifiers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket identifiers of depth ``length / 4`` and ``length`` at each offset of ``data``."""
+def identifiers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket identifiers of depths ``length / 4``, ``/ 2`` and ``/ 1`` at the offsets of ``data``."""
     depth, ids = 1, (data.astype(np.uint64) + np.uint64(1)) * _K3
     ids ^= ids >> np.uint64(31)
     known = {1: ids}
@@ -65,13 +69,12 @@ def identifiers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
             ids = _refine(ids[:size], known[step][depth : depth + size])
             depth += step
     del known
-    anchors = ids
+    rounds = []
     while depth < length:  # the rounds: depth doubles, with the identifiers just made
         ids = _refine(ids[:-depth], ids[depth:])
         depth *= 2
-        if depth == length // 4:
-            anchors = ids
-    return anchors, ids
+        rounds.append(ids)
+    return rounds[-3], rounds[-2], rounds[-1]
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -86,7 +89,7 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 def runs(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """``(anchor id, run id, first start, last start)`` of the runs among ascending ``starts``."""
-    anchors, strings = identifiers(data, length)
+    anchors, _, strings = identifiers(data, length)
     place = np.arange(len(anchors), dtype=np.uint64)
     least = _sliding_least((anchors & ~_LOW) | place, length - length // 4 + 1)
     anchor = (least[starts] & _LOW).astype(np.int64)
@@ -172,15 +175,14 @@ def _run_rows(length: int):
 
 
 _CONTEXT = (
-    "anchor bigint, run bigint, k0 bigint, k1 bigint, s int, w int, "
-    "single boolean, crowded boolean, bytes binary"
+    "anchor bigint, run bigint, k0 bigint, k1 bigint, s int, w int, single boolean, bytes binary"
 )
 
 
 def _context_rows(length: int):
     """mapInArrow function from ``(k0, k1, runs to refine, text)`` to runs with their bytes."""
     names = [x.split()[0] for x in _CONTEXT.split(", ")]
-    types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.bool_()] * 2 + [pa.binary()]
+    types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.bool_(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = set()
@@ -195,7 +197,7 @@ def _context_rows(length: int):
                 text = data[offsets[i] : offsets[i + 1]]
                 for x in todo[i]:
                     own = text[x["s"] : x["s"] + x["w"] + length].tobytes()
-                    rows.append((x["anchor"], x["run"], *key, *(x[n] for n in names[4:8]), own))
+                    rows.append((x["anchor"], x["run"], *key, *(x[n] for n in names[4:7]), own))
             for part in range(0, len(rows), 4096):
                 columns = zip(*rows[part : part + 4096], strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -205,86 +207,98 @@ def _context_rows(length: int):
     return run
 
 
-def _strings(batch: pa.RecordBatch | pa.Table, length: int) -> tuple[np.ndarray, ...]:
-    """``(row, start, identifier)`` of each string of the runs in context rows."""
-    contexts = batch.column("bytes")
-    if isinstance(contexts, pa.ChunkedArray):
-        contexts = contexts.combine_chunks()
-    data, offsets = utf8(contexts)
-    size = np.asarray(batch.column("w")).astype(np.int64) + 1
-    row = np.repeat(np.arange(len(size)), size)
-    step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    ids = identifiers(data, length)[1].view(np.int64)
-    return row, np.asarray(batch.column("s"))[row] + step, ids[offsets[row] + step]
-
+_BLOCK_ROW = (
+    "anchor bigint, run bigint, k0 bigint, k1 bigint, single boolean, block int, inner bigint, "
+    "outer bigint, s int, e int"
+)
 
-_STRING = "anchor bigint, string bigint, run bigint, p int, single boolean"
 
+def _block_rows(size: int, length: int):
+    """mapInArrow function from context rows, with the blocks of the round before, to blocks.
 
-def _string_rows(length: int):
-    """mapInArrow function from context rows to a row for each string."""
+    Block b of a run has the starts that lie ``b * size`` to ``(b + 1) * size - 1`` before the
+    anchor. ``inner`` stands for the bytes that all strings of the block share, ``outer`` for all
+    its bytes; where the run has a part of the block only, ``outer`` is the run itself.
+    """
+    names = [x.split()[0] for x in _BLOCK_ROW.split(", ")]
+    types = [pa.int64()] * 4 + [pa.bool_(), pa.int32()] + [pa.int64()] * 2 + [pa.int32()] * 2
+
+    def blocks(part: pa.RecordBatch) -> pa.RecordBatch:
+        data, offsets = utf8(part.column("bytes"))
+        anchors, halves, strings = identifiers(data, length)
+        anchor, run, k0, k1, s, w = (
+            np.asarray(part.column(n)) for n in ("anchor", "run", "k0", "k1", "s", "w")
+        )
+        # The anchor is the first place of its identifier in the run.
+        owner = np.repeat(np.arange(len(part)), np.diff(offsets))[: len(anchors)]
+        places = np.flatnonzero(anchors.view(np.int64) == anchor[owner])
+        _, first = np.unique(owner[places], return_index=True)
+        at = places[first] - offsets[:-1]
+        if size == ROUNDS[0]:
+            low, count = (at - w) // size, at // size - (at - w) // size + 1
+            row = np.repeat(np.arange(len(part)), count)
+            block = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[row]
+        else:
+            todo = part.column("blocks")
+            times = ROUNDS[ROUNDS.index(size) - 1] // size
+            inside = np.asarray(todo.flatten()).astype(np.int64)
+            row = np.repeat(np.arange(len(part)), np.asarray(todo.value_lengths()))
+            row, inside = np.repeat(row, times), np.repeat(inside * times, times)
+            block = inside + np.arange(len(inside)) % times
+            held = (block >= (at - w)[row] // size) & (block <= at[row] // size)
+            row, block = row[held], block[held]
+        last = at[row] - block * size
+        start = last - size + 1
+        base = offsets[row]
+        inner = _refine(halves[base + last], halves[base + start + length // 2])
+        whole = (start >= 0) & (last <= w[row])
+        s_in, e_in = np.maximum(start, 0), np.minimum(last, w[row])
+        outer = _refine(strings[base + s_in], strings[base + e_in]).view(np.int64)
+        columns = [anchor[row], run[row], k0[row], k1[row]]
+        columns += [part.column("single").to_numpy(zero_copy_only=False)[row], block]
+        columns += [inner.view(np.int64), np.where(whole, outer, run[row])]
+        columns += [s[row] + s_in, s[row] + e_in]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c).cast(t) for c, t in zip(columns, types, strict=True)], names
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                row, p, string = _strings(part, length)
-                columns = [np.asarray(part.column("anchor"))[row], string]
-                columns += [np.asarray(part.column("run"))[row], p.astype(np.int32)]
-                columns += [part.column("single").to_numpy(zero_copy_only=False)[row]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], [x.split()[0] for x in _STRING.split(", ")]
-                )
+                yield blocks(batch.slice(at, 256))
 
     return run
 
 
-_SPAN = "k0 bigint, k1 bigint, s int, e int"
-
-
-def _settle(table: pa.Table, length: int) -> pa.RecordBatch:
-    """First and last repeated start of each single run, from all context rows of some anchors."""
-    anchor, run = (np.asarray(table.column(n)) for n in ("anchor", "run"))
-    order = np.lexsort((run, anchor))
-    a, r = anchor[order], run[order]
-    new = np.concatenate([[True], (a[1:] != a[:-1]) | (r[1:] != r[:-1])])
-    table = table.take(pa.array(order[new]))  # copies of a text may have come from several tasks
-    anchor = a[new]
-    row, p, string = _strings(table, length)
-    order = np.lexsort((string, anchor[row]))
-    a, x = anchor[row][order], string[order]
-    same = (a[1:] == a[:-1]) & (x[1:] == x[:-1])
-    twice = order[np.append(same, False) | np.insert(same, 0, False)]
-    low = np.full(len(anchor), np.iinfo(np.int32).max, np.int64)
-    high = np.full(len(anchor), -1, np.int64)
-    np.minimum.at(low, row[twice], p[twice])
-    np.maximum.at(high, row[twice], p[twice])
-    found = (high >= 0) & table.column("single").to_numpy(zero_copy_only=False)
-    keys = [np.asarray(table.column(n))[found] for n in ("k0", "k1")]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(k) for k in keys] + [pa.array(v[found], pa.int32()) for v in (low, high)],
-        ["k0", "k1", "s", "e"],
-    )
-
-
-def _settled_rows(length: int):
-    """mapInArrow function from context rows in order of anchor to ``(k0, k1, s, e)``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            for at in range(0, len(batch), CROWD):
-                held.append(batch.slice(at, CROWD))
-                table = pa.Table.from_batches(held)
-                anchor = np.asarray(table.column("anchor"))
-                whole = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
-                if whole >= CROWD:
-                    yield _settle(table.slice(0, whole), length)
-                    held = table.slice(whole).to_batches()
-        if held:
-            yield _settle(pa.Table.from_batches(held), length)
-
-    return run
+def _refined(contexts: DataFrame, length: int) -> list[DataFrame]:
+    """``(k0, k1, s, e)`` of starts that repeat, by round, for the single runs of ``contexts``."""
+    found, names = [], ["anchor", "run"]
+    for size in ROUNDS:
+        rows = stored(contexts.mapInArrow(_block_rows(size, length), _BLOCK_ROW), "suffix-blocks")
+        wholes = rows.groupBy("anchor", "block", "inner", "outer").agg(
+            F.min("run").alias("a"), F.max("run").alias("b")
+        )
+        shared = (
+            wholes.groupBy("anchor", "block", "inner")
+            .agg(
+                F.min("a").alias("least"),
+                F.max("b").alias("most"),
+                F.bool_or(F.col("a") == F.col("b")).alias("some_open"),
+            )
+            .filter("least != most")
+            .drop("least", "most")
+        )
+        place = ["anchor", "block", "inner"]
+        known = wholes.join(shared, place)
+        judged = stored(rows.join(known, [*place, "outer"]), "suffix-judged")
+        found.append(judged.filter("single AND a != b").select("k0", "k1", "s", "e"))
+        # Of blocks that are equal as a whole one goes on, to be found by those that are not.
+        going_on = judged.filter("some_open AND (a = b OR run = a)")
+        if size == ROUNDS[-1] or going_on.isEmpty():
+            return found
+        todo = going_on.groupBy(*names).agg(F.collect_set("block").alias("blocks"))
+        contexts = contexts.drop("blocks").join(todo, names)
+    return found
 
 
 def _keys(text: Column) -> list[Column]:
@@ -322,17 +336,10 @@ def repeated_spans(documents: DataFrame, *, text_col: str = "text", length: int
         "suffix-classes",
     )
     agreed = mixed.join(classes.filter("n > 1").select("anchor", "run"), ["anchor", "run"])
-    crowds = classes.groupBy("anchor").agg((F.count("*") > CROWD).alias("crowded"))
-    todo = (
-        classes.join(crowds, "anchor")
-        .groupBy("one.k0", "one.k1")
-        .agg(
-            F.collect_list(  # a part of one text's runs
-                F.struct(
-                    "anchor", "run", "one.s", "one.w", (F.col("n") == 1).alias("single"), "crowded"
-                )
-            ).alias("todo")
-        )
+    todo = classes.groupBy("one.k0", "one.k1").agg(
+        F.collect_list(  # a part of one text's runs
+            F.struct("anchor", "run", "one.s", "one.w", (F.col("n") == 1).alias("single"))
+        ).alias("todo")
     )
     contexts = stored(
         todo.join(keyed, ["k0", "k1"])
@@ -340,35 +347,10 @@ def repeated_spans(documents: DataFrame, *, text_col: str = "text", length: int
         .mapInArrow(_context_rows(length), _CONTEXT),
         "suffix-contexts",
     )
-    settled = (
-        contexts.filter("NOT crowded")
-        .repartition("anchor")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(_settled_rows(length), _SPAN)
-    )
-    strings = contexts.filter("crowded").mapInArrow(_string_rows(length), _STRING)
-    place = F.struct("run", "p")
-    twice = (
-        strings.groupBy("anchor", "string")
-        .agg(F.min(place).alias("a"), F.max(place).alias("b"))
-        .filter("a != b")
-        .select("anchor", "string")
-    )
-    # Strings of a run overlap each other: the first and last that repeat give what is covered.
-    refined = (
-        strings.filter("single")
-        .join(twice, ["anchor", "string"])
-        .groupBy("anchor", "run")
-        .agg(F.min("p").alias("s"), F.max("p").alias("e"))
-        .join(classes.select("anchor", "run", "one.k0", "one.k1"), ["anchor", "run"])
-    )
-    parts = [shared.filter("NOT mixed"), agreed, settled, refined]
+    parts = [shared.filter("NOT mixed"), agreed, *_refined(contexts, length)]
     spans = [x.select("k0", "k1", F.expr(span).alias("span")) for x in parts]
     return (
-        spans[0]
-        .unionByName(spans[1])
-        .unionByName(spans[2])
-        .unionByName(spans[3])
+        reduce(DataFrame.unionByName, spans)
         .groupBy("k0", "k1")
         .agg(F.collect_list("span").alias("spans"))
     )
