@@ -8,5 +8,8 @@ def register(spark: SparkSession) -> None:
     from skytrace.sources.las import LasDataSource
     from skytrace.sources.shapefile import ShapefileDataSource
 
-    spark.dataSource.register(ShapefileDataSource)
-    spark.dataSource.register(LasDataSource)
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    for source in (ShapefileDataSource, LasDataSource):
+        # Classes made here travel to the workers with their value of the default file system.
+        own = type(source.__name__, (source,), {"default_fs": default})
+        spark.dataSource.register(own)

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyarrow import fs
 
 
+def qualified(path: str, default: str | None) -> str:
+    """A path as Spark reads it: without a scheme it is one of Spark's default file system."""
+    if "://" in path or path.startswith("file:") or not default or default.startswith("file:"):
+        return path
+    return default.rstrip("/") + "/" + path.lstrip("/")
+
+
 def locate(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a local path or of a ``scheme://`` URI that Arrow knows."""
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
+    if path.startswith("s3a://"):
+        path = "s3://" + path[len("s3a://") :]
     if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
@@ -54,7 +66,43 @@ def write_file(path: str, chunks: list[bytes]) -> None:
             f.write(chunk)
 
 
-def remove_file(path: str) -> None:
-    system, inner = locate(path)
-    if system.get_file_info(inner).is_file:
-        system.delete_file(inner)
+def concurrently(call, items: list) -> list:
+    """``call`` of every item in order, a few at a time: for short reads of many files."""
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(call, items))
+
+
+class StagedFolder:
+    """Files of a write job, which readers see when the job commits.
+
+    Tasks write below ``_temporary/<job>``, which readers do not list. What failed or repeated
+    attempts leave there goes with the folder; only files that the winning attempts report move.
+    """
+
+    def __init__(self, path: str, overwrite: bool, extensions: tuple[str, ...]) -> None:
+        self.path = path.rstrip("/")
+        self.overwrite = overwrite
+        self.extensions = extensions
+        self.staging = f"{self.path}/_temporary/{uuid.uuid4().hex}"
+
+    def new_stem(self) -> str:
+        return f"{self.staging}/part-{uuid.uuid4().hex}"
+
+    def commit(self, files: list[str]) -> None:
+        system, folder = locate(self.path)
+        system.create_dir(folder, recursive=True)
+        old = []
+        if self.overwrite:
+            present = system.get_file_info(fs.FileSelector(folder))
+            old = [f.path for f in present if f.path.lower().endswith(self.extensions)]
+        for file in old:
+            system.delete_file(file)
+        for file in files:
+            _, inner = locate(file)
+            system.move(inner, f"{folder}/{inner.rsplit('/', 1)[1]}")
+        self.discard()
+
+    def discard(self) -> None:
+        system, inner = locate(self.staging)
+        if system.get_file_info(inner).type == fs.FileType.Directory:
+            system.delete_dir(inner)

@@ -3,12 +3,14 @@
 Records have a fixed width, so a file splits into ranges of records that tasks read on their own.
 Options of the reader: ``path`` (file or folder), ``records`` per partition.
 Options of the writer: ``path`` (folder), ``scale`` of the stored coordinates, ``offset_x/y/z``.
+
+The scan angle is in degrees in all formats. ``class_flags`` are bits: 1 synthetic, 2 key point,
+4 withheld, 8 overlap. Waveform packets are not read.
 """
 
 from __future__ import annotations
 
 import struct
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +24,15 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from skytrace.sources.files import file_size, list_files, read_range, remove_file, write_file
+from skytrace.sources.files import (
+    StagedFolder,
+    concurrently,
+    file_size,
+    list_files,
+    qualified,
+    read_range,
+    write_file,
+)
 
 RECORDS = 1 << 20
 FILE_POINTS = 1 << 22
@@ -55,12 +65,13 @@ FORMATS = {
     9: _NEW + _WAVE,
     10: _NEW + _RGB + _NIR + _WAVE,
 }
-HEADER_SIZE = 227
-WRITTEN_FORMAT = 3
+HEADER_SIZE = {(1, 2): 227, (1, 4): 375}
+ANGLE = 0.006  # degrees a step, in formats 6 to 10
 
 SCHEMA = (
     "file string, point_no long, x double, y double, z double, intensity int, "
-    "return_number int, number_of_returns int, classification int, scan_angle int, "
+    "return_number int, number_of_returns int, classification int, class_flags int, "
+    "scanner_channel int, scan_direction int, edge_of_line int, scan_angle double, "
     "user_data int, point_source_id int, gps_time double, red int, green int, blue int, nir int"
 )
 _ARROW = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "int": pa.int32()}
@@ -109,8 +120,8 @@ class LasReader(DataSourceReader):
 
     def partitions(self) -> list[RecordRange]:
         ranges = []
-        for file in list_files(self.path, ".las"):
-            header = read_header(file)
+        files = list_files(self.path, ".las")
+        for file, header in zip(files, concurrently(read_header, files), strict=True):
             for first in range(0, header.count, self.records):
                 last = min(first + self.records, header.count)
                 ranges.append(RecordRange(file, header, first, last))
@@ -131,20 +142,40 @@ def _batch(part: RecordRange, first: int, last: int) -> pa.RecordBatch:
     raw = read_range(part.file, header.offset + first * header.width, (last - first) * header.width)
     points = np.frombuffer(raw, layout)
     modern = header.format >= 6
-    bits = points["bits"]
+    bits, classes = points["bits"], points["classification"]
     values = {
         "file": pa.array([part.file] * len(points)),
         "point_no": np.arange(first, last),
-        "return_number": bits & (15 if modern else 7),
-        "number_of_returns": bits >> 4 if modern else (bits >> 3) & 7,
         **{
             name: points[name.upper()] * header.scale[i] + header.shift[i]
             for i, name in enumerate("xyz")
         },
     }
+    if modern:
+        flags = points["flags"]
+        values |= {
+            "return_number": bits & 15,
+            "number_of_returns": bits >> 4,
+            "class_flags": flags & 15,
+            "scanner_channel": (flags >> 4) & 3,
+            "scan_direction": (flags >> 6) & 1,
+            "edge_of_line": flags >> 7,
+            "scan_angle": points["scan_angle"] * ANGLE,
+        }
+    else:
+        values |= {
+            "return_number": bits & 7,
+            "number_of_returns": (bits >> 3) & 7,
+            "classification": classes & 31,
+            "class_flags": classes >> 5,
+            "scan_direction": (bits >> 6) & 1,
+            "edge_of_line": bits >> 7,
+            "scan_angle": points["scan_angle"].astype(np.float64),
+        }
     for name, _ in FIELDS:
         if name not in values:
-            values[name] = points[name] if name in points.dtype.names else None
+            known = name in points.dtype.names and (name != "scanner_channel" or modern)
+            values[name] = points[name] if known else None
     columns = []
     for field in ARROW_SCHEMA:
         value = values[field.name]
@@ -160,89 +191,164 @@ class WrittenFiles(WriterCommitMessage):
     files: list[str]
 
 
-class _OpenFile:
-    """Points gathered for one file and what its header says about them."""
+#: What an attribute may hold at most, in the older formats and in the newer ones.
+_LIMITS = {
+    "intensity": (65535, 65535),
+    "return_number": (7, 15),
+    "number_of_returns": (7, 15),
+    "classification": (31, 255),
+    "class_flags": (7, 15),
+    "scanner_channel": (0, 3),
+    "scan_direction": (1, 1),
+    "edge_of_line": (1, 1),
+    "user_data": (255, 255),
+    "point_source_id": (65535, 65535),
+    **{name: (65535, 65535) for name in ("red", "green", "blue", "nir")},
+}
+
+
+class _Points:
+    """Points gathered for one file, as plain columns, and whether an attribute was given at all."""
 
-    def __init__(self) -> None:
-        self.chunks: list[bytes] = []
+    def __init__(self, scale: np.ndarray, shift: np.ndarray) -> None:
+        self.scale, self.shift = scale, shift
+        self.parts: list[dict[str, np.ndarray]] = []
+        self.given: set[str] = set()
         self.count = 0
-        self.lows, self.highs = np.full(3, np.inf), np.full(3, -np.inf)
-        self.returns = np.zeros(5, np.int64)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        part: dict[str, np.ndarray] = {}
+        for i, c in enumerate("xyz"):
+            values = batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
+            if not np.isfinite(values).all():
+                raise ValueError(f"a point has no {c}")
+            stored = np.rint((values - self.shift[i]) / self.scale[i])
+            if np.abs(stored).max() >= 2**31:
+                raise ValueError(f"{c} does not fit the LAS scale and offset given")
+            part[c] = stored
+        for name in ("scan_angle", "gps_time", *_LIMITS):
+            values = batch.column(name) if name in batch.schema.names else None
+            if values is None or values.null_count == len(values):
+                default = 1.0 if name in ("return_number", "number_of_returns") else 0.0
+                part[name] = np.full(len(batch), default)
+                continue
+            if values.null_count:
+                raise ValueError(f"{name} is missing for some points of a file only")
+            self.given.add(name)
+            part[name] = values.to_numpy(zero_copy_only=False).astype(np.float64)
+            top = _LIMITS.get(name, (0, np.inf))[1]
+            if name in _LIMITS and ((part[name] < 0) | (part[name] > top)).any():
+                raise ValueError(f"{name} does not fit a LAS record")
+        if "number_of_returns" not in self.given:
+            part["number_of_returns"] = part["return_number"]
+        self.parts.append(part)
+        self.count += len(batch)
+
+    def file(self) -> list[bytes]:
+        """Header and records, in the oldest format that holds everything exactly."""
+        p = {k: np.concatenate([part[k] for part in self.parts]) for k in self.parts[0]}
+        angle, colour = p["scan_angle"], bool({"red", "green", "blue"} & self.given)
+        modern = (
+            any((p[name] > old).any() for name, (old, _) in _LIMITS.items())
+            or "nir" in self.given
+            or (np.rint(angle) != angle).any()
+            or (np.abs(angle) > 127).any()
+        )
+        if modern:
+            kind = 8 if "nir" in self.given else 7 if colour else 6
+        else:
+            kind = ("gps_time" in self.given) + 2 * colour
+        records = np.zeros(self.count, np.dtype(FORMATS[kind]))
+        whole = {name: p[name].astype(np.int64) for name in _LIMITS}
+        for i, c in enumerate("xyz"):
+            records[c.upper()] = p[c]
+        for name in records.dtype.names:
+            if name in ("intensity", "user_data", "point_source_id", "red", "green", "blue", "nir"):
+                records[name] = whole[name]
+        if "gps_time" in records.dtype.names:
+            records["gps_time"] = p["gps_time"]
+        turns = (whole["scan_direction"] << 6) | (whole["edge_of_line"] << 7)
+        if modern:
+            steps = np.rint(angle / ANGLE)
+            if (np.abs(steps) > 32767).any() or (np.abs(steps * ANGLE - angle) > 0.0031).any():
+                raise ValueError("scan_angle does not fit a LAS record")
+            records["scan_angle"] = steps
+            records["bits"] = whole["return_number"] | (whole["number_of_returns"] << 4)
+            records["flags"] = whole["class_flags"] | (whole["scanner_channel"] << 4) | turns
+            records["classification"] = whole["classification"]
+        else:
+            records["scan_angle"] = angle
+            records["bits"] = whole["return_number"] | (whole["number_of_returns"] << 3) | turns
+            records["classification"] = whole["classification"] | (whole["class_flags"] << 5)
+        return [self._header(kind, records, whole["return_number"]), records.tobytes()]
+
+    def _header(self, kind: int, records: np.ndarray, number: np.ndarray) -> bytes:
+        version = (1, 4) if kind >= 6 else (1, 2)
+        size = HEADER_SIZE[version]
+        header = bytearray(size)
+        header[0:4] = b"LASF"
+        header[24:26] = bytes(version)
+        header[26:32] = b"export"
+        struct.pack_into("<HII", header, 94, size, size, 0)
+        returns = np.bincount(np.clip(number, 1, 15), minlength=16)[1:16]
+        old = (0,) * 6 if kind >= 6 else (self.count, *np.append(returns[:4], returns[4:].sum()))
+        struct.pack_into("<BHI5I", header, 104, kind, records.dtype.itemsize, *old)
+        struct.pack_into("<6d", header, 131, *self.scale, *self.shift)
+        ends = []
+        for i, c in enumerate("XYZ"):
+            ends += [records[c].max() * self.scale[i] + self.shift[i]]
+            ends += [records[c].min() * self.scale[i] + self.shift[i]]
+        struct.pack_into("<6d", header, 179, *ends)
+        if kind >= 6:
+            struct.pack_into("<QIQ15Q", header, 227, 0, 0, 0, *[0] * 15)
+            struct.pack_into("<Q15Q", header, 247, self.count, *returns)
+            header[6:8] = struct.pack("<H", 16)  # the reference system is well-known text, if any
+        return bytes(header)
 
 
 class LasWriter(DataSourceArrowWriter):
-    """LAS 1.2 files (format 3), at least one per task with points; a new one every few million
-    points. A failed job removes the files its finished tasks left.
-    """
+    """LAS files, at least one per task with points; a new one every few million points.
 
-    layout = np.dtype(FORMATS[WRITTEN_FORMAT])
+    A file has the oldest record format that holds its attributes exactly: 0 to 3 (LAS 1.2) or 6 to
+    8 (LAS 1.4). Values that no format holds are an error. Files appear when the job commits.
+    """
 
-    def __init__(self, options: dict[str, str]) -> None:
-        self.path = options["path"].rstrip("/")
+    def __init__(self, options: dict[str, str], overwrite: bool = False) -> None:
+        self.out = StagedFolder(options["path"], overwrite, (".las",))
         self.scale = np.full(3, float(options.get("scale", 0.001)))
         self.shift = np.array([float(options.get(f"offset_{c}", 0.0)) for c in "xyz"])
 
     def write(self, iterator) -> WrittenFiles:
         files: list[str] = []
-        out = _OpenFile()
+        points = _Points(self.scale, self.shift)
         for batch in iterator:
             if batch.num_rows:
-                self._add(out, batch)
-            if out.count >= FILE_POINTS:
-                files.append(self._finish(out))
-                out = _OpenFile()
-        if out.count:
-            files.append(self._finish(out))
+                points.add(batch)
+            if points.count >= FILE_POINTS:
+                files.append(self._finish(points))
+                points = _Points(self.scale, self.shift)
+        if points.count:
+            files.append(self._finish(points))
         return WrittenFiles(files)
 
-    def _add(self, out: _OpenFile, batch: pa.RecordBatch) -> None:
-        points = np.zeros(batch.num_rows, self.layout)
-        given = set(batch.schema.names)
-
-        def column(name: str) -> np.ndarray:
-            return np.nan_to_num(batch.column(name).to_numpy(zero_copy_only=False))
-
-        for i, c in enumerate("xyz"):
-            stored = np.rint((column(c) - self.shift[i]) / self.scale[i])
-            if np.abs(stored).max() >= 2**31:
-                raise ValueError(f"{c} does not fit the LAS scale and offset given")
-            points[c.upper()] = stored
-            back = points[c.upper()] * self.scale[i] + self.shift[i]
-            out.lows[i] = min(out.lows[i], back.min())
-            out.highs[i] = max(out.highs[i], back.max())
-        for name in self.layout.names[3:]:
-            if name in given:
-                points[name] = column(name).astype(self.layout[name])
-        ones = np.ones(len(points))
-        number = (column("return_number") if "return_number" in given else ones).astype(int)
-        total = column("number_of_returns").astype(int) if "number_of_returns" in given else number
-        points["bits"] = (number & 7) | ((total & 7) << 3)
-        out.returns += np.bincount(np.clip(number, 1, 5), minlength=6)[1:6]
-        out.count += len(points)
-        out.chunks.append(points.tobytes())
-
-    def _finish(self, out: _OpenFile) -> str:
-        header = bytearray(HEADER_SIZE)
-        header[0:4] = b"LASF"
-        header[24:26] = bytes((1, 2))
-        header[26:32] = b"export"
-        struct.pack_into("<HII", header, 94, HEADER_SIZE, HEADER_SIZE, 0)
-        struct.pack_into(
-            "<BHI5I", header, 104, WRITTEN_FORMAT, self.layout.itemsize, out.count, *out.returns
-        )
-        struct.pack_into("<6d", header, 131, *self.scale, *self.shift)
-        struct.pack_into("<6d", header, 179, *np.stack([out.highs, out.lows], axis=1).ravel())
-        file = f"{self.path}/part-{uuid.uuid4().hex}.las"
-        write_file(file, [bytes(header), *out.chunks])
+    def _finish(self, points: _Points) -> str:
+        file = self.out.new_stem() + ".las"
+        write_file(file, points.file())
         return file
 
+    def commit(self, messages) -> None:
+        self.out.commit([f for m in messages if m is not None for f in m.files])
+
     def abort(self, messages) -> None:
-        for message in messages:
-            for file in message.files if message is not None else []:
-                remove_file(file)
+        self.out.discard()
 
 
 class LasDataSource(DataSource):
+    default_fs: str | None = None
+
+    def _options(self) -> dict[str, str]:
+        return {**self.options, "path": qualified(self.options["path"], self.default_fs)}
+
     @classmethod
     def name(cls) -> str:
         return "las"
@@ -251,7 +357,7 @@ class LasDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> LasReader:
-        return LasReader(dict(self.options))
+        return LasReader(self._options())
 
     def writer(self, schema: StructType, overwrite: bool) -> LasWriter:
-        return LasWriter(dict(self.options))
+        return LasWriter(self._options(), overwrite)

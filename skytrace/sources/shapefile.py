@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 import struct
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,11 +28,13 @@ from pyspark.sql.datasource import (
 
 from skytrace.functions.crs import GEOGRAPHIC, WEB_MERCATOR, utm_zone
 from skytrace.sources.files import (
+    StagedFolder,
+    concurrently,
     exists,
     file_size,
     list_files,
+    qualified,
     read_range,
-    remove_file,
     write_file,
 )
 
@@ -156,8 +157,10 @@ class ShapefileReader(DataSourceReader):
 
     def partitions(self) -> list[RecordRange]:
         ranges = []
-        for file in list_files(self.path, ".shp"):
-            count = (file_size(_sibling(file, ".shx")) - 100) // 8
+        files = list_files(self.path, ".shp")
+        sizes = concurrently(lambda file: file_size(_sibling(file, ".shx")), files)
+        for file, size in zip(files, sizes, strict=True):
+            count = (size - 100) // 8
             for first in range(0, count, self.records):
                 ranges.append(RecordRange(file, first, min(first + self.records, count)))
         return ranges or [None]
@@ -177,21 +180,22 @@ class ShapefileReader(DataSourceReader):
             start = int(index[0, 0])
             end = int((index[:, 0] + index[:, 1]).max()) + 8
             raw = read_range(file, start, end - start)
-            parts = [_shape(raw, int(at) - start + 8) for at in index[:, 0]]
-            columns = _attributes(file, table, first, last, encoding)
+            parts = _shapes(raw, index[:, 0] - start + 8)
+            kept, columns = _attributes(file, table, first, last, encoding)
             n = last - first
             arrays = []
             for field in self.fields:
-                values = columns.get(field.name, [None] * n)
-                arrays.append(pa.array(values, _arrow_type(field.dataType)))
+                kind = _arrow_type(field.dataType)
+                values = columns.get(field.name)
+                arrays.append(pa.nulls(n, kind) if values is None else values.cast(kind))
             arrays += [
                 pa.array([file] * n, pa.string()),
                 pa.array(range(first, last), pa.int64()),
                 pa.array([srid] * n, pa.int32()),
-                pa.array(parts, _ARROW_PARTS),
+                parts,
             ]
             names = [f.name for f in self.fields] + [a.name for a in ADDED]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            yield pa.RecordBatch.from_arrays(arrays, names).filter(pa.array(kept))
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:
@@ -200,47 +204,72 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     }.get(kind.simpleString(), pa.string())
 
 
-def _vertices(raw: bytes, at: int, count: int) -> list[dict[str, float]]:
-    flat = np.frombuffer(raw, "<f8", 2 * count, at).reshape(-1, 2)
-    return [{"x": x, "y": y} for x, y in flat.tolist()]
-
-
-def _shape(raw: bytes, at: int) -> list | None:
-    (kind,) = struct.unpack_from("<i", raw, at)
-    if kind in POINT:
-        return [_vertices(raw, at + 4, 1)]
-    if kind in LINE or kind in POLYGON:
-        part_count, count = struct.unpack_from("<2i", raw, at + 36)
-        starts = struct.unpack_from(f"<{part_count}i", raw, at + 44)
-        vertices = _vertices(raw, at + 44 + 4 * part_count, count)
-        return [vertices[a:b] for a, b in zip(starts, (*starts[1:], count), strict=True)]
-    if kind == 0:
-        return None
-    raise ValueError(f"shape type {kind} is not supported")
-
-
-def _attributes(file: str, table: Table, first: int, last: int, encoding: str) -> dict[str, list]:
+def _shapes(raw: bytes, places: np.ndarray) -> pa.Array:
+    """The parts of the records at ``places`` as one nested Arrow array."""
+    kinds = [struct.unpack_from("<i", raw, int(at))[0] for at in places]
+    vertices, part_sizes, part_counts = [], [], []
+    for at, kind in zip(places.tolist(), kinds, strict=True):
+        if kind in POINT:
+            sizes, count, begin = np.ones(1, np.int64), 1, at + 4
+        elif kind in LINE or kind in POLYGON:
+            parts, count = struct.unpack_from("<2i", raw, at + 36)
+            starts = np.frombuffer(raw, "<i4", parts, at + 44)
+            sizes, begin = np.diff(np.append(starts, count)), at + 44 + 4 * parts
+        elif kind == 0:
+            sizes, count, begin = np.zeros(0, np.int64), 0, at
+        else:
+            raise ValueError(f"shape type {kind} is not supported")
+        vertices.append(np.frombuffer(raw, "<f8", 2 * count, begin))
+        part_sizes.append(sizes)
+        part_counts.append(len(sizes))
+    flat = np.concatenate(vertices).reshape(-1, 2)
+    points = pa.StructArray.from_arrays(
+        [pa.array(np.ascontiguousarray(flat[:, i])) for i in (0, 1)], ["x", "y"]
+    )
+    inner = np.append(0, np.cumsum(np.concatenate(part_sizes)))
+    outer = np.append(0, np.cumsum(part_counts))
+    lists = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), points)
+    empty = np.append([kind == 0 for kind in kinds], False)  # a null shape
+    offsets = pa.array(outer, pa.int32(), mask=empty)
+    return pa.ListArray.from_arrays(offsets, lists).cast(_ARROW_PARTS)
+
+
+def _attributes(
+    file: str, table: Table, first: int, last: int, encoding: str
+) -> tuple[np.ndarray, dict[str, pa.Array]]:
+    """Which records are not marked as deleted, and the columns of all."""
     raw = read_range(
         _sibling(file, ".dbf"), table.start + first * table.width, (last - first) * table.width
     )
+    records = np.frombuffer(raw, np.uint8).reshape(-1, table.width)
     columns, at = {}, 1
     for name, letter, width, decimals in table.fields:
         kind = _spark_type(letter, width, decimals)
-        cells = [raw[i + at : i + at + width] for i in range(0, len(raw), table.width)]
-        columns[name] = [_value(c, kind, encoding) for c in cells]
+        cells = np.ascontiguousarray(records[:, at : at + width]).view(f"S{width}").ravel()
+        columns[name] = _column(cells, kind, encoding)
         at += width
-    return columns
+    return records[:, 0] != ord("*"), columns
 
 
-def _value(cell: bytes, kind: T.DataType, encoding: str):
+def _column(cells: np.ndarray, kind: T.DataType, encoding: str) -> pa.Array:
+    """A DBF column from its cells of fixed width; blank cells are NULL."""
     if isinstance(kind, T.StringType):
-        return cell.rstrip(b" \0").decode(encoding) or None
-    text = cell.strip(b" \0*")
-    if not text:
-        return None
+        text = np.char.decode(np.char.rstrip(cells, b" \0"), encoding)
+        return pa.array(text.astype(object), pa.string(), mask=text == "")
+    cells = np.char.strip(cells, b" \0*")
+    blank = cells == b""
     if isinstance(kind, T.BooleanType):
-        return {b"T": True, b"Y": True, b"F": False, b"N": False}.get(text.upper())
-    return int(float(text)) if isinstance(kind, T.LongType) else float(text)
+        upper = np.char.upper(cells)
+        true = (upper == b"T") | (upper == b"Y")
+        return pa.array(true, mask=~(true | (upper == b"F") | (upper == b"N")))
+    if isinstance(kind, T.LongType):
+        try:
+            return pa.array(np.where(blank, b"0", cells).astype(np.int64), mask=blank)
+        except ValueError:  # written as a decimal
+            pass
+    numbers = np.where(blank, b"0", cells).astype(np.float64)
+    whole = isinstance(kind, T.LongType)
+    return pa.array(numbers.astype(np.int64) if whole else numbers, mask=blank)
 
 
 @dataclass
@@ -265,8 +294,11 @@ class ShapefileWriter(DataSourceArrowWriter):
     Text longer than a DBF field or a feature beyond the format's limit is an error, never cut.
     """
 
-    def __init__(self, options: dict[str, str], schema: T.StructType) -> None:
-        self.path = options["path"].rstrip("/")
+    def __init__(
+        self, options: dict[str, str], schema: T.StructType, overwrite: bool = False
+    ) -> None:
+        extensions = (".shp", ".shx", ".dbf", ".cpg", ".prj")
+        self.out = StagedFolder(options["path"], overwrite, extensions)
         self.kind = KINDS[options.get("kind", "line")]
         self.srid = int(options.get("srid", 0))
         self.encoding = options.get("encoding", "utf-8")
@@ -340,7 +372,7 @@ class ShapefileWriter(DataSourceArrowWriter):
         out.rows.append(b" " + b"".join(cells))
 
     def _finish(self, out: _OpenFile) -> list[str]:
-        stem = f"{self.path}/part-{uuid.uuid4().hex}"
+        stem = self.out.new_stem()
         box = (*out.low, *out.high) if np.isfinite(out.low).all() else (0.0,) * 4
         outputs = {
             ".shp": [self._main_header(out.size, box), *out.shapes],
@@ -370,13 +402,19 @@ class ShapefileWriter(DataSourceArrowWriter):
             )
         return head + b"\r"
 
+    def commit(self, messages) -> None:
+        self.out.commit([f for m in messages if m is not None for f in m.files])
+
     def abort(self, messages) -> None:
-        for message in messages:
-            for file in message.files if message is not None else []:
-                remove_file(file)
+        self.out.discard()
 
 
 class ShapefileDataSource(DataSource):
+    default_fs: str | None = None
+
+    def _options(self) -> dict[str, str]:
+        return {**self.options, "path": qualified(self.options["path"], self.default_fs)}
+
     @classmethod
     def name(cls) -> str:
         return "shp"
@@ -384,17 +422,20 @@ class ShapefileDataSource(DataSource):
     def schema(self) -> T.StructType:
         """Attributes of all layers by name, in the order first met, then the added columns."""
         fields: dict[str, T.StructField] = {}
-        for file in list_files(self.options["path"], ".shp"):
-            layout = read_table_layout(
-                _sibling(file, ".dbf"), _encoding(file, self.options.get("encoding"))
-            )
+        chosen = self.options.get("encoding")
+
+        def layout_of(file: str) -> Table:
+            return read_table_layout(_sibling(file, ".dbf"), _encoding(file, chosen))
+
+        files = list_files(self._options()["path"], ".shp")
+        for layout in concurrently(layout_of, files):
             for name, letter, width, decimals in layout.fields:
                 kind = _spark_type(letter, width, decimals)
                 fields.setdefault(name, T.StructField(name, kind))
         return T.StructType([*fields.values(), *ADDED])
 
     def reader(self, schema: T.StructType) -> ShapefileReader:
-        return ShapefileReader(dict(self.options), schema)
+        return ShapefileReader(self._options(), schema)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> ShapefileWriter:
-        return ShapefileWriter(dict(self.options), schema)
+        return ShapefileWriter(self._options(), schema, overwrite)

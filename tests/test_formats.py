@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytrace.sources import las, register, shapefile
-from skytrace.sources.files import list_files
+from skytrace.sources.files import list_files, qualified
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -43,8 +43,12 @@ def test_las_round_trip_in_ranges(spark, tmp_path):
 def test_writers_start_new_files_in_time(monkeypatch, tmp_path):
     batch = pa.record_batch({c: pa.array(np.arange(50.0)) for c in "xyz"})
     monkeypatch.setattr(las, "FILE_POINTS", 100)
-    done = las.LasWriter({"path": str(tmp_path / "l")}).write(iter([batch] * 5))
+    writer = las.LasWriter({"path": str(tmp_path / "l")})
+    done = writer.write(iter([batch] * 5))
     assert [las.read_header(f).count for f in done.files] == [100, 100, 50]
+    assert list_files(str(tmp_path / "l"), ".las") == []  # not before the job commits
+    writer.commit([done, None])
+    assert len(list_files(str(tmp_path / "l"), ".las")) == 3
     shape = pa.record_batch({"parts": pa.array([[[{"x": 0.0, "y": 1.0}, {"x": 2.0, "y": 1.0}]]] * 4)})
     monkeypatch.setattr(shapefile, "FILE_BYTES", 300)
     fields = T.StructType([T.StructField("parts", shapefile.PARTS)])
@@ -57,6 +61,7 @@ def test_las_1_4_format_8(spark, tmp_path):
     records = np.zeros(10, layout)
     records["X"], records["Y"], records["Z"] = np.arange(10), 5, -7
     records["bits"] = 2 | (3 << 4)
+    records["flags"] = 9 | (2 << 4) | (1 << 6)
     records["scan_angle"] = -3000
     records["classification"] = 70
     records["nir"] = 9
@@ -72,7 +77,8 @@ def test_las_1_4_format_8(spark, tmp_path):
     assert len(rows) == 10
     r = rows[3]
     assert (round(r.x, 6), round(r.y, 6), round(r.z, 6)) == (1000.03, 2000.05, -0.07)
-    assert (r.return_number, r.number_of_returns, r.scan_angle) == (2, 3, -3000)
+    assert (r.return_number, r.number_of_returns, round(r.scan_angle, 6)) == (2, 3, -18.0)
+    assert (r.class_flags, r.scanner_channel, r.scan_direction, r.edge_of_line) == (9, 2, 1, 0)
     assert (r.classification, r.nir, r.point_no) == (70, 9, 3)
 
 
@@ -140,3 +146,97 @@ def test_text_is_never_cut(spark, tmp_path):
     df = spark.createDataFrame([("x" * 300, [[(0.0, 0.0), (1.0, 1.0)]])], f"name string, parts {PARTS}")
     with pytest.raises(Exception, match="does not fit"):
         df.write.format("shp").mode("append").save(str(tmp_path / "t"))
+
+
+def test_las_flags_of_old_formats(spark, tmp_path):
+    records = np.zeros(1, np.dtype(las.FORMATS[0]))
+    records["classification"] = 2 | 4 << 5  # ground, withheld
+    records["bits"] = 1 | 2 << 3 | 1 << 6
+    records["scan_angle"] = -12
+    header = bytearray(227)
+    header[0:4] = b"LASF"
+    header[24:26] = bytes((1, 2))
+    struct.pack_into("<HII", header, 94, 227, 227, 0)
+    struct.pack_into("<BHI", header, 104, 0, records.dtype.itemsize, 1)
+    struct.pack_into("<6d", header, 131, 0.01, 0.01, 0.01, 0, 0, 0)
+    (tmp_path / "a.las").write_bytes(bytes(header) + records.tobytes())
+    (r,) = spark.read.format("las").load(str(tmp_path)).collect()
+    assert (r.classification, r.class_flags, r.scan_angle) == (2, 4, -12.0)
+    assert (r.return_number, r.number_of_returns, r.scan_direction, r.edge_of_line) == (1, 2, 1, 0)
+
+
+@pytest.mark.parametrize(
+    ("values", "kind"),
+    [
+        ({}, 0),
+        ({"gps_time": 1.5}, 1),
+        ({"red": 9}, 2),
+        ({"gps_time": 1.5, "red": 9}, 3),
+        ({"return_number": 9, "number_of_returns": 12}, 6),
+        ({"classification": 200}, 6),
+        ({"scan_angle": 12.006}, 6),
+        ({"class_flags": 8, "red": 3}, 7),
+        ({"nir": 5, "scanner_channel": 3}, 8),
+    ],
+)
+def test_las_takes_the_format_that_holds_the_values(spark, tmp_path, values, kind):
+    row = {"x": 1.0, "y": 2.0, "z": 3.0, **values}
+    path = str(tmp_path / "o")
+    types = {"gps_time": "double", "scan_angle": "double"}
+    schema = ", ".join(f"{n} {types.get(n, 'double' if n in 'xyz' else 'int')}" for n in row)
+    spark.createDataFrame([tuple(row.values())], schema).write.format("las").mode("append").save(path)
+    (file,) = list_files(path, ".las")
+    assert las.read_header(file).format == kind
+    (read,) = spark.read.format("las").load(path).collect()
+    assert all(abs(read[n] - v) < 1e-6 for n, v in row.items())
+
+
+@pytest.mark.parametrize(
+    "values", [{"return_number": 16}, {"classification": 300}, {"scan_angle": 5000.0}, {"x": None}]
+)
+def test_las_refuses_values_that_no_format_holds(tmp_path, values):
+    row = {"x": 1.0, "y": 2.0, "z": 3.0, **values}
+    batch = pa.record_batch({n: pa.array([v], pa.float64()) for n, v in row.items()})
+    with pytest.raises(ValueError):
+        las.LasWriter({"path": str(tmp_path)}).write(iter([batch]))
+
+
+@pytest.mark.parametrize("kind", ["las", "shp"])
+def test_overwrite_replaces_and_failed_jobs_leave_nothing(spark, tmp_path, kind):
+    path = str(tmp_path / "o")
+    if kind == "las":
+        df = spark.range(10).selectExpr("id * 1.0D AS x", "0D AS y", "0D AS z")
+        bad = df.selectExpr("x", "y", "IF(x > 8, 1e300D, z) AS z")
+    else:
+        df = spark.createDataFrame([(i, "a", [[(0.0, 0.0), (1.0, 1.0)]]) for i in range(10)],
+                                   f"id int, name string, parts {PARTS}")
+        bad = df.withColumn("name", F.when(F.col("id") > 8, F.repeat("name", 999)).otherwise("b"))
+    for mode in ("append", "overwrite"):
+        df.write.format(kind).mode(mode).save(path)
+    assert spark.read.format(kind).load(path).count() == 10
+    df.write.format(kind).mode("append").save(path)
+    assert spark.read.format(kind).load(path).count() == 20
+    for mode in ("append", "overwrite"):
+        with pytest.raises(Exception, match="does not fit"):
+            bad.repartition(4).write.format(kind).mode(mode).save(path)
+    assert spark.read.format(kind).load(path).count() == 20
+
+
+def test_deleted_records_are_not_read(spark, tmp_path):
+    path = tmp_path / "o"
+    df = spark.createDataFrame(
+        [(i, [[(float(i), 0.0), (1.0, 1.0)]]) for i in range(3)], f"id int, parts {PARTS}"
+    )
+    df.repartition(1).write.format("shp").mode("append").save(str(path))
+    (table,) = path.glob("*.dbf")
+    raw = bytearray(table.read_bytes())
+    start, width = struct.unpack_from("<HH", raw, 8)
+    raw[start + width] = ord("*")
+    table.write_bytes(bytes(raw))
+    assert {r.id for r in spark.read.format("shp").load(str(path)).collect()} == {0, 2}
+
+
+def test_paths_without_a_scheme_are_those_of_spark():
+    assert qualified("/a/b", "hdfs://h:1") == "hdfs://h:1/a/b"
+    assert qualified("/a/b", "file:///") == "/a/b"
+    assert qualified("s3a://b/c", "hdfs://h:1") == "s3a://b/c"
