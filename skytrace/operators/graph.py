@@ -102,21 +102,85 @@ def last_seed(edges: DataFrame) -> DataFrame:
 
 
 def _propagate(edges: DataFrame, values: DataFrame, aggregate, pick) -> DataFrame:
-    """Carry values along edges until nothing changes; ``pick`` ignores NULLs."""
-    values = cut(values)
+    """Carry values along edges until nothing changes; ``pick`` ignores NULLs.
+
+    Nodes with one predecessor hang below each other in trees. Their way up to the root is gathered
+    by pointer doubling, in rounds that grow with the logarithm of its length; only the roots, nodes
+    where ways meet, then exchange values round by round. A ring of such nodes has no root: there
+    doubling goes on until every node has the value of the whole ring.
+    """
+    edges = cut(edges.select("src", "dst").distinct())
+    above = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("up"))
+    parents = above.filter("n = 1").select(F.col("dst").alias("node"), "up")
+    # ``value`` covers the way from a node up to, but without, ``up``.
+    ways = cut(values.join(parents, "node", "left"))
+    waiting = None
     while True:
+        higher = ways.select(
+            F.col("node").alias("up"), F.col("up").alias("next"), F.col("value").alias("rest")
+        )
+        goes_on = F.col("next").isNotNull()  # else ``up`` is a root, or there is none
+        gathered = F.when(goes_on, pick("value", "rest")).otherwise(F.col("value"))
+        ways = cut(
+            ways.join(higher, "up", "left").select(
+                "node",
+                F.coalesce("next", "up").alias("up"),
+                gathered.alias("value"),
+                goes_on.alias("open"),
+                (~gathered.eqNullSafe(F.col("value"))).alias("changed"),
+            )
+        )
+        state = ways.agg(F.count_if("open").alias("open"), F.bool_or("changed").alias("changed"))
+        found = state.first()
+        # Trees have fewer open nodes after each round; what does not shrink hangs on a ring.
+        if not found["open"] or (found["open"] == waiting and not found["changed"]):
+            return _between_roots(edges, ways.drop("changed"), aggregate, pick)
+        waiting = found["open"]
+        ways = ways.drop("open", "changed")
+
+
+def _between_roots(edges: DataFrame, ways: DataFrame, aggregate, pick) -> DataFrame:
+    """Finish ``(node, up, value, open)``: what reaches the roots, and from there the trees.
+
+    Open nodes hang on rings and are complete.
+    """
+    roots = ways.filter("NOT open AND up IS NULL").select("node", "value")
+    source = ways.select(
+        F.col("node").alias("src"),
+        F.when(~F.col("open"), F.coalesce("up", "node")).alias("root"),
+        F.when(F.col("open") | F.col("up").isNotNull(), F.col("value")).alias("carried"),
+    )
+    feeds = cut(
+        edges.join(roots.select(F.col("node").alias("dst")), "dst")
+        .join(source, "src")
+        .groupBy("dst", "root")
+        .agg(aggregate("carried").alias("carried"))
+    )
+    current = cut(roots)
+    while not feeds.isEmpty():
         arriving = (
-            edges.join(values.withColumnRenamed("node", "src"), "src")
-            .groupBy(F.col("dst").alias("node"))
-            .agg(aggregate("value").alias("_in"))
+            feeds.join(current.withColumnsRenamed({"node": "root", "value": "own"}), "root", "left")
+            .select(F.col("dst").alias("node"), pick("carried", "own").alias("arrived"))
+            .groupBy("node")
+            .agg(aggregate("arrived").alias("arrived"))
         )
-        values = cut(
-            values.join(arriving, "node", "left").select(
+        together = pick("value", "arrived")
+        current = cut(
+            current.join(arriving, "node", "left").select(
                 "node",
-                pick("value", "_in").alias("value"),
-                (~pick("value", "_in").eqNullSafe(F.col("value"))).alias("_changed"),
+                together.alias("value"),
+                (~together.eqNullSafe(F.col("value"))).alias("changed"),
             )
         )
-        if values.filter("_changed").isEmpty():
-            return values.drop("_changed")
-        values = values.drop("_changed")
+        if current.filter("changed").isEmpty():
+            current = current.drop("changed")
+            break
+        current = current.drop("changed")
+    tops = current.withColumnsRenamed({"node": "up", "value": "top"})
+    trees = (
+        ways.filter("NOT open AND up IS NOT NULL")
+        .join(tops, "up")
+        .select("node", pick("value", "top").alias("value"))
+    )
+    rings = ways.filter("open").select("node", "value")
+    return current.unionByName(trees).unionByName(rings)

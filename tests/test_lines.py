@@ -165,6 +165,43 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert got == {**dict.fromkeys(range(400), 0), **{1000 + k: 1000 for k in range(300)}}
 
 
+@pytest.mark.parametrize("shape", ["path", "ring", "ring with a tail", "tree"])
+def test_long_ways_take_few_rounds(spark, monkeypatch, shape):
+    n = 200
+    order = list(range(n))
+    random.Random(5).shuffle(order)
+    edges = [(order[i], order[i + 1]) for i in range(n - 1)]
+    if shape == "ring":
+        edges.append((order[-1], order[0]))
+    elif shape == "ring with a tail":
+        edges.append((order[99], order[0]))
+        edges.remove((order[99], order[100]))
+        edges.append((order[50], order[100]))
+    elif shape == "tree":
+        edges = [(order[i // 2], order[i]) for i in range(1, n)]
+    cuts = []
+    monkeypatch.setattr(graph, "cut", lambda df, cut=graph.cut: cuts.append(1) or cut(df))
+    df = spark.createDataFrame(edges, "src long, dst long")
+    got = {r.node: r.seed for r in graph.last_seed(df).collect()}
+    following = {}
+    for a, b in edges:
+        following.setdefault(a, []).append(b)
+
+    def reached(start):
+        seen, todo = {start}, [start]
+        while todo:
+            for b in following.get(todo.pop(), []):
+                if b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        return seen
+
+    reach = {a: reached(a) for a in range(n)}
+    seeds = [a for a in range(n) if not any(a in reach[b] for b in range(a))]
+    assert got == {b: max(a for a in seeds if b in reach[a]) for b in range(n)}
+    assert len(cuts) <= 2 * (10 + 4)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_last_seed_on_random_digraphs(spark, seed):
     rng = random.Random(seed)
