@@ -26,7 +26,7 @@ HEADLINE = [
     "volume_report",
     "kml_placemarks",
     "exclude_boxes",
-    "coverage_area",
+    "ring_areas",
     "crop_points",
     "renumber_photos",
 ]

@@ -252,16 +252,29 @@ def crop_points(
         F.col("x").between(extent["x_min"], extent["x_max"])
         & F.col("y").between(extent["y_min"], extent["y_max"])
     )
-    inside = [_inside(near, level) for level in polygon_cover(edges, height, width)]
-    return reduce(DataFrame.unionByName, inside)
+    return _inside(near, polygon_cover(edges, height, width))
 
 
-def _inside(points: DataFrame, level: CoverLevel) -> DataFrame:
-    placed = points.withColumns(
-        {"_band": F.floor(F.col("y") / level.height), "_col": F.floor(F.col("x") / level.width)}
+def _inside(points: DataFrame, levels: list[CoverLevel]) -> DataFrame:
+    """Points in the squares of all levels, by one join: no two levels share any place, so a point
+    that is looked up once for each level is found once at most.
+    """
+    sizes = [
+        F.struct(F.lit(i).alias("at"), F.lit(v.height).alias("h"), F.lit(v.width).alias("w"))
+        for i, v in enumerate(levels)
+    ]
+    placed = points.withColumn("_level", F.explode(F.array(*sizes))).withColumns(
+        {
+            "_band": F.floor(F.col("y") / F.col("_level.h")),
+            "_col": F.floor(F.col("x") / F.col("_level.w")),
+            "_level": F.col("_level.at"),
+        }
+    )
+    squares = reduce(
+        DataFrame.unionByName,
+        [v.squares.withColumn("level", F.lit(i)) for i, v in enumerate(levels)],
     )
-    squares = level.squares.withColumnsRenamed({"band": "_band", "col": "_col"})
-    if level.bytes <= BROADCAST_BYTES:
+    if sum(v.bytes for v in levels) <= BROADCAST_BYTES:
         squares = F.broadcast(squares)
     p, s = placed.alias("p"), squares.alias("s")
     crossed = F.size(
@@ -273,8 +286,9 @@ def _inside(points: DataFrame, level: CoverLevel) -> DataFrame:
         )
     )
     condition = (
-        (F.col("p._band") == F.col("s._band"))
-        & (F.col("p._col") == F.col("s._col"))
+        (F.col("p._level") == F.col("s.level"))
+        & (F.col("p._band") == F.col("s.band"))
+        & (F.col("p._col") == F.col("s.col"))
         & (F.col("s.tests").isNull() | ((F.col("s.odd") + crossed) % 2 == 1))
     )
-    return p.join(s, condition, "left_semi").drop("_band", "_col")
+    return p.join(s, condition, "left_semi").drop("_level", "_band", "_col")

@@ -1,21 +1,16 @@
-"""Coverage polygons from line endpoints, and excluding endpoints by rectangles."""
+"""Areas of coverage rings, and excluding endpoints by rectangles."""
 
 from __future__ import annotations
 
-import uuid
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytrace.functions import geometry as g
-from skytrace.operators.lineage import cut, ensure_checkpoint_dir
+from skytrace.operators.lineage import cut
 from skytrace.operators.sequence import with_next_vertex
 
-IN_TASK = 200_000
-WALK = 20_000
-RING = "pos long, point_id long, type string, x double, y double"
+#: Squares of boxes up to this size are broadcast; a square takes about so many bytes.
+BROADCAST_BYTES = 64 << 20
+SQUARE_BYTES = 64
 
 
 def sorted_boxes(boxes: DataFrame) -> DataFrame:
@@ -40,145 +35,45 @@ def in_any_box(x: Column, y: Column, boxes: list[tuple[float, float, float, floa
 def exclude_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
     """Points in none of the closed boxes ``x_min, x_max, y_min, y_max``.
 
-    Boxes are sorted into sizes by powers of two. A box of size s overlaps at most four squares
-    of side s, so each size is one equality join, whatever the number of boxes or points.
+    Boxes are sorted into sizes by powers of two. A box of size s overlaps at most four squares of
+    side s; the squares of all sizes make one table, in which a point looks up one square for each
+    size that occurs. What is found, places inside boxes, is then taken out of the points. Squares
+    are broadcast only below a measured size.
     """
     side = F.greatest(F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min"))
     level = F.when(side > 0, F.ceil(F.log2(side))).otherwise(0).cast("int")
-    sized = cut(boxes.withColumn("level", level))
-    # At most one level per power of two of a double.
-    for row in sized.select("level").distinct().orderBy("level").collect():
-        step = 2.0 ** row["level"]
-        spread = sized.filter(F.col("level") == row["level"])
-        for c in ("x", "y"):
-            squares = F.sequence(F.floor(F.col(f"{c}_min") / step), F.floor(F.col(f"{c}_max") / step))
-            spread = spread.withColumn(f"s{c}", F.explode(squares))
-        p, b = points.alias("p"), spread.alias("b")
-        points = p.join(
-            b,
-            (F.floor(F.col("p.x") / step) == F.col("b.sx"))
-            & (F.floor(F.col("p.y") / step) == F.col("b.sy"))
-            & F.col("p.x").between(F.col("b.x_min"), F.col("b.x_max"))
-            & F.col("p.y").between(F.col("b.y_min"), F.col("b.y_max")),
-            "left_anti",
-        )
-    return points
-
-
-def _chain(
-    x: np.ndarray, y: np.ndarray, at: tuple[float, float], radius: float = np.inf
-) -> list[int]:
-    """Indices visited by hopping from ``at`` to the nearest unvisited point, first tie first.
-
-    All points within ``radius`` of ``at`` must be among those given, the nearest one first or
-    reachable as such; the walk stops where a point outside that radius could be nearer.
-    """
-    left = np.arange(len(x))
-    order: list[int] = []
-    here = at
-    while len(left):
-        dx, dy = x[left] - here[0], y[left] - here[1]
-        reach = np.sqrt(dx * dx + dy * dy)
-        k = int(np.argmin(reach))
-        strayed = np.hypot(here[0] - at[0], here[1] - at[1])
-        if order and reach[k] >= (radius - strayed) * (1 - 1e-9):
-            break
-        order.append(int(left[k]))
-        here = (x[left[k]], y[left[k]])
-        left = np.delete(left, k)
-    return order
-
-
-def _ring_of_group(points: pd.DataFrame) -> pd.DataFrame:
-    """Greedy ring of one project: Max points from the least x on, then Min points."""
-    tops = points[points["type"] == "Max"].sort_values(["x", "point_id"], kind="stable")
-    if tops.empty:
-        return points.iloc[:0].assign(pos=np.int64(0))
-    start = (tops["x"].iloc[0], tops["y"].iloc[0])
-    rest = tops.iloc[1:]
-    tops = pd.concat(
-        [tops.iloc[:1], rest.iloc[_chain(rest["x"].values, rest["y"].values, start)]]
+    step = F.pow(F.lit(2.0), F.col("level"))
+
+    def square(at: Column) -> Column:
+        return F.floor(at / step)
+
+    squares = boxes.withColumn("level", level)
+    for c in ("x", "y"):
+        span = F.sequence(square(F.col(f"{c}_min")), square(F.col(f"{c}_max")))
+        squares = squares.withColumn(f"s{c}", F.explode(span))
+    squares = cut(squares.select("level", "sx", "sy", "x_min", "x_max", "y_min", "y_max"))
+    # One row a size; a double has at most some two thousand powers of two.
+    sizes = {r["level"]: r["n"] for r in squares.groupBy("level").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return points
+    if sum(sizes.values()) * SQUARE_BYTES <= BROADCAST_BYTES:
+        squares = F.broadcast(squares)
+    keyed = (
+        points.select("x", "y")
+        .withColumn("level", F.explode(F.array(*[F.lit(n) for n in sorted(sizes)])))
+        .withColumns({f"s{c}": square(F.col(c)) for c in ("x", "y")})
     )
-    lows = points[points["type"] == "Min"].sort_values("point_id", kind="stable")
-    turn = (tops["x"].iloc[-1], tops["y"].iloc[-1])
-    lows = lows.iloc[_chain(lows["x"].values, lows["y"].values, turn)]
-    ring = pd.concat([tops, lows, tops.iloc[:1]])
-    return ring.assign(pos=np.arange(len(ring), dtype=np.int64))
-
-
-def greedy_ring(points: DataFrame, project: str = "project_id", in_task: int = IN_TASK) -> DataFrame:
-    """Closed ring ``(project, pos, point_id, type, x, y)`` through the endpoints of each project.
-
-    It starts at the Max point of least x, hops to the nearest remaining Max point until none is
-    left, then to the nearest remaining Min point, and returns to its start. Ties go to the lesser
-    x (Max) or the lesser ``point_id``. Projects without Max points have no ring.
-
-    Hopping is sequential, so a project is one Arrow group while it is small. Larger projects
-    are walked over the cluster by ``_long_ring``; the result is the same.
-    """
-    points = points.select(project, "point_id", "type", "x", "y").filter(
-        F.col("type").isin("Max", "Min")
-    )
-    sizes = cut(points.groupBy(project).agg(F.count(F.lit(1)).alias("n")))
-    fits = sizes.filter(F.col("n") <= in_task)
-    kind = points.schema[project].dataType.simpleString()
-    columns = [project, "pos", "point_id", "type", "x", "y"]
-    rings = (
-        points.join(fits, project, "left_semi")
-        .groupBy(project)
-        .applyInPandas(
-            lambda group: _ring_of_group(group)[columns], f"{project} {kind}, {RING}"
-        )
+    p, b = keyed.alias("p"), squares.alias("b")
+    inside = p.join(
+        b,
+        (F.col("p.level") == F.col("b.level"))
+        & (F.col("p.sx") == F.col("b.sx"))
+        & (F.col("p.sy") == F.col("b.sy"))
+        & F.col("p.x").between(F.col("b.x_min"), F.col("b.x_max"))
+        & F.col("p.y").between(F.col("b.y_min"), F.col("b.y_max")),
+        "left_semi",
     )
-    for row in sizes.filter(F.col("n") > in_task).select(project).toLocalIterator():
-        one = points.filter(F.col(project) == row[project])
-        long = _long_ring(one, min(WALK, in_task))
-        if long is not None:
-            rings = rings.unionByName(long.withColumn(project, F.lit(row[project]).cast(kind)))
-    return rings
-
-
-def _long_ring(points: DataFrame, walk: int):
-    """The same ring for a project of any size, ``walk`` nearest points at a time.
-
-    Each round fetches the points nearest to the current end of the ring and follows the hops that
-    no unfetched point could change (at least one). Finished stretches go to a table in the
-    checkpoint folder.
-    """
-    spark = points.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/ring-{uuid.uuid4().hex}"
-    points = cut(points.select("point_id", "type", "x", "y"))
-    first = points.filter(F.col("type") == "Max").orderBy("x", "point_id").first()
-    if first is None:
-        return None
-    pos = 0
-
-    def append(rows: list[tuple]) -> None:
-        nonlocal pos
-        numbered = [(pos + i, *row) for i, row in enumerate(rows)]
-        spark.createDataFrame(numbered, RING).coalesce(1).write.mode("append").parquet(path)
-        pos += len(rows)
-
-    append([tuple(first)])
-    here = (first["x"], first["y"])
-    for kind, ties in (("Max", ["x", "point_id"]), ("Min", ["point_id"])):
-        left = points.filter((F.col("type") == kind) & (F.col("point_id") != first["point_id"]))
-        while True:
-            away = g.distance(F.col("x"), F.col("y"), F.lit(here[0]), F.lit(here[1]))
-            near = left.withColumn("_d", away).orderBy("_d", *ties).limit(walk + 1).toPandas()
-            if near.empty:
-                break
-            radius = near["_d"].iloc[-1] if len(near) > walk else np.inf
-            near = near.sort_values(ties, kind="stable")
-            steps = near.iloc[_chain(near["x"].values, near["y"].values, here, radius)]
-            rows = [tuple(r) for r in steps[["point_id", "type", "x", "y"]].itertuples(index=False)]
-            append(rows)
-            here = rows[-1][2:]
-            visited = spark.createDataFrame([(int(r[0]),) for r in rows], "point_id long")
-            left = cut(left.join(F.broadcast(visited), "point_id", "left_anti"))
-    append([tuple(first)])
-    return spark.read.schema(RING).parquet(path)
+    return points.join(inside.select("x", "y").distinct(), ["x", "y"], "left_anti")
 
 
 def ring_areas(rings: DataFrame, project: str = "project_id") -> DataFrame:
@@ -196,11 +91,3 @@ def ring_areas(rings: DataFrame, project: str = "project_id") -> DataFrame:
         .drop("positions")
         .withColumns({"area_ha": F.col("area_m2") / 10000, "area_km2": F.col("area_m2") / 1e6})
     )
-
-
-def coverage_area(
-    points: DataFrame, boxes: DataFrame | None = None, project: str = "project_id"
-) -> DataFrame:
-    """Area of the greedy ring of each project after excluding the points in the boxes."""
-    kept = points if boxes is None else exclude_boxes(points, boxes)
-    return ring_areas(greedy_ring(kept, project), project)

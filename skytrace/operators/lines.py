@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.functions import geometry as g
+from skytrace.functions.crs import common_srid
 from skytrace.operators import graph
 from skytrace.operators.lineage import cut
 from skytrace.operators.sequence import CHUNK_ROWS, number_globally, with_next_vertex
@@ -419,8 +420,13 @@ def volume_report(chords: DataFrame) -> DataFrame:
     )
 
 
-def layer_union(layers: list[DataFrame]) -> DataFrame:
-    """All features of several layers by column name; missing columns become NULL."""
+def layer_union(layers: list[DataFrame], srids: list[int] | None = None) -> DataFrame:
+    """All features of several layers by column name; missing columns become NULL.
+
+    ``srids`` are the reference systems of the layers; mixing systems is an error.
+    """
+    if srids is not None:
+        common_srid(set(srids))
     union = layers[0]
     for layer in layers[1:]:
         union = union.unionByName(layer, allowMissingColumns=True)

@@ -16,8 +16,18 @@ from skytrace.operators.lines import volume_report, with_length_km
 
 # The wording of the reports.
 VOLUME_TITLE = "Volumen de Obra:"
+VOLUME_LINE = "Linea "
+VOLUME_TOTAL = "Total de Longitud en km: "
+AREA_KM2 = "Área en km²: "
+AREA_HA = "Área en hectáreas: "
+FLIGHT = "Vuelo: "
+FLIGHT_DIRECTION = " con dirección "
+FLIGHT_LENGTH = " y longitud total de líneas de producción "
+FLIGHT_TOTAL = "Total de todas las longitudes: "
 KML_HEADER = '<kml xmlns="http://www.opengis.net/kml/2.2"><Document><name>Lineas</name>'
 KML_FOOTER = "</Document></kml>"
+KML_DIRECTION = "Dirección: "
+KML_LENGTH = "Longitud: "
 
 
 def _fixed_line(df: DataFrame, block: int, value: str) -> DataFrame:
@@ -30,11 +40,11 @@ def volume_text(chords: DataFrame) -> DataFrame:
     """Title, a line per chord, an empty line, the total."""
     rows = volume_report(chords)
     per_line = F.concat(
-        F.lit("Linea "), F.col("id").cast("string"), F.lit(": "), kilometres(F.col("long_km")),
+        F.lit(VOLUME_LINE), F.col("id").cast("string"), F.lit(": "), kilometres(F.col("long_km")),
         F.lit(" km"),
     )
     total = F.concat(
-        F.lit("Total de Longitud en km: "), kilometres(F.coalesce("long_km", F.lit(0.0)))
+        F.lit(VOLUME_TOTAL), kilometres(F.coalesce("long_km", F.lit(0.0)))
     )
     body = rows.select(
         F.when(F.col("is_total"), 3).otherwise(1).alias("block"),
@@ -48,16 +58,16 @@ def volume_text(chords: DataFrame) -> DataFrame:
 
 def area_text(areas: DataFrame, project: str = "project_id") -> DataFrame:
     """Two lines per project: the area under both labels. The first holds square metres, as the
-    report always did; ``coverage_area`` also gives true square kilometres.
+    report always did; ``ring_areas`` also gives true square kilometres.
     """
     lines = F.array(
         F.struct(
             F.lit(0).cast("long").alias("ord"),
-            F.concat(F.lit("Área en km²: "), kilometres(F.col("area_m2"))).alias("value"),
+            F.concat(F.lit(AREA_KM2), kilometres(F.col("area_m2"))).alias("value"),
         ),
         F.struct(
             F.lit(1).cast("long").alias("ord"),
-            F.concat(F.lit("Área en hectáreas: "), kilometres(F.col("area_ha"))).alias("value"),
+            F.concat(F.lit(AREA_HA), kilometres(F.col("area_ha"))).alias("value"),
         ),
     )
     return areas.select(F.col(project).alias("block"), F.inline(lines))
@@ -66,12 +76,12 @@ def area_text(areas: DataFrame, project: str = "project_id") -> DataFrame:
 def flight_text(report: DataFrame) -> DataFrame:
     """A line per flight and the grand total, from ``flights.flight_report``."""
     per_flight = F.concat(
-        F.lit("Vuelo: "), file_stem(F.col("flight")), F.lit(" con dirección "), F.col("direction"),
-        F.lit(" y longitud total de líneas de producción "), kilometres(F.col("total_km")),
+        F.lit(FLIGHT), file_stem(F.col("flight")), F.lit(FLIGHT_DIRECTION), F.col("direction"),
+        F.lit(FLIGHT_LENGTH), kilometres(F.col("total_km")),
         F.lit(" km"),
     )
     total = F.concat(
-        F.lit("Total de todas las longitudes: "),
+        F.lit(FLIGHT_TOTAL),
         kilometres(F.coalesce("total_km", F.lit(0.0))),
         F.lit(" km"),
     )
@@ -96,8 +106,8 @@ def kml_placemarks(chords: DataFrame, srid: int | str = GEOGRAPHIC) -> DataFrame
     further = [c for c in lines.columns if c not in ("id", "direction", "long_km", "coords")]
     description = F.concat_ws(
         "\n",
-        F.concat(F.lit("Dirección: "), "direction"),
-        F.concat(F.lit("Longitud: "), kilometres(F.col("long_km")), F.lit(" km")),
+        F.concat(F.lit(KML_DIRECTION), "direction"),
+        F.concat(F.lit(KML_LENGTH), kilometres(F.col("long_km")), F.lit(" km")),
         *[
             F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("None")))
             for c in further
@@ -109,7 +119,7 @@ def kml_placemarks(chords: DataFrame, srid: int | str = GEOGRAPHIC) -> DataFrame
         _element(
             "Placemark",
             F.concat(
-                _element("name", F.concat(F.lit("Linea "), F.col("id").cast("string"))),
+                _element("name", F.concat(F.lit(VOLUME_LINE), F.col("id").cast("string"))),
                 _element("description", xml_escaped(description)),
                 _element("LineString", _element("coordinates", coordinates)),
             ),

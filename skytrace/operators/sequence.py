@@ -60,12 +60,9 @@ def number_globally(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Dense numbers 1, 2, ... over the whole of ``df`` in the given (total) order.
 
     Rows are range partitioned, numbered inside their range, and shifted by the sizes of the
-    ranges before. The input is checkpointed because sampling the ranges reads it once more, and
-    the ranges are because both uses must see the same ones.
+    ranges before. The ranges are checkpointed, because sampling them again could move them.
     """
-    ranged = cut(
-        cut(df).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    )
+    ranged = cut(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
     return number_rows(ranged, [], "_range", order, name).drop("_range")
 
 

@@ -24,10 +24,23 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b))
 
 
-def track(spark: SparkSession, sf_dir: str, flights: int = 8) -> DataFrame:
-    """Back-and-forth flights over ``events``: passes of 50 fixes, then turns of six."""
+def short_flights() -> Column:
+    """Flight numbers by which one event in a few hundred belongs to a flight of one to three."""
+    block = _div(F.col("event_id"), 500)
+    few = F.col("event_id") % 500 <= block % 3
+    return F.when(few, 1_000_000 + block).otherwise(F.col("user_id") % 8)
+
+
+def track(
+    spark: SparkSession, sf_dir: str, number: Column | None = None, oblique: bool = False
+) -> DataFrame:
+    """Back-and-forth flights over ``events``: passes of 50 fixes, then turns of six.
+
+    Flights are numbered by ``number``, eight by default. With ``oblique`` every fourth flight
+    runs from south-west to north-east and back.
+    """
     events = table(spark, sf_dir, "events").select(
-        (F.col("user_id") % flights).cast("string").alias("flight"),
+        (F.col("user_id") % 8 if number is None else number).cast("string").alias("flight"),
         "event_id",
         "event_type",
         (F.col("value") - F.floor("value")).alias("u"),
@@ -45,6 +58,12 @@ def track(spark: SparkSession, sf_dir: str, flights: int = 8) -> DataFrame:
     turned = F.when(j < PASS_FIXES, F.lit(0)).otherwise(j - (PASS_FIXES - 1)).cast("double") / 7.0
     across = (k.cast("double") + turned) * 1e-3 + F.col("u") * 2e-6
     east_west = F.col("flight").cast("int") % 2 == 0
+    x = F.when(east_west, F.col("along")).otherwise(F.col("across"))
+    y = F.when(east_west, F.col("across")).otherwise(F.col("along"))
+    if oblique:
+        slanted = F.col("flight").cast("int") % 4 == 3
+        x = F.when(slanted, F.col("along") + F.col("across")).otherwise(x)
+        y = F.when(slanted, F.col("along") - F.col("across")).otherwise(y)
     return (
         number_rows(events, ["flight"], "part", ["event_id"], "seq", start=0)
         .withColumns({"k": _div(n, PASS_LENGTH), "j": n % PASS_LENGTH})
@@ -52,8 +71,8 @@ def track(spark: SparkSession, sf_dir: str, flights: int = 8) -> DataFrame:
         .select(
             "flight",
             "seq",
-            (F.when(east_west, F.col("along")).otherwise(F.col("across")) - 99.0).alias("x"),
-            (F.when(east_west, F.col("across")).otherwise(F.col("along")) + 19.0).alias("y"),
+            (x - 99.0).alias("x"),
+            (y + 19.0).alias("y"),
             F.when((F.col("event_type") == "error") & (n % 11 == 0), F.lit(-1.0))
             .otherwise(2200.0 + F.col("u"))
             .alias("z"),
@@ -141,30 +160,23 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ring_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Endpoints of one project per thirty customers, with many distance ties."""
-    key = F.col("c_custkey")
+def ordered_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed rings of thirty vertices: ``project_id, pos, x, y``; some cross themselves."""
+    k = F.col("c_custkey") - 1
+    pos = (k % 30).cast("long")
     return table(spark, sf_dir, "customer").select(
-        _div(key, 30).alias("project_id"),
-        (key % 30).cast("long").alias("point_id"),
-        F.when(key % 2 == 0, "Max").otherwise("Min").alias("type"),
-        ((key * 7 + F.col("c_nationkey")) % 25).cast("double").alias("x"),
-        ((key * 11 + F.col("c_nationkey") * 3) % 13).cast("double").alias("y"),
+        _div(k, 30).alias("project_id"),
+        F.explode(F.when(pos == 0, F.array(pos, pos + 30)).otherwise(F.array(pos))).alias("pos"),
+        ((k * 7 + F.col("c_nationkey")) % 25).cast("double").alias("x"),
+        ((k * 11 + F.col("c_nationkey") * 3) % 13).cast("double").alias("y"),
     )
 
 
-LOG_KEYS = 5000
-
-
-def photo_log(spark: SparkSession, sf_dir: str, short_logs: bool = False) -> DataFrame:
-    """Camera logs over ``orders``: ``file, line_no, value``; some lines are too short.
-
-    There are five logs, or one for every 5,000 order keys (``short_logs``).
-    """
+def photo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five camera logs over ``orders``: ``file, line_no, value``; some lines are too short."""
     key = F.col("o_orderkey")
-    log = _div(key, LOG_KEYS) if short_logs else F.col("o_custkey") % 5
     rows = table(spark, sf_dir, "orders").select(
-        log.cast("string").alias("file"),
+        (F.col("o_custkey") % 5).cast("string").alias("file"),
         "o_orderkey",
         chunk_of(key, CHUNK_ROWS).alias("part"),
         F.when(key % 13 == 0, F.lit("IMG"))

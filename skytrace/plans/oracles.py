@@ -6,8 +6,6 @@ DuckDB on small tables only.
 
 from __future__ import annotations
 
-from skytrace.functions import crs
-
 CTES: dict[str, str] = {}
 ORACLES: dict[str, str] = {}
 
@@ -99,12 +97,19 @@ vertices AS (
 
 def utm_ctes(source: str, zone: int) -> str:
     """``projected``: the rows of ``source`` with x, y replaced by UTM coordinates."""
-    e, scale = crs.ECCENTRICITY, crs.UTM_SCALE * crs.RECTIFYING_RADIUS
+    # WGS 84 eccentricity, scale times rectifying radius, Krueger's series.
+    e, scale = 0.08181919084262149, 6364902.166165086
+    alpha = [
+        0.0008377318206303529,
+        7.608527714248998e-07,
+        1.1976380015605232e-09,
+        2.4433761945220637e-12,
+    ]
     north = " + ".join(
-        ["xi"] + [f"{a!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(crs.ALPHA, 1)]
+        ["xi"] + [f"{a!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(alpha, 1)]
     )
     east = " + ".join(
-        ["eta"] + [f"{a!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(crs.ALPHA, 1)]
+        ["eta"] + [f"{a!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(alpha, 1)]
     )
     return f"""
 radial AS (
@@ -294,42 +299,24 @@ inside AS (
 
 CTES["rings"] = """
 ring_points AS (
-  SELECT c_custkey // 30 AS project_id, c_custkey % 30 AS point_id,
-         CASE WHEN c_custkey % 2 = 0 THEN 'Max' ELSE 'Min' END AS type,
-         CAST((c_custkey * 7 + c_nationkey) % 25 AS DOUBLE) AS x,
-         CAST((c_custkey * 11 + c_nationkey * 3) % 13 AS DOUBLE) AS y
+  SELECT (c_custkey - 1) // 30 AS project_id, (c_custkey - 1) % 30 AS pos,
+         CAST(((c_custkey - 1) * 7 + c_nationkey) % 25 AS DOUBLE) AS x,
+         CAST(((c_custkey - 1) * 11 + c_nationkey * 3) % 13 AS DOUBLE) AS y
   FROM customer),
-ring_lists AS (
-  SELECT project_id,
-         list({'kind': CASE type WHEN 'Max' THEN 0 ELSE 1 END, 'd': CAST(0 AS DOUBLE),
-               'tie': CASE type WHEN 'Max' THEN x ELSE 0 END, 'point_id': point_id,
-               'x': x, 'y': y}) AS items
-  FROM ring_points GROUP BY 1),
-starts AS (
-  SELECT project_id, items, list_sort(items)[1] AS chosen FROM ring_lists
-  WHERE list_sort(items)[1].kind = 0),
-walk AS (
-  SELECT project_id, CAST(0 AS BIGINT) AS pos, chosen,
-         list_filter(items, lambda p: p.point_id <> chosen.point_id) AS rest
-  FROM starts
-  UNION ALL
-  SELECT project_id, pos + 1, next_point,
-         list_filter(rest, lambda p: p.point_id <> next_point.point_id)
-  FROM (
-    SELECT project_id, pos, rest,
-           list_sort(list_transform(rest, lambda p: {'kind': p.kind,
-             'd': sqrt((p.x - chosen.x) * (p.x - chosen.x) + (p.y - chosen.y) * (p.y - chosen.y)),
-             'tie': p.tie, 'point_id': p.point_id, 'x': p.x, 'y': p.y}))[1] AS next_point
-    FROM walk WHERE len(rest) > 0) step),
 ring AS (
-  SELECT project_id, pos, chosen.point_id AS point_id,
-         CASE chosen.kind WHEN 0 THEN 'Max' ELSE 'Min' END AS type, chosen.x AS x, chosen.y AS y
-  FROM walk
+  SELECT * FROM ring_points
   UNION ALL
-  SELECT w.project_id, l.last + 1, w.chosen.point_id, 'Max', w.chosen.x, w.chosen.y
-  FROM walk w JOIN (SELECT project_id, max(pos) AS last FROM walk GROUP BY 1) l
-    ON w.project_id = l.project_id
-  WHERE w.pos = 0)"""
+  SELECT project_id, 30, x, y FROM ring_points WHERE pos = 0)"""
+
+CTES["areas"] = """
+ring_steps AS (
+  SELECT project_id, x * lead(y) OVER w - lead(x) OVER w * y AS cross_ FROM ring
+  WINDOW w AS (PARTITION BY project_id ORDER BY pos)),
+ring_sums AS (SELECT project_id, abs(sum(cross_)) / 2 AS area FROM ring_steps GROUP BY 1),
+places AS (SELECT project_id, count(DISTINCT (x, y)) AS n FROM ring GROUP BY 1),
+areas AS (
+  SELECT project_id, CASE WHEN n >= 3 THEN area END AS area_m2
+  FROM ring_sums JOIN places USING (project_id))"""
 
 CTES["photos"] = """
 photo_log AS (
@@ -354,8 +341,8 @@ ORACLES["track_points"] = sql(["track", "clean"], "SELECT flight, seq, x, y, z F
 
 ORACLES["route_points"] = sql(
     ["track"],
-    f"""SELECT flight, seq, x, y, z, round({crs.SEMI_MAJOR!r} * radians(x), 4) AS east,
-       round({crs.SEMI_MAJOR!r} * asinh(tan(radians(y))), 4) AS north, 3857 AS srid FROM track""",
+    f"""SELECT flight, seq, x, y, z, round(6378137.0 * radians(x), 4) AS east,
+       round(6378137.0 * asinh(tan(radians(y))), 4) AS north, 3857 AS srid FROM track""",
 )
 
 ORACLES["bearing_groups"] = sql(
@@ -413,7 +400,11 @@ ORACLES["rejected_flights"] = sql(
     FROM (SELECT DISTINCT flight FROM track) t
     LEFT JOIN (SELECT flight, max(n) AS largest FROM sizes GROUP BY 1) s ON t.flight = s.flight
     WHERE coalesce(s.largest, 0) < 2""",
-).replace("user_id % 8", "user_id")
+).replace(
+    "user_id % 8",
+    "CASE WHEN event_id % 500 <= (event_id // 500) % 3 THEN 1000000 + event_id // 500"
+    " ELSE user_id % 8 END",
+)
 
 ORACLES["utm_inverse"] = sql(
     ["track", "clean"], "SELECT flight, seq, round(x, 8) AS lon, round(y, 8) AS lat FROM clean"
@@ -530,23 +521,9 @@ FROM customer
 UNION ALL
 SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier"""
 
-ORACLES["greedy_ring"] = sql(
-    ["rings"], "SELECT project_id, pos, point_id, type, x, y FROM ring", recursive=True
-)
-
-ORACLES["coverage_area"] = sql(
-    ["rings"],
-    """, ring_steps AS (
-      SELECT project_id, x * lead(y) OVER w - lead(x) OVER w * y AS cross_ FROM ring
-      WINDOW w AS (PARTITION BY project_id ORDER BY pos)),
-    ring_sums AS (
-      SELECT project_id, abs(sum(cross_)) / 2 AS area FROM ring_steps GROUP BY 1),
-    sizes AS (SELECT project_id, count(DISTINCT (x, y)) AS places FROM ring GROUP BY 1)
-    SELECT r.project_id, CASE WHEN places >= 3 THEN area END AS area_m2,
-           CASE WHEN places >= 3 THEN area / 10000 END AS area_ha,
-           CASE WHEN places >= 3 THEN area / 1e6 END AS area_km2
-    FROM ring_sums r JOIN sizes s ON r.project_id = s.project_id""",
-    recursive=True,
+ORACLES["ring_areas"] = sql(
+    ["rings", "areas"],
+    "SELECT *, area_m2 / 10000 AS area_ha, area_m2 / 1e6 AS area_km2 FROM areas",
 )
 
 ORACLES["polygon_area"] = sql(
@@ -562,31 +539,159 @@ ORACLES["crop_points"] = sql(
          SELECT 1 FROM inside i WHERE i.x = c.x AND i.y = c.y)""",
 )
 
-ORACLES["renumber_photos"] = sql(
-    ["photos"],
-    """SELECT file, line_no - 6 AS photo_no,
+CTES["renamed"] = """
+renamed AS (
+  SELECT file, line_no - 6 AS photo_no,
          CASE WHEN length(value) >= 8
               THEN 'DSC' || printf('%05d', line_no - 6) || '.JPG' || substr(value, 9)
               ELSE value END AS value
-       FROM photo_log WHERE line_no > 6""",
+  FROM photo_log WHERE line_no > 6)"""
+
+ORACLES["renumber_photos"] = sql(["photos", "renamed"], "SELECT * FROM renamed")
+
+ORACLES["track_text"] = sql(["track"], "SELECT flight, seq, x, y, z FROM track")
+
+ORACLES["track_skip_rows"] = sql(["track"], "SELECT flight, x, y, z FROM track")
+
+ORACLES["track_rejects"] = """
+SELECT DISTINCT CAST(o_orderkey % 3 AS VARCHAR) AS layout,
+       CASE o_orderkey % 3 WHEN 1 THEN 'too_few_columns' ELSE 'row_longer_than_first' END AS reason
+FROM orders WHERE o_orderkey % 3 <> 0"""
+
+ORACLES["camera_log_text"] = ORACLES["renumber_photos"]
+
+ORACLES["renamed_camera_logs"] = sql(
+    ["photos", "renamed"],
+    """SELECT 'Camara_v' || file || '__.txt' AS output, photo_no, value FROM renamed""",
+)
+
+ORACLES["flight_layers"] = sql(
+    [*PRODUCTION, UNPROJECTED, "measured"],
+    "SELECT 'Vuelo ' || flight || '_lineas.shp' AS flight, id, direction, n FROM measured",
+)
+
+ORACLES["point_layers"] = sql(
+    ["track", "clean"],
+    "SELECT 'Vuelo ' || flight || '_filtrada.shp' AS flight, seq, x, y, z FROM clean",
+)
+
+ORACLES["endpoint_layer"] = sql(
+    ["line_layer", "layer_lists", "endpoints"],
+    "SELECT point_id, line_id, type, x, y, 32614 AS srid FROM endpoints",
+)
+
+ORACLES["merged_layer"] = ORACLES["extreme_chords"]
+
+
+def _numbered(ctes: list[str], rows: str) -> str:
+    """The lines of a report, given as ``block, ord, value``, numbered from 1 on."""
+    return sql(
+        [*ctes, f"\nreport AS ({rows})"],
+        "SELECT row_number() OVER (ORDER BY block, ord) AS line_no, value FROM report",
+    )
+
+
+ORACLES["volume_text"] = _numbered(
+    ["line_layer", "layer_lists"],
+    """SELECT 0 AS block, 0 AS ord, 'Volumen de Obra:' AS value
+       UNION ALL
+       SELECT 1, id, 'Linea ' || id || ': ' || printf('%.3f', (w1 + w2) / 1000) || ' km'
+       FROM layer_measures
+       UNION ALL SELECT 2, 0, ''
+       UNION ALL
+       SELECT 3, 0, 'Total de Longitud en km: ' || printf('%.3f', sum((w1 + w2) / 1000))
+       FROM layer_measures""",
 )
 
-ORACLES["track_text"] = sql(["track"], "SELECT flight, x, y, z FROM track")
+ORACLES["area_text"] = _numbered(
+    ["rings", "areas"],
+    """SELECT project_id AS block, 0 AS ord, 'Área en km²: ' || printf('%.3f', area_m2) AS value
+       FROM areas
+       UNION ALL
+       SELECT project_id, 1, 'Área en hectáreas: ' || printf('%.3f', area_m2 / 10000) FROM areas""",
+)
 
-ORACLES["camera_log_text"] = ORACLES["renumber_photos"].replace(
-    "o_custkey % 5", "o_orderkey // 5000"
+ORACLES["rings_kml"] = """
+WITH """ + CTES["rings"] + """,
+report AS (
+  SELECT project_id, 0 AS block, 0 AS ord,
+         '<Placemark><Polygon><outerBoundaryIs><LinearRing><coordinates>' AS value
+  FROM ring WHERE pos = 0
+  UNION ALL SELECT project_id, 1, pos, x || ',' || y FROM ring
+  UNION ALL
+  SELECT project_id, 2, 0, '</coordinates></LinearRing></outerBoundaryIs></Polygon></Placemark>'
+  FROM ring WHERE pos = 0)
+SELECT row_number() OVER (ORDER BY project_id, block, ord) AS line_no, value FROM report"""
+
+# A description has two lines, so a placemark takes two.
+ORACLES["lines_kml"] = """
+WITH marks AS (""" + ORACLES["kml_placemarks"] + """),
+report AS (
+  SELECT 0 AS block, 0 AS ord, 1 AS part,
+         '<kml xmlns="http://www.opengis.net/kml/2.2"><Document><name>Lineas</name>' AS value
+  UNION ALL
+  SELECT 1, id, part, string_split(value, chr(10))[part]
+  FROM marks, (SELECT unnest([1, 2]) AS part)
+  UNION ALL SELECT 2, 0, 1, '</Document></kml>')
+SELECT row_number() OVER (ORDER BY block, ord, part) AS line_no, value FROM report"""
+
+ORACLES["appended_flight_reports"] = sql(
+    [*PRODUCTION, PROJECTED, "measured"],
+    """, report AS (
+      SELECT 0 AS block, flight, 'Vuelo: ' || flight || ' con dirección ' || max(direction)
+        || ' y longitud total de líneas de producción ' || printf('%.3f', sum(long_km)) || ' km'
+        AS value
+      FROM measured GROUP BY flight
+      UNION ALL
+      SELECT 1, NULL, 'Total de todas las longitudes: ' || printf('%.3f', sum(long_km)) || ' km'
+      FROM measured)
+    SELECT CAST(run AS INTEGER) AS run,
+           row_number() OVER (PARTITION BY run ORDER BY block, flight) AS line_no, value
+    FROM report, (SELECT unnest([1, 2]) AS run)""",
+)
+
+ORACLES["reprojected_kml"] = sql(
+    [*PRODUCTION, UNPROJECTED, "measured"],
+    """SELECT flight || '/' || id AS id, round(start_x, 8) AS start_x, round(start_y, 8) AS start_y,
+         round(end_x, 8) AS end_x, round(end_y, 8) AS end_y FROM measured""",
+)
+
+OBLIQUE = CTES["track"].replace(
+    "CASE WHEN f % 2 = 0 THEN along ELSE across END - 99 AS x",
+    "CASE WHEN f % 4 = 3 THEN along + across WHEN f % 2 = 0 THEN along ELSE across END - 99 AS x",
+).replace(
+    "CASE WHEN f % 2 = 0 THEN across ELSE along END + 19 AS y",
+    "CASE WHEN f % 4 = 3 THEN along - across WHEN f % 2 = 0 THEN across ELSE along END + 19 AS y",
+)
+
+ORACLES["oblique_lines"] = sql(
+    [OBLIQUE, *PRODUCTION[1:], UNPROJECTED, "measured"],
+    "SELECT flight, id, direction, n, first_seq, last_seq FROM measured",
 )
 
+ORACLES["oblique_volume"] = ORACLES["survey_volume"].replace(CTES["track"], OBLIQUE)
+
 ORACLES["las_cloud"] = sql(
-    ["inside"],
-    """SELECT CAST(l_linenumber AS INTEGER) AS classification, x, y, CAST(z AS DOUBLE) AS z,
-         count(*) AS n
-       FROM cloud c WHERE EXISTS (SELECT 1 FROM inside i WHERE i.x = c.x AND i.y = c.y)
-       GROUP BY 1, 2, 3, 4""",
+    ["inside", """
+records AS (
+  SELECT l_linenumber AS ln, l_orderkey AS o, l_partkey AS p, l_suppkey AS s, x, y,
+         CAST(z AS DOUBLE) AS z
+  FROM cloud c WHERE EXISTS (SELECT 1 FROM inside i WHERE i.x = c.x AND i.y = c.y))"""],
+    """SELECT x, y, z, CAST(o % 65536 AS INTEGER) AS intensity,
+         CAST(ln % 16 AS INTEGER) AS return_number, 15 AS number_of_returns,
+         CAST(s % 256 AS INTEGER) AS classification, CAST(ln % 16 AS INTEGER) AS class_flags,
+         CAST(o % 4 AS INTEGER) AS scanner_channel, CAST(o % 2 AS INTEGER) AS scan_direction,
+         CAST(p % 2 AS INTEGER) AS edge_of_line,
+         round(CAST(p % 1000 - 500 AS DOUBLE) * CAST(0.006 AS DOUBLE), 3) AS scan_angle,
+         CAST(p % 256 AS INTEGER) AS user_data, CAST(s % 65536 AS INTEGER) AS point_source_id,
+         CAST(o AS DOUBLE) * CAST(0.25 AS DOUBLE) AS gps_time, CAST(p % 65536 AS INTEGER) AS red,
+         40000 AS green, 7 AS blue, CAST(o % 50000 AS INTEGER) AS nir
+       FROM records""",
 )
 
 ORACLES["line_shapefile"] = sql(
     ["line_layer", "layer_lists"],
-    """SELECT id, direction, round((w1 + w2) / 1000, 9) AS long_km, 32614 AS srid, wkt
+    """SELECT id, 'dirección ' || direction AS direction, round((w1 + w2) / 1000, 9) AS long_km,
+         32614 AS srid, wkt
        FROM layer_measures""",
 )

@@ -5,16 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skytrace.functions import geometry as g
 from skytrace.functions.crs import reproject_columns
+from skytrace.functions.text import with_suffix
 from skytrace.operators import cloud, coverage, flights, lines, photos, reports
 from skytrace.operators.lineage import cut, ensure_checkpoint_dir
+from skytrace.operators.sequence import running_offsets
 from skytrace.plans import inputs
-from skytrace.sources import register
-from skytrace.sources.text import read_camera_logs, read_tracks
+from skytrace.sources import register, sinks
+from skytrace.sources.text import numbered_lines, read_camera_logs, read_tracks
 
 UTM = 32614
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,8 +114,8 @@ def dominant_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rejected_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flight per user: some have too few fixes for any run."""
-    return flights.rejected_flights(inputs.track(spark, sf_dir, flights=1 << 40))
+    """Some flights have one to three fixes only."""
+    return flights.rejected_flights(inputs.track(spark, sf_dir, inputs.short_flights()))
 
 
 @query
@@ -258,20 +260,15 @@ def layer_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("name"),
         F.col("s_acctbal").alias("balance"),
     )
-    return lines.layer_union([customers, suppliers])
+    return lines.layer_union([customers, suppliers], srids=[UTM, UTM])
 
 
 # Coverage, clouds, photos
 
 
 @query
-def greedy_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coverage.greedy_ring(inputs.ring_endpoints(spark, sf_dir))
-
-
-@query
-def coverage_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coverage.coverage_area(inputs.ring_endpoints(spark, sf_dir))
+def ring_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.ring_areas(inputs.ordered_rings(spark, sf_dir))
 
 
 @query
@@ -292,78 +289,306 @@ def renumber_photos(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Formats: the derived inputs written and read back
 
 
+def _in_parts(rows: DataFrame, folder: str, number: str) -> DataFrame:
+    """Lines of part files below ``folder=<name>/``, numbered through the parts in order of name."""
+    named = rows.withColumnsRenamed({rows.columns[0]: "part"}).withColumn(
+        folder, F.regexp_extract("part", f"{folder}=([^/]*)/", 1)
+    )
+    counts = named.groupBy(folder, "part").agg(F.count(F.lit(1)).alias("n"))
+    before = running_offsets(counts, [folder], "part", "n", "before").drop("n")
+    joined = named.join(before, [folder, "part"])
+    return joined.withColumn(number, F.col(number) + F.col("before")).drop("part", "before")
+
+
+def _track_files(spark: SparkSession, sf_dir: str, head: str | None = None) -> str:
+    """The fixes as text files in range parts, a folder per flight; ``head`` opens each part."""
+    path = _scratch(spark, "tracks")
+    rows = (
+        inputs.track(spark, sf_dir)
+        .select("flight", "seq", F.concat_ws("  ", F.lit("p"), "seq", "x", "y", "z").alias("value"))
+        .repartitionByRange("flight", "seq")
+        .sortWithinPartitions("flight", "seq")
+    )
+    if head:
+        first = F.row_number().over(Window.partitionBy("part", "flight").orderBy("seq")) == 1
+        opened = F.when(first, F.array(F.lit(head), F.lit("  "), "value"))
+        rows = (
+            rows.withColumn("part", F.spark_partition_id())
+            .withColumn("lines", opened.otherwise(F.array("value")))
+            .select("flight", "seq", F.posexplode("lines").alias("pos", "value"))
+            .sortWithinPartitions("flight", "seq", "pos")
+        )
+    rows.select("flight", "value").write.partitionBy("flight").text(path)
+    return path
+
+
 @query
 def track_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixes written as text files, one folder per flight, and scanned again in line order."""
-    path = _scratch(spark, "tracks")
-    rows = inputs.track(spark, sf_dir).select(
-        "flight",
-        "seq",
-        F.concat_ws("  ", F.lit("p"), "seq", "x", "y", "z").alias("value"),
+    scan = read_tracks(spark, _track_files(spark, sf_dir), prefix="part-", columns=(2, 3, 4))
+    return _in_parts(scan.track, "flight", "seq")
+
+
+@query
+def track_skip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that open with a heading and a blank line: the heading row is skipped."""
+    path = _track_files(spark, sf_dir, "point number longitude latitude altitude remark")
+    scan = read_tracks(spark, path, prefix="part-", skip_rows=1)
+    return scan.track.select(
+        F.regexp_extract("flight", "flight=([^/]*)/", 1).alias("flight"), "x", "y", "z"
+    )
+
+
+@query
+def track_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files of orders, a folder for each of three layouts, and why two cannot be read."""
+    path = _scratch(spark, "layouts")
+    key = F.col("o_orderkey")
+    cells = F.when(key % 3 == 0, F.lit("1 2 3 4 5")).when(key % 3 == 1, F.lit("1 2 3 4"))
+    rows = inputs.table(spark, sf_dir, "orders").select(
+        (key % 3).alias("layout"),
+        (key % 2).alias("half"),
+        cells.otherwise(F.when(key % 2 == 0, F.lit("1 2 3 4 5")).otherwise("1 2 3 4 5 6")).alias("value"),
     )
     (
-        rows.repartitionByRange("flight", "seq")
-        .sortWithinPartitions("flight", "seq")
-        .select("flight", "value")
-        .write.partitionBy("flight")
+        rows.repartition(1, "layout")
+        .sortWithinPartitions("layout", "half")
+        .select("layout", "value")
+        .write.partitionBy("layout")
         .text(path)
     )
-    scan = read_tracks(spark, path, prefix="part-", columns=(2, 3, 4))
-    return scan.track.select(
-        F.regexp_extract("flight", "flight=([^/]*)/", 1).alias("flight"), "x", "y", "z"
-    )
+    rejects = read_tracks(spark, path, prefix="part-").rejects
+    return rejects.select(
+        F.regexp_extract("flight", "layout=([^/]*)/", 1).alias("layout"), "reason"
+    ).distinct()
 
 
 @query
 def camera_log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Camera logs of bounded size written as one text file each, read and renumbered."""
+    """Camera logs written in range parts, read back, joined and renumbered."""
     path = _scratch(spark, "photos")
     (
-        inputs.photo_log(spark, sf_dir, short_logs=True)
-        .repartition("file")
+        inputs.photo_log(spark, sf_dir)
+        .repartitionByRange("file", "line_no")
         .sortWithinPartitions("file", "line_no")
         .select("file", "value")
         .write.partitionBy("file")
         .text(path)
     )
     logs = read_camera_logs(spark, path, prefix="part-", recursive=True)
-    named = logs.withColumn("file", F.regexp_extract("file", "file=([^/]*)/", 1))
-    return photos.renumber_photos(named)
+    named = logs.select(F.col("file").alias("path"), "line_no", "value")
+    return photos.renumber_photos(_in_parts(named, "file", "line_no"))
+
+
+# Sinks: written and read back
+
+
+@query
+def renamed_camera_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renumbered logs under the names their outputs have."""
+    path = _scratch(spark, "renamed")
+    logs = inputs.photo_log(spark, sf_dir).withColumn(
+        "file", F.concat(F.lit("/survey/Camara_v"), "file", F.lit(".txt"))
+    )
+    sinks.write_camera_logs(photos.renumber_photos(logs), path)
+    lines = numbered_lines(spark, path, "part-", recursive=True).select(
+        F.col("file").alias("path"), F.col("line_no").alias("photo_no"), "value"
+    )
+    return _in_parts(lines, "output", "photo_no")
+
+
+def _layer_name(suffix: str, extension: str) -> Column:
+    """The name of a flight's layer, after the file that the flight was read from."""
+    track = F.concat(F.lit("/survey/Vuelo "), "flight", F.lit(".txt"))
+    return with_suffix(track, suffix, extension).alias("flight")
+
+
+@query
+def point_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filtered fixes as a layer with a folder per flight."""
+    path = _scratch(spark, "points")
+    points = flights.clean_points(inputs.track(spark, sf_dir))
+    named = points.select(_layer_name("_filtrada", ".shp"), "seq", "x", "y", "z")
+    sinks.write_layer(named, path, by="flight")
+    return spark.read.parquet(path)
+
+
+@query
+def flight_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Production lines as a layer with a folder per flight."""
+    path = _scratch(spark, "layers")
+    lines_of_flights = flights.production_lines(inputs.track(spark, sf_dir)).select(
+        _layer_name("_lineas", ".shp"), "id", "direction", "n"
+    )
+    sinks.write_layer(lines_of_flights, path, by="flight")
+    return spark.read.parquet(path)
+
+
+@query
+def endpoint_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line ends as point shapefiles."""
+    register(spark)
+    path = _scratch(spark, "ends")
+    ends = lines.line_endpoints(inputs.line_layer(spark, sf_dir))
+    vertex = F.array(F.array(g.point(F.col("x"), F.col("y")))).alias("parts")
+    ends.select("point_id", "line_id", "type", vertex).write.format("shp").mode("append").options(
+        kind="point", srid=UTM
+    ).save(path)
+    vertex = F.col("parts")[0][0]
+    return spark.read.format("shp").load(path).select(
+        "point_id", "line_id", "type", vertex["x"].alias("x"), vertex["y"].alias("y"), "srid"
+    )
+
+
+@query
+def merged_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged lines as line shapefiles."""
+    register(spark)
+    path = _scratch(spark, "merged")
+    chords = lines.merge_lines(inputs.lines(spark, sf_dir), drop_single=[g.NORTH_SOUTH])
+    chords.select("id", "direction", F.array("coords").alias("parts")).write.format("shp").mode(
+        "append"
+    ).options(kind="line", srid=UTM).save(path)
+    coords = g.flatten_parts(F.col("parts"))
+    return spark.read.format("shp").load(path).select(
+        "id",
+        "direction",
+        g.line_wkt(coords).alias("wkt"),
+        F.round(g.line_length_km(coords), 9).alias("long_km"),
+    )
+
+
+def _report(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    path = _scratch(spark, name)
+    sinks.write_text(rows, path)
+    return sinks.read_text(spark, path).drop("run")
+
+
+@query
+def volume_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, reports.volume_text(inputs.line_layer(spark, sf_dir)), "volume")
+
+
+@query
+def area_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    areas = coverage.ring_areas(inputs.ordered_rings(spark, sf_dir))
+    return _report(spark, reports.area_text(areas), "areas")
+
+
+@query
+def rings_kml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, reports.ring_kml(inputs.ordered_rings(spark, sf_dir)), "rings")
+
+
+@query
+def lines_kml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, reports.lines_kml(inputs.line_layer(spark, sf_dir)), "lines")
+
+
+@query
+def appended_flight_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report appended twice: its runs stay apart and in order."""
+    path = _scratch(spark, "reports")
+    lines_of_flights = cut(flights.production_lines(inputs.track(spark, sf_dir), UTM))
+    for _ in range(2):
+        text = reports.flight_text(flights.flight_report(lines_of_flights))
+        sinks.write_text(text, path, append=True)
+    return sinks.read_text(spark, path)
+
+
+@query
+def reprojected_kml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in UTM metres as KML, their ends read from the text in degrees again."""
+    ends = [g.point(F.col(f"{e}_x"), F.col(f"{e}_y")) for e in ("start", "end")]
+    chords = flights.production_lines(inputs.track(spark, sf_dir), UTM).select(
+        F.concat_ws("/", "flight", "id").alias("id"), "direction", F.array(*ends).alias("coords")
+    )
+    marks = reports.kml_placemarks(chords, UTM)
+    numbers = F.split(F.regexp_extract("value", "<coordinates>([^<]*)<", 1), "[ ,]")
+    return marks.select(
+        "id",
+        *[
+            F.round(numbers[i].cast("double"), 8).alias(name)
+            for i, name in enumerate(("start_x", "start_y", "end_x", "end_y"))
+        ],
+    )
+
+
+# Oblique flights: a third direction
+
+
+@query
+def oblique_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    track = inputs.track(spark, sf_dir, oblique=True)
+    return flights.production_lines(track).select(
+        "flight", "id", "direction", "n", "first_seq", "last_seq"
+    )
+
+
+@query
+def oblique_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of three directions, merged and numbered in three blocks."""
+    vertices = flights.production_vertices(inputs.track(spark, sf_dir, oblique=True), UTM)
+    chords = lines.merge_lines(cut(lines.merge_input(vertices)))
+    return lines.with_length_km(chords).select("id", "direction", _round("long_km", 6))
 
 
 @query
 def las_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cropped cloud written as LAS files and read back."""
+    """The cropped cloud written as LAS files, twice with overwrite, and read back whole."""
     register(spark)
     path = _scratch(spark, "cloud")
     kept = cloud.crop_points(inputs.cloud(spark, sf_dir), inputs.polygons(spark, sf_dir))
-    kept.select(
-        "x", "y", "z", F.col("l_linenumber").cast("int").alias("classification")
-    ).write.format("las").mode("append").option("scale", 0.5).save(path)
+    records = kept.select(
+        "x",
+        "y",
+        "z",
+        (F.col("l_orderkey") % 65536).cast("int").alias("intensity"),
+        (F.col("l_linenumber") % 16).cast("int").alias("return_number"),
+        F.lit(15).alias("number_of_returns"),
+        (F.col("l_suppkey") % 256).cast("int").alias("classification"),
+        (F.col("l_linenumber") % 16).cast("int").alias("class_flags"),
+        (F.col("l_orderkey") % 4).cast("int").alias("scanner_channel"),
+        (F.col("l_orderkey") % 2).cast("int").alias("scan_direction"),
+        (F.col("l_partkey") % 2).cast("int").alias("edge_of_line"),
+        ((F.col("l_partkey") % 1000 - 500) * F.lit(0.006)).alias("scan_angle"),
+        (F.col("l_partkey") % 256).cast("int").alias("user_data"),
+        (F.col("l_suppkey") % 65536).cast("int").alias("point_source_id"),
+        (F.col("l_orderkey") * 0.25).alias("gps_time"),
+        (F.col("l_partkey") % 65536).cast("int").alias("red"),
+        F.lit(40000).alias("green"),
+        F.lit(7).alias("blue"),
+        (F.col("l_orderkey") % 50000).cast("int").alias("nir"),
+    )
+    for mode in ("append", "overwrite"):
+        records.write.format("las").mode(mode).option("scale", 0.5).save(path)
     return (
         spark.read.format("las")
         .load(path)
-        .groupBy("classification", "x", "y", "z")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .drop("file", "point_no")
+        .withColumn("scan_angle", F.round("scan_angle", 3))
     )
 
 
 @query
 def line_shapefile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line layer written as shapefiles and read back."""
+    """The line layer written as shapefiles, twice with overwrite, in latin-1, and read back."""
     register(spark)
     path = _scratch(spark, "lines")
     layer = inputs.line_layer(spark, sf_dir).select(
         F.col("id").alias("ID"),
-        "direction",
+        F.concat(F.lit("dirección "), "direction").alias("direccion"),
         g.line_length_km(F.col("coords")).alias("long_km"),
         F.array("coords").alias("parts"),
     )
-    layer.write.format("shp").mode("append").option("kind", "line").option("srid", UTM).save(path)
+    for mode in ("append", "overwrite"):
+        layer.write.format("shp").mode(mode).options(kind="line", srid=UTM, encoding="latin1").save(
+            path
+        )
     read = spark.read.format("shp").load(path)
     return read.select(
         F.col("ID").alias("id"),
-        "direction",
+        F.col("direccion").alias("direction"),
         _round("long_km", 9),
         "srid",
         g.line_wkt(g.flatten_parts(F.col("parts"))).alias("wkt"),

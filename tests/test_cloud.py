@@ -42,6 +42,20 @@ def check(spark, polygons, places):
     return want
 
 
+def test_the_cloud_is_scanned_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(cloud, "MAX_TESTS", 3)
+    rng = random.Random(1)
+    polygons = {0: [star(rng, 0, 0, 100, 60)], 1: [star(rng, 500, 500, 3, 60)]}
+    spark.range(100).selectExpr("id * 1.0D AS x", "id * 1.0D AS y").write.parquet(str(tmp_path / "c"))
+    levels = []
+    whole = cloud.polygon_cover
+    monkeypatch.setattr(cloud, "polygon_cover", lambda *a: levels.extend(whole(*a)) or levels)
+    points = spark.read.parquet(str(tmp_path / "c"))
+    kept = cloud.crop_points(points, polygon_frame(spark, polygons))
+    assert len(levels) > 1
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 @pytest.mark.parametrize("max_tests", [3, 64])
 def test_random_polygons(spark, monkeypatch, broadcast, max_tests):

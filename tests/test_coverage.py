@@ -1,73 +1,14 @@
-import math
 import random
 
-import pytest
-
 from skytrace.operators import coverage
 
 
-def looped_ring(points):
-    """points: [(point_id, type, x, y)]"""
-    tops = sorted((p for p in points if p[1] == "Max"), key=lambda p: (p[2], p[0]))
-    lows = sorted((p for p in points if p[1] == "Min"), key=lambda p: p[0])
-    if not tops:
-        return []
-    ring = [tops.pop(0)]
-    for left in (tops, lows):
-        while left:
-            x, y = ring[-1][2:]
-            away = [math.sqrt((p[2] - x) ** 2 + (p[3] - y) ** 2) for p in left]
-            ring.append(left.pop(away.index(min(away))))
-    return ring + ring[:1]
-
-
-def projects(seed, sizes, grid):
-    rng = random.Random(seed)
-    return {
-        k: [
-            (i, rng.choice(["Max", "Min"]), float(rng.randrange(grid)), float(rng.randrange(grid)))
-            for i in range(n)
-        ]
-        for k, n in enumerate(sizes)
-    }
-
-
-def rings(spark, cases, **options):
-    rows = [(k, *p) for k, points in cases.items() for p in points]
-    random.Random(1).shuffle(rows)
-    df = spark.createDataFrame(rows, "project_id long, point_id long, type string, x double, y double")
-    got = {}
-    for r in coverage.greedy_ring(df, **options).orderBy("project_id", "pos").collect():
-        got.setdefault(r.project_id, []).append((r.point_id, r.type, r.x, r.y))
-    return got
-
-
-def test_rings_match_the_loop(spark):
-    cases = projects(1, [1, 2, 3, 10, 40, 200], 15)
-    cases[99] = [(0, "Min", 1.0, 1.0)]
-    want = {k: ring for k, p in cases.items() if (ring := looped_ring(p))}
-    assert rings(spark, cases) == want
-    assert 99 not in want
-
-
-@pytest.mark.parametrize("in_task", [5, 12])
-def test_long_rings_are_the_same(spark, in_task):
-    cases = projects(2, [4, 40], 9)
-    want = {k: looped_ring(p) for k, p in cases.items()}
-    assert rings(spark, cases, in_task=in_task) == want
-
-
 def test_area_of_a_rectangle(spark):
-    corners = [("Max", 0, 0), ("Max", 100, 0), ("Min", 100, 50), ("Min", 0, 50)]
-    rows = [(1, i, t, float(x), float(y)) for i, (t, x, y) in enumerate(corners)]
-    rows += [(2, 0, "Max", 0.0, 0.0), (2, 1, "Min", 5.0, 5.0)]
-    rows += [(1, 9, "Min", 400.0, 400.0)]
-    df = spark.createDataFrame(rows, "project_id long, point_id long, type string, x double, y double")
-    boxes = spark.createDataFrame(
-        [(400.0, 390.0, 400.0, 500.0)], "x_from double, x_to double, y_from double, y_to double"
-    )
-    areas = coverage.coverage_area(df, coverage.sorted_boxes(boxes)).collect()
-    got = {r.project_id: (r.area_m2, r.area_ha, r.area_km2) for r in areas}
+    corners = [(0, 0), (100, 0), (100, 50), (0, 50), (0, 0)]
+    rows = [(1, i, float(x), float(y)) for i, (x, y) in enumerate(corners)]
+    rows += [(2, 0, 0.0, 0.0), (2, 1, 5.0, 5.0), (2, 2, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "project_id long, pos long, x double, y double")
+    got = {r.project_id: (r.area_m2, r.area_ha, r.area_km2) for r in coverage.ring_areas(df).collect()}
     assert got == {1: (5000.0, 0.5, 0.005), 2: (None, None, None)}
 
 
@@ -88,6 +29,21 @@ def test_boxes_of_every_size(spark):
         if not any(a <= x <= b and c <= y <= d for a, b, c, d in boxes)
     }
     assert {r.point_id for r in kept.collect()} == want
-    assert "NestedLoop" not in kept._jdf.queryExecution().executedPlan().toString()
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan
+    assert "BroadcastHashJoin" in plan
+    logical = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Join LeftSemi") == 1  # boxes of all sizes together
     literal = df.filter(~coverage.in_any_box(df.x, df.y, boxes))
     assert {r.point_id for r in literal.collect()} == want
+
+
+def test_boxes_too_many_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(coverage, "BROADCAST_BYTES", 0)
+    df = spark.createDataFrame([(i, float(i), 0.0) for i in range(100)], "point_id long, x double, y double")
+    schema = "x_min double, x_max double, y_min double, y_max double"
+    boxes = spark.createDataFrame([(10.0, 19.0, -1.0, 1.0), (50.0, 50.0, 0.0, 0.0)], schema)
+    kept = {r.point_id for r in coverage.exclude_boxes(df, boxes).collect()}
+    assert kept == set(range(100)) - set(range(10, 20)) - {50}
+    none = spark.createDataFrame([], schema)
+    assert coverage.exclude_boxes(df, none).count() == 100

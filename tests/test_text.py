@@ -2,8 +2,6 @@ import os
 import xml.etree.ElementTree as ET
 
 import pytest
-from pyspark.sql import functions as F
-
 from skytrace.functions import geometry as g
 from skytrace.operators import flights, photos, reports
 from skytrace.sources import sinks
@@ -90,10 +88,20 @@ def test_camera_logs(spark, tmp_path):
         (5, "DSC00005.JPG x"),
     ]
     sinks.write_camera_logs(out, str(tmp_path / "out"))
-    folder = tmp_path / "out" / "output=Camara_v1__.txt"
+    (folder,) = (tmp_path / "out").rglob("output=Camara_v1__.txt")
     assert read_parts(folder) == [v for _, v in got]
 
 
+def test_logs_of_equal_name_stay_apart(spark, tmp_path):
+    rows = [(f"/d{k}/Camara_v1.txt", i, f"line {i} of {k}") for k in (1, 2) for i in range(1, 40)]
+    df = spark.createDataFrame(rows, "file string, photo_no long, value string")
+    sinks.write_camera_logs(df, str(tmp_path / "out"))
+    folders = sorted((tmp_path / "out").rglob("output=*"))
+    assert [read_parts(f) for f in folders] == [
+        [f"line {i} of {k}" for i in range(1, 40)] for k in (1, 2)
+    ]
+
+
 def chords(spark):
     rows = [
         (1, "N - S", [(0.0, 0.0), (0.0, 1500.0)], "a<b"),
@@ -159,10 +167,39 @@ def test_flight_report_appends(spark, tmp_path):
     text = reports.flight_text(flights.flight_report(lines))
     for _ in range(2):
         sinks.write_text(text, str(tmp_path / "r"), append=True)
-    rows = spark.read.text(str(tmp_path / "r"))
-    assert rows.count() == 6
-    assert rows.filter(F.col("value") == "Total de todas las longitudes: 3.250 km").count() == 2
-    assert rows.filter(F.col("value").startswith("Vuelo: v1 con dirección N - S y")).count() == 2
+    rows = sinks.read_text(spark, str(tmp_path / "r")).orderBy("run", "line_no").collect()
+    start = " y longitud total de líneas de producción "
+    want = [
+        f"Vuelo: v1 con dirección N - S{start}2.000 km",
+        f"Vuelo: v2 con dirección E - W{start}1.250 km",
+        "Total de todas las longitudes: 3.250 km",
+    ]
+    assert [(r.run, r.line_no, r.value) for r in rows] == [
+        (run, i, value) for run in (1, 2) for i, value in enumerate(want, start=1)
+    ]
+
+
+def test_report_runs_of_several_parts_stay_in_order(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for run in "ab":
+            df = spark.createDataFrame([(i, f"{run}{i}") for i in range(50)], "ord int, value string")
+            sinks.write_text(df, str(tmp_path / "r"), append=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = sinks.read_text(spark, str(tmp_path / "r")).orderBy("run", "line_no").collect()
+    assert [r.value for r in rows] == [f"{run}{i}" for run in "ab" for i in range(50)]
+
+
+def test_text_scans_store_nothing(spark, tmp_path, small_splits):
+    (tmp_path / "GNSS_a.txt").write_text("".join(f"p {i} 1 2 3\n" for i in range(500)))
+    folder = spark.sparkContext.getCheckpointDir()
+    before = set(os.listdir(folder.removeprefix("file:"))) if folder else set()
+    scan = read_tracks(spark, str(tmp_path), "GNSS_", columns=(1, 2, 3))
+    assert sorted((r.seq, r.x) for r in scan.track.collect()) == [(i, float(i)) for i in range(500)]
+    assert scan.rejects.count() == 0
+    folder = spark.sparkContext.getCheckpointDir()
+    assert before == (set(os.listdir(folder.removeprefix("file:"))) if folder else set())
 
 
 def test_layers_keep_equal_names_apart(spark, tmp_path):
