@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from skytrace.functions import geometry as g
 from skytrace.functions.crs import GEOGRAPHIC, parse_srid, reproject_columns
-from skytrace.operators.lineage import cut
+from skytrace.operators.lineage import cut, stored
 from skytrace.operators.sequence import (
     CHUNK_ROWS,
     chunk_of,
@@ -98,18 +98,23 @@ class FlightPieces:
     """Stretches of a set of flights (``rows``) and what crosses their chunk borders (``chunks``).
 
     Both are checkpointed: they are small next to the fixes and every later step starts from them.
+    With ``keep`` the ordered fixes are written, too, for steps that come back to them: reading them
+    again spares shuffling and sorting them twice.
     """
 
     def __init__(
-        self, track: DataFrame, srid: int | str = GEOGRAPHIC, chunk_rows: int = CHUNK_ROWS
+        self,
+        track: DataFrame,
+        srid: int | str = GEOGRAPHIC,
+        chunk_rows: int = CHUNK_ROWS,
+        keep: bool = False,
     ) -> None:
-        self.track, self.srid, self.chunk_rows = track, parse_srid(srid), chunk_rows
-        self.rows = cut(_local_stretches(self.points()))
+        self.points = _ordered_points(track, parse_srid(srid), chunk_rows)
+        if keep:
+            self.points = stored(self.points, "fixes")
+        self.rows = cut(_local_stretches(self.points))
         self.chunks = cut(_chunk_borders(self.rows))
 
-    def points(self) -> DataFrame:
-        return _ordered_points(self.track, self.srid, self.chunk_rows)
-
 
 def _local_stretches(points: DataFrame) -> DataFrame:
     """One row per stretch of equal heading group; border stretches have no group yet."""
@@ -373,7 +378,7 @@ def production_vertices(
     following vertex of the same line (NULL at its end), so each row but the last of a line is also
     a segment.
     """
-    pieces = FlightPieces(track, srid, chunk_rows)
+    pieces = FlightPieces(track, srid, chunk_rows, keep=True)
     numbered = cut(numbered_stretches(pieces))
     runs = long_runs(cut(all_runs(numbered)), pieces)
     kept = number_globally(
@@ -386,54 +391,38 @@ def production_vertices(
         "direction",
         F.col("last_seq").alias("line_end"),
     )
-    lines = _by_stretch(
-        pieces,
-        numbered.join(kept, ["flight", "run"]),
-        ["row_id", "id", "direction", "line_end", "last_seq", "next_u", "next_v"],
-        "lines",
-    )
-    points = pieces.points().select(*CHUNK, "seq", "stretch", "u", "v", "next_u", "next_v")
-    at = (
-        points.join(lines, CHUNK)
-        .withColumn("line", F.element_at("lines", F.col("stretch").cast("int")))
-        .filter(F.col("line.id").isNotNull())
+    lines = numbered.join(kept, ["flight", "run"]).select(
+        *CHUNK,
+        "stretch",
+        "row_id",
+        "id",
+        "direction",
+        "line_end",
+        "last_seq",
+        *[F.col(f"next_{c}").alias(f"after_{c}") for c in ("u", "v")],
     )
-    ahead = F.col("seq") < F.col("line.line_end")
-    crossing = F.col("seq") == F.col("line.last_seq")
+    points = pieces.points.select(*CHUNK, "seq", "stretch", "u", "v", "next_u", "next_v")
+    at = points.join(lines, [*CHUNK, "stretch"])
+    ahead = F.col("seq") < F.col("line_end")
+    crossing = F.col("seq") == F.col("last_seq")
     return at.select(
-        F.col("line.row_id").alias("row_id"),
+        "row_id",
         "flight",
-        F.col("line.id").alias("id"),
-        F.col("line.direction").alias("direction"),
+        "id",
+        "direction",
         "seq",
         F.col("u").alias("x"),
         F.col("v").alias("y"),
         *[
             F.when(
                 ahead,
-                F.when(crossing, F.col(f"line.next_{c}")).otherwise(F.col(f"next_{c}")),
+                F.when(crossing, F.col(f"after_{c}")).otherwise(F.col(f"next_{c}")),
             ).alias(f"next_{name}")
             for c, name in (("u", "x"), ("v", "y"))
         ],
     )
 
 
-def _by_stretch(
-    pieces: FlightPieces, marked: DataFrame, fields: list[str], name: str
-) -> DataFrame:
-    """``fields`` of the marked stretches as one array per chunk, indexed by stretch number.
-
-    The array is bounded by the chunk, and it joins the fixes on (flight, chunk), the key their
-    windows already use, so the fixes are not shuffled again. Unmarked stretches hold NULLs.
-    """
-    return (
-        pieces.rows.select(*CHUNK, "stretch")
-        .join(marked.select(*CHUNK, "stretch", *fields), [*CHUNK, "stretch"], "left")
-        .groupBy(*CHUNK)
-        .agg(F.sort_array(F.collect_list(F.struct("stretch", *fields))).alias(name))
-    )
-
-
 def rejected_flights(track: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Flights without any line and the reason: no production run, or single-fix runs only."""
     runs = all_runs(numbered_stretches(FlightPieces(track, GEOGRAPHIC, chunk_rows)))
@@ -477,7 +466,7 @@ def dominant_direction_points(
     The label of a fix is the axis of its heading group when that is one of the flight's two
     commonest groups. Ties go to the label seen first; flights without labels give no rows.
     """
-    pieces = FlightPieces(track, srid, chunk_rows)
+    pieces = FlightPieces(track, srid, chunk_rows, keep=True)
     label = g.axis_label(F.col("fil"), north_south, east_west)
     labelled = (
         cut(numbered_stretches(pieces))
@@ -495,21 +484,10 @@ def dominant_direction_points(
     kept = labelled.join(_per_chunk(winners, pieces), CHUNK).filter(
         F.col("label") == F.col("winner")
     )
-    marks = _by_stretch(pieces, kept, ["fil", "run", "label"], "marks")
-    points = pieces.points().select(*CHUNK, "seq", "stretch", "u", "v")
-    return (
-        points.join(marks, CHUNK)
-        .withColumn("mark", F.element_at("marks", F.col("stretch").cast("int")))
-        .filter(F.col("mark.label").isNotNull())
-        .select(
-            "flight",
-            "seq",
-            F.col("u").alias("x"),
-            F.col("v").alias("y"),
-            F.col("mark.fil").alias("fil"),
-            F.col("mark.run").alias("run"),
-            F.col("mark.label").alias("label"),
-        )
+    marks = kept.select(*CHUNK, "stretch", "fil", "run", "label")
+    points = pieces.points.select(*CHUNK, "seq", "stretch", "u", "v")
+    return points.join(marks, [*CHUNK, "stretch"]).select(
+        "flight", "seq", F.col("u").alias("x"), F.col("v").alias("y"), "fil", "run", "label"
     )
 
 

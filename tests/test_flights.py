@@ -200,14 +200,29 @@ def test_flight_report_totals(spark, case):
     }
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fixes_are_shuffled_twice_only(spark, case):
-    """Once to drop duplicates, once for all windows and the line lookup."""
+    """Once to drop duplicates, once for all windows."""
     track, _ = case
-    plan = flights.FlightPieces(track).points()._jdf.queryExecution().executedPlan().toString()
+    plan = _plan(flights.FlightPieces(track).points)
     assert plan.count("Exchange hashpartitioning") == 2
     assert plan.count("Sort [") == 1
 
 
+def test_fixes_are_derived_once(spark, case):
+    """What comes back to the fixes reads them; only lines and labels are joined to them."""
+    track, _ = case
+    vertices = flights.production_vertices(track)
+    assert _plan(vertices).count("FileScan parquet") == 1
+    assert _plan(vertices).count("Exchange") <= 7
+    labelled = flights.dominant_direction_points(track)
+    assert _plan(labelled).count("FileScan parquet") == 1
+    assert _plan(labelled).count("Exchange") <= 7
+
+
 def test_route_points_keep_bad_fixes(spark):
     track = small(spark, [(0, 0, -5), (0, 0, -5)])
     rows = flights.route_points(track, 3857).collect()
