@@ -2,31 +2,30 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytrace.operators.lineage import ensure_checkpoint_dir
+from skytrace.operators.lineage import stored
+
+__all__ = ["column", "fold", "fresh", "labelled_sample", "logistic", "read", "stored", "utf8"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet next to the checkpoints, which every executor reaches; read it back.
+#: Python workers get batches of about this size, so that a task holds little beside its own state.
+BATCH_BYTES = 8 << 20
 
-    Like a checkpoint it survives lost executors, but it is columnar and compressed. The files go
-    with the checkpoint folder, whose retention is the cluster's.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def small_batches(spark: SparkSession) -> None:
+    """Limit what goes to a Python worker at once, by Spark's own setting; a longer row goes alone."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("-1", "67108864b", "64MB"):  # unless the user has set it
+        spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -36,7 +36,7 @@ ADDRESS = re.compile(r"\b(you|your|you're|tu|toi|vous|du|dich|ihr|tú|usted|eres
 #: Characters may stand in for letters inside a word.
 WORD = re.compile(r"\w(?:[\w*@$]*\w)?")
 #: Words whose matches a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 
 def edits_allowed(entry: str, stem: bool) -> int:
