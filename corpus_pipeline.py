@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skytrace.llm import packing, quality, simhash, suffixes, toxicity
-from skytrace.llm.common import read, stored
+from skytrace.llm.common import read, small_batches, stored
 from skytrace.llm.queries import fitted_quality, fitted_toxicity
 
 
@@ -22,16 +22,19 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    small_batches(spark)
     return simhash.simhash_dedup(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the long strings that they share."""
+    small_batches(spark)
     return suffixes.suffix_dedup(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of a document, with its place in a sequence."""
+    small_batches(spark)
     return packing.pack(
         docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
     )
