@@ -118,3 +118,19 @@ def decode(path: str, pattern: str):
         return pa.array([encoder.decode(i) for i in ids.to_pylist()], pa.binary())
 
     return run
+
+
+def round_trip(path: str, pattern: str):
+    """A column function: ``struct(ids, bytes)``, the ids of a text and what they decode to.
+
+    Used together, ``decode(encode(text))`` beside ``encode(text)`` would encode twice.
+    """
+
+    @F.arrow_udf("struct<ids: binary, bytes: binary>")
+    def run(texts: pa.Array) -> pa.Array:
+        encoder = rank_file(path, pattern)
+        ids = [encoder.encode(t) for t in texts.to_pylist()]
+        both = [pa.array(ids, pa.binary()), pa.array(map(encoder.decode, ids), pa.binary())]
+        return pa.StructArray.from_arrays(both, ["ids", "bytes"])
+
+    return run

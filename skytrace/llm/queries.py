@@ -83,11 +83,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = read(spark, sf_dir, "documents").select(
-        "doc_id", bpe.encode(*vocabulary)("text").alias("ids")
+    both = read(spark, sf_dir, "documents").select(
+        "doc_id", bpe.round_trip(*vocabulary)("text").alias("both")
     )
-    decoded = encoded.withColumn("bytes", bpe.decode(*vocabulary)("ids"))
-    return decoded.select(
+    return both.select("doc_id", "both.*").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
