@@ -14,6 +14,7 @@ import math
 import re
 from collections import deque
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -39,15 +40,68 @@ CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "t
 GOOD_WORDS = re.compile(
     r"\b(article|articlebody|content|entry|main|maincontent|post|story|text)\b"
 )
-BAD_WORDS = re.compile(
-    r"\b(ad|ads|advert|advertisement|adverts|alert|banner|breadcrumbs?|byline|comments?|consent|"
-    r"cookies?|disqus|footer|gdpr|login|masthead|menu|modal|nav|navbar|navigation|newsletter|"
-    r"notices?|overlay|pagination|popup|promo|related|replies|search|share|sharing|sidebar|signup|"
-    r"social|sponsor|sponsored|subscribe|tags?|toolbar|widget)\b"
+#: Words that make a name bad by how bad: of any other thing, of what stands beside the text, and
+#: of what readers or other pages say.
+NAMED, SIDE, FIRM = 1, 2, 3
+BAD_WORDS = {
+    word: level
+    for level, words in (
+        (NAMED, "ad ads advert advertisement adverts alert banner byline consent cookie cookies gdpr "
+         "login masthead modal newsletter notice notices overlay popup promo search share sharing "
+         "signup social sponsor sponsored subscribe tag tags toolbar widget"),
+        (SIDE, "breadcrumb breadcrumbs footer menu nav navbar navigation pagination sidebar"),
+        (FIRM, "comment comments disqus related replies"),
+    )
+    for word in words.split()
+}
+#: Words that may come before a bad word in the name of a bad thing, and after it.
+_PLACES = (
+    "article bottom entry fixed global google header inline left lower main mobile page post "
+    "primary right secondary site sticky story top upper user"
 )
+_PARTS = (
+    "area author bar block body bottom box btn button buttons close cloud column container content "
+    "count form header heading icon icons inline inner item items left link links list main media "
+    "meta outer overlay panel primary reply respond right row secondary section slot text thread "
+    "title top unit wrap wrapper"
+)
+_OTHERS = "article articles content items news pages post posts stories story topics"
+
+
+def _bad_name() -> re.Pattern:
+    def any_of(words):
+        return "(?:" + "|".join(words) + ")"
+
+    bad, parts = any_of(BAD_WORDS), any_of(_PARTS.split())
+    after = rf"(?:[-_]+(?:{bad}|{parts}|\d+(?:x\d+)?))*"
+    return re.compile(
+        rf"(?:{any_of(_PLACES.split())}[-_]+)*"
+        rf"(?:tag(?:[-_]+{parts})*|related[-_]+{any_of(_OTHERS.split())}{after}|(?!tag\b|tag_){bad}{after})"
+    )
+
+
+_BAD_NAME = _bad_name()
+
+
+@lru_cache(10_000)
+def _badness(name: str) -> int:
+    """How bad a class, id or role is: it must name a bad thing as a whole, as ``cookie-notice`` does.
+
+    What only tells of one, like ``tag-politics``, ``with-sidebar`` or ``comments-open``, is not bad.
+    """
+    if not _BAD_NAME.fullmatch(name):
+        return 0
+    return max(BAD_WORDS.get(word, 0) for word in re.split("[-_]+", name))
+
+
 # Weights of the classifier's logistic curve, and of the edges.
 W_BASE, W_GOOD, W_BAD, W_LINKS, W_LONG, W_ENDS, W_HEADING, W_LEGAL = -0.5, 4.0, -6.0, -4.0, 0.35, 0.6, 0.4, -2.5
 E_NEXT, E_SIBLING = 0.3, 0.9
+#: What is left of an edge between blocks of different kind.
+UNLIKE = 0.25
+#: Link-poor text under a bad name, in blocks of so many characters, begins to outweigh the name at the
+#: first number of characters and does so wholly at the second.
+PROSE, DOUBTED, REFUTED = 40, 400, 2000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -68,7 +122,8 @@ class _Element:
     tag: str
     number: int
     good: bool
-    bad: bool
+    bad: int
+    named: tuple[int, ...]
     silent: bool
     link: bool
 
@@ -83,14 +138,19 @@ class Block:
     bad: bool
     heading: bool
     linked: float
+    #: Elements around it whose badness is in the name only, so that their text may outweigh it.
+    named: tuple[int, ...] = ()
 
 
 def _open(tag: str, attrs: str, parent: _Element, number: int) -> _Element:
-    good, bad, silent = parent.good, parent.bad, parent.silent or tag in SILENT
+    good, bad, named = parent.good, parent.bad, parent.named
+    silent = parent.silent or tag in SILENT
     if tag in GOOD_TAGS:
-        good, bad = True, False
-    elif tag in BAD_TAGS or (tag == "header" and not good):
-        bad = True
+        good, bad, named = True, 0, ()
+    elif tag in BAD_TAGS:
+        bad = FIRM
+    elif tag == "header" and not good:
+        bad = max(bad, NAMED)
     if attrs and tag not in ("html", "body"):
         words = []
         for name, *values in _ATTRIBUTE.findall(attrs):
@@ -100,20 +160,24 @@ def _open(tag: str, attrs: str, parent: _Element, number: int) -> _Element:
             elif name == "style":
                 silent = silent or bool(re.search(r"display\s*:\s*none", value))
             else:
-                words.append(re.sub(r"[-_]+", " ", value))
-        named = " ".join(words)
-        if BAD_WORDS.search(named):
-            bad = True
-        elif GOOD_WORDS.search(named) and not bad:
+                words += value.split()
+        called_good = GOOD_WORDS.search(re.sub(r"[-_]+", " ", " ".join(words)))
+        level = max(map(_badness, words), default=0)
+        if tag in GOOD_TAGS and (level < FIRM or called_good):
+            level = 0  # the element outweighs the name
+        if level:
+            bad = max(bad, level)
+            named = (*named, number) if level < FIRM else named
+        elif called_good and not bad:
             good = True
-    return _Element(tag, number, good, bad, silent, parent.link or tag == "a")
+    return _Element(tag, number, good, bad, named, silent, parent.link or tag == "a")
 
 
 def blocks(page: str | None) -> list[Block]:
     """The blocks of a page in order, references decoded and white space made single spaces."""
     page = page or ""
     found: list[Block] = []
-    stack = [_Element("", 0, False, False, False, False)]
+    stack = [_Element("", 0, False, 0, (), False, False)]
     parts: list[str] = []
     linked = total = number = 0
 
@@ -127,9 +191,9 @@ def blocks(page: str | None) -> list[Block]:
                 heading = len(holder.tag) == 2 and holder.tag[0] == "h" and holder.tag[1].isdigit()
                 share = linked / total if total else 0.0
                 outer = stack[max(0, stack.index(holder) - 1)] if holder.tag else holder
-                found.append(
-                    Block(text, outer.number, holder.good, holder.bad, heading, share)
-                )
+                named = holder.named if holder.bad < FIRM else ()
+                bad = holder.bad > 0
+                found.append(Block(text, outer.number, holder.good, bad, heading, share, named))
         linked = total = 0
 
     def add(text: str) -> None:
@@ -178,10 +242,34 @@ def blocks(page: str | None) -> list[Block]:
     return found
 
 
-def _costs(block: Block) -> tuple[float, float]:
+def _doubts(found: list[Block]) -> dict[int, float]:
+    """For each element of bad name the share of the name's weight that its text outweighs.
+
+    Outside of what is called good, only text beyond the text that is called good counts.
+    """
+    prose: dict[int, int] = {}
+    good = 0
+    for block in found:
+        if len(block.text) >= PROSE and block.linked < 0.3:
+            good += len(block.text) if block.good and not block.bad else 0
+            for element in block.named:
+                prose[element] = prose.get(element, 0) + len(block.text)
+    inside = {element for block in found if block.good for element in block.named}
+    shares = {}
+    for element, size in prose.items():
+        size -= 0 if element in inside else good
+        share = math.log(max(size, 1) / DOUBTED) / math.log(REFUTED / DOUBTED)
+        shares[element] = min(1.0, max(0.0, share))
+    return shares
+
+
+def _costs(block: Block, doubts: dict[int, float]) -> tuple[float, float]:
     """Cost of calling a block boilerplate, and of calling it content: minus log probabilities."""
     z = W_BASE + W_LINKS * block.linked + W_LONG * math.log(len(block.text))
-    if block.bad:
+    if block.named:
+        z += W_BAD * (1.0 - min(doubts.get(e, 0.0) for e in block.named))
+        z += W_GOOD / 2 if block.good else 0.0
+    elif block.bad:
         z += W_BAD
     elif block.good:
         z += W_GOOD
@@ -257,16 +345,19 @@ def content(found: list[Block]) -> list[bool]:
         return []
     flow = _Flow(len(found) + 2)
     last: dict[int, int] = {}
+    doubts = _doubts(found)
     for i, block in enumerate(found):
-        boilerplate, own = _costs(block)
+        boilerplate, own = _costs(block, doubts)
         flow.join(0, i + 2, boilerplate)
         flow.join(i + 2, 1, own)
         alike = block.good == (before := found[i - 1]).good and block.bad == before.bad
-        if i and alike:
-            flow.join(i + 1, i + 2, E_NEXT, E_NEXT)
+        if i:
+            room = E_NEXT if alike else E_NEXT * UNLIKE
+            flow.join(i + 1, i + 2, room, room)
         sibling = last.get(block.parent)
-        if sibling is not None and found[sibling].bad == block.bad:
-            flow.join(sibling + 2, i + 2, E_SIBLING, E_SIBLING)
+        if sibling is not None:
+            room = E_SIBLING if found[sibling].bad == block.bad else E_SIBLING * UNLIKE
+            flow.join(sibling + 2, i + 2, room, room)
         last[block.parent] = i
     return flow.source_side()[2:]
 

@@ -194,6 +194,47 @@ def test_main_text_of_pages():
         assert isinstance(html_text.main_text(page), str)
 
 
+PROSE = "The river rose in the night and took the lower road with it. " * 3
+
+
+@pytest.mark.parametrize(
+    "opened",
+    [
+        '<article class="post hentry category-news tag-politics">',
+        '<article class="post tag-social category-social comments-open">',
+        '<article class="widget">',
+        '<main class="search">',
+        '<div class="content with-sidebar">',
+        '<div class="entry-content no-sidebar no-ads">',
+        '<div class="post comments-open">',
+        '<div class="content-sidebar-wrap">',
+    ],
+)
+def test_names_that_only_tell_of_bad_things(opened):
+    page = f"<body>{opened}<h1>Flood</h1><p>{PROSE}</p><p>Short end.</p></{opened[1:].split()[0]}>"
+    assert html_text.main_text(page) == f"Flood\n\n{PROSE.strip()}\n\nShort end."
+
+
+def test_long_text_outweighs_a_bad_name():
+    text = "".join(f"<p>{PROSE}</p>" for _ in range(20))
+    whole = "\n\n".join([PROSE.strip()] * 20)
+    for name in ("social", "sidebar", "widget"):
+        side = f'<div class="{name}">{text}</div>'
+        assert html_text.main_text(f"<body>{side}") == whole
+        assert html_text.main_text(f"<body><article>{text}</article>{side}") == whole
+    assert html_text.main_text(f'<body><section class="comments">{text}</section>') == ""
+    for name in ("ad", "cookie-notice", "main-menu", "related-posts", "share-buttons", "ad-300x250"):
+        page = f'<body><article><p>{PROSE}</p></article><div class="x {name}"><p>{PROSE}</p></div>'
+        assert html_text.main_text(page) == PROSE.strip()
+
+
+def test_cut_joins_good_and_bad_blocks():
+    good = html_text.Block("A plain sentence that stays.", 1, True, False, False, 0.0)
+    doubtful = html_text.Block("x" * 650, 1, True, True, False, 0.0, (5,))
+    assert html_text.content([doubtful]) == [False]
+    assert html_text.content([good, doubtful, good]) == [True, True, True]
+
+
 def test_registered_pages_give_their_article(spark):
     import html
 
