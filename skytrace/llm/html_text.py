@@ -111,9 +111,9 @@ _TOKEN = re.compile(
     r"|<[a-zA-Z][^<>]*+(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+#: One attribute after the other: its name, and its value if there is one.
 _ATTRIBUTE = re.compile(
-    r"\b(class|id|role|itemprop|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
-    re.IGNORECASE,
+    r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?",
 )
 
 
@@ -152,14 +152,17 @@ def _open(tag: str, attrs: str, parent: _Element, number: int) -> _Element:
     elif tag == "header" and not good:
         bad = max(bad, NAMED)
     if attrs and tag not in ("html", "body"):
-        words = []
+        words, seen = [], set()
         for name, *values in _ATTRIBUTE.findall(attrs):
             name, value = name.lower(), next((v for v in values if v), "").lower()
+            if name in seen:
+                continue  # only the first of a name counts
+            seen.add(name)
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 silent = True
             elif name == "style":
                 silent = silent or bool(re.search(r"display\s*:\s*none", value))
-            else:
+            elif name in ("class", "id", "role", "itemprop"):
                 words += value.split()
         called_good = GOOD_WORDS.search(re.sub(r"[-_]+", " ", " ".join(words)))
         level = max(map(_badness, words), default=0)

@@ -215,6 +215,28 @@ def test_names_that_only_tell_of_bad_things(opened):
     assert html_text.main_text(page) == f"Flood\n\n{PROSE.strip()}\n\nShort end."
 
 
+@pytest.mark.parametrize(
+    "attrs",
+    [
+        'href="/wiki/hidden-markov-model"',
+        'title="the hidden life"',
+        'data-x="hidden"',
+        "data-x='a hidden b' data-hidden",
+        "href=/a/hidden/b",
+        "x = hidden",
+        'data-style="display:none"',
+        'data-class="comments" title="class=ad id=ad"',
+        'data-aria-hidden="true" aria-hidden="false"',
+    ],
+)
+def test_attributes_count_by_their_whole_name(attrs):
+    page = f"<article><p>A <a {attrs}>linked</a> word.</p><div {attrs}><p>{PROSE}</p></div></article>"
+    assert html_text.main_text(page) == f"A linked word.\n\n{PROSE.strip()}"
+    for own in ("hidden", "HIDDEN=''", 'style="color:red;display: none"', "aria-hidden=true"):
+        page = f"<article><p>{PROSE}</p><p {attrs.split(' aria-')[0]} {own}>{PROSE}</p></article>"
+        assert html_text.main_text(page) == PROSE.strip()
+
+
 def test_long_text_outweighs_a_bad_name():
     text = "".join(f"<p>{PROSE}</p>" for _ in range(20))
     whole = "\n\n".join([PROSE.strip()] * 20)
