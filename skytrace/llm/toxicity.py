@@ -230,7 +230,7 @@ def learn_lexicon(
 
     Copies of a text count once. An entry must be in ``support * sqrt(n)`` of the n toxic texts,
     three at least, so that few texts don't make a lexicon of their chance words; a stem must start
-    three words or more, and words that a stem covers are left to it.
+    three words or more. Words that a stem covers stay entries too, as they allow more edits than it.
     """
     holders: list[dict[str, set[int]]] = []
     for texts in (toxic, clean):
@@ -274,7 +274,6 @@ def learn_lexicon(
         word: value
         for word, groups in in_toxic.items()
         if len(word) >= 3
-        and not any(word.startswith(s) for s in stems)
         and (value := weight(len(groups), len(in_clean.get(word, ()))))
     }
     near = Matcher(Lexicon(words, stems))

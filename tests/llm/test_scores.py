@@ -123,6 +123,24 @@ def test_misspelled_and_quoted_terms():
     assert matcher.hits(None) == matcher.hits("") == matcher.hits("a patriotic idyll") == []
 
 
+def test_misspelled_terms_under_a_learned_stem():
+    rng = random.Random(9)
+    plain = ["calm", "river", "stone", "light", "meadow", "window", "harbour", "copper"]
+    fill = [[f"{w}{rng.randrange(999)}" for w in rng.choices(plain, k=12)] for _ in range(120)]
+    terms = ("idiot", "idiots", "idiotic")
+    toxic = [" ".join([*words[:6], terms[i % 3], *words[6:]]) for i, words in enumerate(fill[:60])]
+    lexicon = toxicity.learn_lexicon(toxic, [" ".join(words) for words in fill[60:]])
+    assert any("idiotic".startswith(stem) for stem in lexicon.stems)
+    assert set(terms) <= set(lexicon.words)
+    matcher = toxicity.Matcher(lexicon)
+    for word in ("idi0t", "idot", "odiot", "idi0tic", "odiotic"):
+        ((weight, misspelled),) = matcher.hits(f"an {word} here")
+        assert misspelled and weight > 0
+    for word in ("idiot", "idiotically"):
+        ((weight, misspelled),) = matcher.hits(f"an {word} here")
+        assert not misspelled and weight >= max(lexicon.stems.values())
+
+
 def _measured(text):
     text = text or ""
     words = WORD.findall(text)
