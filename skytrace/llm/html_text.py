@@ -145,7 +145,9 @@ class Block:
 def _open(tag: str, attrs: str, parent: _Element, number: int) -> _Element:
     good, bad, named = parent.good, parent.bad, parent.named
     silent = parent.silent or tag in SILENT
-    if tag in GOOD_TAGS:
+    # An article stands for itself unless it lies beside the text, a main part even there; neither does
+    # inside an aside, a footer, a list of comments or the like.
+    if tag in GOOD_TAGS and bad < (SIDE if tag == "article" else FIRM):
         good, bad, named = True, 0, ()
     elif tag in BAD_TAGS:
         bad = FIRM

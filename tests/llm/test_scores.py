@@ -268,6 +268,33 @@ def test_long_text_outweighs_a_bad_name():
         assert html_text.main_text(page) == PROSE.strip()
 
 
+@pytest.mark.parametrize(
+    "opened",
+    [
+        '<section class="comments">',
+        '<div id="comments"><div class="x">',
+        '<section class="related-posts">',
+        "<aside>",
+        "<nav><section>",
+        "<footer>",
+        '<div class="sidebar">',
+        '<div class="widget"><aside><div class="promo">',
+    ],
+)
+def test_articles_beside_the_text_stay_out(opened):
+    other = f"<article><h2>Other</h2><p>{PROSE}</p></article>" * 2
+    page = f"<body><main><article><p>{PROSE}</p></article></main>{opened}{other}"
+    assert html_text.main_text(page) == PROSE.strip()
+    inside = f"<body><main><article><p>{PROSE * 2}</p>{opened}{other}"
+    assert html_text.main_text(inside) == (PROSE * 2).strip()
+
+
+def test_main_parts_in_a_container_of_bad_name():
+    for name, tag in (("nav-container", "main"), ("widget", "article"), ("social", "article")):
+        page = f'<body><div class="{name}"><{tag}><h1>Flood</h1><p>{PROSE}</p></{tag}></div>'
+        assert html_text.main_text(page) == f"Flood\n\n{PROSE.strip()}"
+
+
 def test_cut_joins_good_and_bad_blocks():
     good = html_text.Block("A plain sentence that stays.", 1, True, False, False, 0.0)
     doubtful = html_text.Block("x" * 650, 1, True, True, False, 0.0, (5,))
