@@ -29,9 +29,13 @@ INLINE = frozenset(
 )
 #: Their text never counts.
 SILENT = frozenset(
-    "button canvas datalist form head iframe map math nav noscript object option script select "
+    "button canvas datalist head iframe map math nav noscript object option script select "
     "style svg template textarea title".split()
 )
+#: In a form theirs doesn't either.
+LABELS = frozenset("label legend".split())
+#: Of these, one that is never closed ends where a block begins.
+CONTROLS = frozenset("button datalist label legend option select".split())
 GOOD_TAGS = frozenset("article main".split())
 BAD_TAGS = frozenset("aside dialog footer menu nav".split())
 #: A new one closes an open one of the same group.
@@ -40,9 +44,9 @@ CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "t
 GOOD_WORDS = re.compile(
     r"\b(article|articlebody|content|entry|main|maincontent|post|story|text)\b"
 )
-#: Words that make a name bad by how bad: of any other thing, of what stands beside the text, and
-#: of what readers or other pages say.
-NAMED, SIDE, FIRM = 1, 2, 3
+#: Badness of a form, and of names: of any other thing, of what stands beside the text, and of what
+#: readers or other pages say.
+FORM, NAMED, SIDE, FIRM = 1, 2, 3, 4
 BAD_WORDS = {
     word: level
     for level, words in (
@@ -124,6 +128,7 @@ class _Element:
     good: bool
     bad: int
     named: tuple[int, ...]
+    form: bool
     silent: bool
     link: bool
 
@@ -138,17 +143,20 @@ class Block:
     bad: bool
     heading: bool
     linked: float
-    #: Elements around it whose badness is in the name only, so that their text may outweigh it.
+    #: Forms, and elements of bad name only, that it is in: their text may outweigh that.
     named: tuple[int, ...] = ()
 
 
 def _open(tag: str, attrs: str, parent: _Element, number: int) -> _Element:
     good, bad, named = parent.good, parent.bad, parent.named
-    silent = parent.silent or tag in SILENT
+    form = parent.form
+    silent = parent.silent or tag in SILENT or (form and tag in LABELS)
     # An article stands for itself unless it lies beside the text, a main part even there; neither does
     # inside an aside, a footer, a list of comments or the like.
     if tag in GOOD_TAGS and bad < (SIDE if tag == "article" else FIRM):
-        good, bad, named = True, 0, ()
+        good, bad, named, form = True, 0, (), False
+    elif tag == "form":
+        bad, named, form = max(bad, FORM), (*named, number), True
     elif tag in BAD_TAGS:
         bad = FIRM
     elif tag == "header" and not good:
@@ -173,18 +181,34 @@ def _open(tag: str, attrs: str, parent: _Element, number: int) -> _Element:
         if level:
             bad = max(bad, level)
             named = (*named, number) if level < FIRM else named
-        elif called_good and not bad:
+        elif called_good and bad <= FORM:
             good = True
-    return _Element(tag, number, good, bad, named, silent, parent.link or tag == "a")
+    return _Element(tag, number, good, bad, named, form, silent, parent.link or tag == "a")
+
+
+def _closed_controls(page: str, start: int) -> set[int]:
+    """Where the controls begin that are closed before another one of their tag opens."""
+    opened: dict[str, int] = {}
+    closed = set()
+    for m in _TOKEN.finditer(page, start):
+        tag = (m["tag"] or "").lower()
+        if tag in CONTROLS:
+            if not m["end"]:
+                opened[tag] = m.start()
+            elif tag in opened:
+                closed.add(opened.pop(tag))
+    return closed
 
 
 def blocks(page: str | None) -> list[Block]:
     """The blocks of a page in order, references decoded and white space made single spaces."""
     page = page or ""
     found: list[Block] = []
-    stack = [_Element("", 0, False, 0, (), False, False)]
+    stack = [_Element("", 0, False, 0, (), False, False, False)]
     parts: list[str] = []
     linked = total = number = 0
+    closed: set[int] | None = None
+    loose: set[int] = set()
 
     def flush() -> None:
         nonlocal linked, total
@@ -232,6 +256,10 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if tag == "body":
             stack = [e for e in stack if e.tag != "head"]
+        if loose and tag not in INLINE and tag not in ("option", "optgroup"):
+            ended = next((i for i, e in enumerate(stack) if e.number in loose), len(stack))
+            del stack[ended:]
+            loose.clear()
         for i in range(len(stack) - 1, 0, -1):
             if tag not in CLOSES or stack[i].tag in ("table", "ul", "ol", "dl", "div", "article"):
                 break
@@ -242,6 +270,10 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in VOID and not m["attrs"].rstrip().endswith("/"):
             number += 1
             stack.append(_open(tag, m["attrs"], stack[-1], number))
+            if tag in CONTROLS and stack[-1].silent:
+                closed = _closed_controls(page, m.start()) if closed is None else closed
+                if m.start() not in closed:
+                    loose.add(number)
     add(page[at:])
     flush()
     return found

@@ -295,6 +295,37 @@ def test_main_parts_in_a_container_of_bad_name():
         assert html_text.main_text(page) == f"Flood\n\n{PROSE.strip()}"
 
 
+def test_pages_inside_a_form():
+    article = f"<h1>Flood</h1><p>{PROSE}</p><p>Short end.</p>"
+    whole = f"Flood\n\n{PROSE.strip()}\n\nShort end."
+    controls = "<label>Mail</label><input><select><option>One<option>Two</select><button>Go</button>"
+    for tag in ("article", "main"):
+        page = f"<body><form runat=server><nav>Menu</nav>{controls}<{tag}>{article}</{tag}></form>"
+        assert html_text.main_text(page) == whole
+    long = f'<div id="content">{article * 9}</div>'
+    page = f"<body><form runat=server><nav>Menu</nav>{controls}{long}<footer>Us</footer></form>"
+    assert html_text.main_text(page) == "\n\n".join([whole] * 9)
+    sign_up = f"<form>{controls}<p>Sign up for our letter and get the best stories each morning.</p></form>"
+    assert html_text.main_text(f"<article>{article}{sign_up}</article>{sign_up}") == whole
+
+
+@pytest.mark.parametrize(
+    "control",
+    [
+        "<button>Menu",
+        "<select><option>One",
+        "<option>One",
+        "<button>Menu <b>now</b><button>Go</button><button>More",
+        "<form><label>Mail<input></form>",
+    ],
+)
+def test_unclosed_controls_end_at_a_block(control):
+    page = f"<article>{control}<p>{PROSE}</p><div><p>{PROSE}</p></div></article>"
+    assert html_text.main_text(page) == f"{PROSE.strip()}\n\n{PROSE.strip()}"
+    shut = f"<article><p>{PROSE}</p><button><div>Menu</div><p>Go</p></button></article>"
+    assert html_text.main_text(shut) == PROSE.strip()
+
+
 def test_cut_joins_good_and_bad_blocks():
     good = html_text.Block("A plain sentence that stays.", 1, True, False, False, 0.0)
     doubtful = html_text.Block("x" * 650, 1, True, True, False, 0.0, (5,))
