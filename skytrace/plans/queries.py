@@ -339,25 +339,43 @@ def track_skip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def track_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text files of orders, a folder for each of three layouts, and why two cannot be read."""
+def _layout_files(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as text files in parts, a folder for each of three layouts.
+
+    Every part of the ragged layout is opened by a row of five cells, so that its rows of six are
+    longer than its first wherever the others are.
+    """
     path = _scratch(spark, "layouts")
     key = F.col("o_orderkey")
     cells = F.when(key % 3 == 0, F.lit("1 2 3 4 5")).when(key % 3 == 1, F.lit("1 2 3 4"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = inputs.table(spark, sf_dir, "orders").select(
-        (key % 3).alias("layout"),
-        (key % 2).alias("half"),
+        (key % 3).cast("long").alias("layout"),
+        (key % 2).cast("long").alias("half"),
+        F.pmod(F.xxhash64(key), F.lit(parts)).cast("long").alias("part"),
         cells.otherwise(F.when(key % 2 == 0, F.lit("1 2 3 4 5")).otherwise("1 2 3 4 5 6")).alias("value"),
     )
+    opening = spark.range(parts).select(
+        F.lit(2).cast("long").alias("layout"),
+        F.lit(-1).cast("long").alias("half"),
+        F.col("id").alias("part"),
+        F.lit("1 2 3 4 5").alias("value"),
+    )
     (
-        rows.repartition(1, "layout")
+        rows.unionByName(opening)
+        .repartitionByRange(parts, "layout", "part")
         .sortWithinPartitions("layout", "half")
         .select("layout", "value")
         .write.partitionBy("layout")
         .text(path)
     )
-    rejects = read_tracks(spark, path, prefix="part-").rejects
+    return path
+
+
+@query
+def track_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files of orders, a folder for each of three layouts, and why two cannot be read."""
+    rejects = read_tracks(spark, _layout_files(spark, sf_dir), prefix="part-").rejects
     return rejects.select(
         F.regexp_extract("flight", "layout=([^/]*)/", 1).alias("layout"), "reason"
     ).distinct()

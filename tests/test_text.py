@@ -4,6 +4,7 @@ import xml.etree.ElementTree as ET
 import pytest
 from skytrace.functions import geometry as g
 from skytrace.operators import flights, photos, reports
+from skytrace.plans import queries
 from skytrace.sources import sinks
 from skytrace.sources.text import numbered_lines, read_camera_logs, read_tracks
 
@@ -206,3 +207,17 @@ def test_layers_keep_equal_names_apart(spark, tmp_path):
     df = spark.createDataFrame([("a/x.txt", 1), ("b/x.txt", 2)], "flight string, id int")
     sinks.write_layer(df, str(tmp_path / "layer"), by="flight")
     assert spark.read.parquet(str(tmp_path / "layer")).count() == 2
+
+
+def test_layouts_are_written_in_many_parts(spark):
+    path = queries._layout_files(spark, "/root/testdata/sf0.001")
+    rejects = read_tracks(spark, path, prefix="part-").rejects.collect()
+    files = {n: os.listdir(os.path.join(path.removeprefix("file:"), f"layout={n}")) for n in range(3)}
+    for reason, layout in (("too_few_columns", 1), ("row_longer_than_first", 2)):
+        found = [r.flight for r in rejects if r.reason == reason]
+        assert all(f"layout={layout}/" in f for f in found)
+        assert len(found) == sum(f.startswith("part-") for f in files[layout]) > 1
+    lines = spark.read.text(path).groupBy("value").count().collect()
+    own = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r["count"] for r in lines) == own + parts
