@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product, as a join of blocks.
 
 Vectors are packed into blocks. A tile is one block of queries and one of candidates: the product of
-their int8 forms, exact in single precision, gives every inner product up to a bound from the two
+their int8 forms, exact in single precision by slices, gives every inner product up to a bound from the two
 quantisation errors. Only pairs whose upper bound reaches what the query already has are computed
 from the vectors themselves and go on its heap, so the result is exact.
 """
@@ -25,6 +25,8 @@ CANDIDATES = 8192
 QUERIES = 2048
 #: Queries of a tile worked on at a time, and query blocks whose heaps a task keeps.
 STRIP, HELD = 128, 32
+#: Components whose int8 products have a sum below 2**24, so that single precision holds it.
+EXACT = 2**24 // 127**2
 
 _BLOCK = "dim int, query boolean, block bigint, ids binary, own binary, vectors binary"
 
@@ -75,6 +77,14 @@ def quantise(vectors: np.ndarray) -> tuple[np.ndarray, ...]:
     return whole.astype(np.float32), step, *norms
 
 
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All inner products of int8 steps held in single precision, exact for any number of them."""
+    total = (a[:, :EXACT] @ b[:, :EXACT].T).astype(np.float64)
+    for at in range(EXACT, a.shape[1], EXACT):
+        total += a[:, at : at + EXACT] @ b[:, at : at + EXACT].T
+    return total
+
+
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of rows in double precision, added in order of the components."""
     total = np.zeros(len(a))
@@ -97,7 +107,7 @@ def _tile(queries: _Side, candidates: _Side, heaps: list[list], k: int) -> None:
     """Put on each query's heap of ``(score, -id)`` what the tile has among the best ``k``."""
     for at in range(0, len(queries.ids), STRIP):
         rows = slice(at, at + STRIP)
-        near = (queries.steps[rows] @ candidates.steps.T).astype(np.float64)
+        near = product(queries.steps[rows], candidates.steps)
         near *= queries.step[rows, None] * candidates.step
         error = queries.rest[rows, None] * candidates.norm
         error += queries.near[rows, None] * candidates.rest

@@ -405,6 +405,24 @@ def test_nearest_equals_brute_force(spark, monkeypatch, small):
     assert own == _nearest(rows, 20)
 
 
+def test_ties_of_long_vectors_are_found():
+    dim, n = 8192, 200
+
+    def side(rows, ids, own):
+        data = (np.array(x, t).tobytes() for x, t in ((ids, "<i8"), (own, "<i8"), (rows, "<f8")))
+        return vectors._Side(dim, *data)
+
+    for seed in range(4):
+        rng = np.random.default_rng(seed)
+        rows = np.ones((n, dim))
+        for row in rows:
+            row[rng.choice(dim, 201, replace=False)] = 0.0  # all have the same product
+        heaps = [[]]
+        candidates = side(rows, rng.permutation(n), np.arange(n))
+        vectors._tile(side(np.ones((1, dim)), [999], [999]), candidates, heaps, 5)
+        assert sorted(-key for _, key in heaps[0]) == [0, 1, 2, 3, 4]
+
+
 def test_nearest_of_nothing(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vectors.nearest(frame, frame.vec_id % 20 == 0).count() == 0
