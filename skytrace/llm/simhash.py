@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.llm.common import column, fresh, stored
@@ -185,14 +185,14 @@ def simhash_dedup(
         "simhash-rows",
     )
     keep = _classes(prints, radius, F.col("row")).select("least.*").distinct()
-    a, b, n = (fresh(documents, x) for x in ("row_id", "row_hash", "row_rank"))
-    keyed = documents.withColumns({a: column(documents, id_col), b: whole})
-    wanted = keep.select(F.col("id").alias(a), F.col("whole").alias(b))
-    on = keyed[a].eqNullSafe(wanted[a]) & (keyed[b] == wanted[b])
-    order = Window.partitionBy(a, b).orderBy(b)
-    return (
-        keyed.join(wanted, on, "left_semi")
-        .withColumn(n, F.row_number().over(order))
-        .filter(F.col(n) == 1)
-        .drop(a, b, n)
-    )
+    # Copies are reduced before anything is shuffled; id and hash are keys without NULL for both steps.
+    a, b, n = (fresh(documents, x) for x in ("row_id", "row_hash", "row_missing"))
+    keys = [a, b, n]
+
+    def key(id_value: Column, hashed: Column) -> dict[str, Column]:
+        text = F.coalesce(id_value.cast("string"), F.lit(""))
+        return dict(zip(keys, (text, hashed, id_value.isNull()), strict=True))
+
+    keyed = documents.withColumns(key(column(documents, id_col), whole)).dropDuplicates(keys)
+    wanted = keep.select(*[c.alias(x) for x, c in key(F.col("id"), F.col("whole")).items()])
+    return keyed.join(wanted, keys, "left_semi").drop(*keys)

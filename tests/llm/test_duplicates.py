@@ -116,6 +116,18 @@ def test_dedup_keeps_one_row_of_each_group(spark):
     assert simhash.simhash_components(documents(spark, [])).count() == 0
 
 
+def test_dedup_reduces_copies_before_the_shuffle(spark):
+    rows = [(5, "one and the same text")] * 300 + [(None, "no id here")] * 200
+    rows += [(100 + i, f"text number {i} of its own kind {i * 7919}") for i in range(100)]
+    deduped = simhash.simhash_dedup(documents(spark, rows))
+    plan = deduped._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert "partial_first" in plan
+    kept = [r["doc_id"] for r in deduped.collect()]
+    assert kept.count(5) == kept.count(None) == 1
+    assert len(kept) == len(set(kept))
+
+
 def _without_repeats(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
