@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytrace.operators.lineage import stored
+from skytrace.operators.lineage import ensure_checkpoint_dir, stored
+
+__all__ = ["column", "fold", "fresh", "labelled_sample", "logistic", "read", "scratch", "stored", "utf8"]
+
 
-__all__ = ["column", "fold", "fresh", "labelled_sample", "logistic", "read", "stored", "utf8"]
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of checkpoints, which every executor reaches."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

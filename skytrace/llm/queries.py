@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skytrace.llm import (
     bpe,
+    grammar,
     html_text,
     packing,
     quality,
@@ -20,7 +21,7 @@ from skytrace.llm import (
     unigram,
     vectors,
 )
-from skytrace.llm.common import fold, read
+from skytrace.llm.common import fold, read, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -145,6 +146,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "token-grammar")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    grammar.write(read(spark, sf_dir, "documents"), path, tokenizer, public_tokenizers.PATTERN)
+    return grammar.documents_of(grammar.read_shards(spark, path))
+
+
 ORACLES = {
     "op7_nearest_vectors": """
         WITH v AS (
