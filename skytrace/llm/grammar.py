@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skytrace.llm.bpe import tokenizer_file
-from skytrace.llm.common import column, small_batches
+from skytrace.llm.common import column, small_batches, stored
 
 #: Ids after which a shard is closed; also the most ids that are compressed together.
 SHARD_IDS = 1 << 20
@@ -42,6 +42,8 @@ LEAST = 4
 SHARE, PLACES = 12, 0.25
 #: Rounds end when all pairs that pay save less than this share of the symbols.
 WORTH = 0.02
+#: Parts (one for each task that wrote) whose sums are broadcast, of 16 bytes each.
+FEW_PARTS = 100_000
 _SLOTS = 18
 
 
@@ -287,9 +289,11 @@ def write(documents: DataFrame, path: str, tokenizer: str, pattern: str, **optio
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """The shards at ``path``, with ``first``: the ids of all shards before."""
     files = spark.read.parquet(path)
-    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n"))  # a row for each task that wrote
+    parts = stored(files.groupBy("part").agg(F.sum("n_ids").alias("n")), "grammar-parts")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    if parts.count() <= FEW_PARTS:  # else shards would move to meet their part's row
+        base = F.broadcast(base)
     return files.join(base, "part").withColumn("first", F.col("base") + F.col("start")).drop("base")
 
 

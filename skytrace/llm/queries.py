@@ -12,7 +12,9 @@ from skytrace.llm import (
     bpe,
     grammar,
     html_text,
+    lexical,
     packing,
+    prefix_trie,
     quality,
     rules,
     simhash,
@@ -146,6 +148,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op12_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-grammar")
@@ -154,6 +161,12 @@ def op12_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.documents_of(grammar.read_shards(spark, path))
 
 
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = prefix_trie.turns_of(read(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_openings(turns, convs))
+
+
 ORACLES = {
     "op7_nearest_vectors": """
         WITH v AS (
@@ -208,4 +221,97 @@ ORACLES = {
                     OR word_chars < 2 * n_words OR word_chars > 25 * n_words) AS kept
         FROM judged
     """,
+    "op11_lexical_search": r"""
+        WITH words AS (
+            SELECT row_no, doc_id, unnest(w) AS term, len(w) AS n
+            FROM (
+                SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+                FROM documents
+            )
+        ), asked AS (
+            SELECT DISTINCT item_no, item_id, unnest(w) AS term
+            FROM (
+                SELECT row_number() OVER () AS item_no, item_id, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+                FROM benchmark
+            )
+        ), corpus AS (
+            SELECT count(DISTINCT row_no) AS documents, count(*) AS total FROM words
+        ), postings AS (
+            SELECT row_no, doc_id, term, n, count(*) AS tf FROM words GROUP BY ALL
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, corpus GROUP BY term, documents
+        ), scored AS (
+            SELECT item_no, item_id, row_no, doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // total))))
+                        AS BIGINT) AS score
+            FROM asked JOIN postings USING (term) JOIN weights USING (term), corpus
+            GROUP BY item_no, item_id, row_no, doc_id
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST) AS rank
+            FROM scored WHERE score > 0
+        )
+        WHERE rank <= 10
+    """,
+    "op13_conversation_trie": """
+        WITH turns AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place,
+                   {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base,
+                   xor(4294967295::UBIGINT, list_reduce(
+                       list_prepend(4294967295::UBIGINT, list_transform(
+                           string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::UBIGINT)),
+                       lambda crc, byte: list_reduce(
+                           list_prepend(xor(crc, byte), range(8)::UBIGINT[]),
+                           lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT)
+                                        ELSE x >> 1 END))) % 9 AS h
+            FROM turns GROUP BY conv_id
+        ), plan AS (
+            SELECT c.conv_id, c.base, CASE WHEN c.base = c.conv_id THEN 0 ELSE c.h END AS skip,
+                   CASE WHEN c.base = c.conv_id THEN 0 ELSE least(c.h, coalesce(b.n, 0)) END AS lead_n
+            FROM convs c LEFT JOIN convs b ON b.conv_id = c.base
+        ), rebuilt AS (
+            SELECT conv_id, place - skip + lead_n AS place, said
+            FROM turns JOIN plan USING (conv_id) WHERE place >= skip
+            UNION ALL
+            SELECT p.conv_id, t.place, t.said
+            FROM plan p JOIN turns t ON t.conv_id = p.base AND t.place < p.lead_n
+        ), whole AS (
+            SELECT p.conv_id, coalesce(list(said ORDER BY place) FILTER (place IS NOT NULL), []) AS path
+            FROM plan p LEFT JOIN rebuilt r USING (conv_id) GROUP BY p.conv_id
+        ), prefixes AS (
+            SELECT conv_id, d, path[1:d] AS path, d = len(path) AS ends
+            FROM (SELECT conv_id, path, unnest(range(len(path) + 1)) AS d FROM whole)
+        ), nodes AS (
+            SELECT path, d, min(conv_id) AS conv_id, count(*) AS n,
+                   string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ids
+            FROM prefixes GROUP BY path, d
+        ), below AS (
+            SELECT path[1:d - 1] AS path, count(*) AS children FROM nodes WHERE d > 0 GROUP BY 1
+        ), counted AS (
+            SELECT n.*, coalesce(b.children, 0) AS children,
+                   CASE WHEN d = 0 THEN 0 ELSE (n.n - 1) * strlen(n.path[d].text) END AS own
+            FROM nodes n LEFT JOIN below b USING (path)
+        ), sums AS (
+            SELECT path[1:a] AS path, count(*) FILTER (children = 0) AS leaves, sum(own) AS saved
+            FROM (SELECT path, children, own, unnest(range(d + 1)) AS a FROM counted) GROUP BY 1
+        )
+        SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n AS n_convs,
+               c.children AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+               sha256(coalesce(c.ids, '')) AS ends_sha256
+        FROM counted c JOIN sums s USING (path)
+        LEFT JOIN nodes p ON c.d > 0 AND p.path = c.path[1:c.d - 1] AND p.d = c.d - 1
+    """,
 }
