@@ -72,6 +72,24 @@ def common_srid(srids: set[int]) -> int:
     return next(iter(srids))
 
 
+#: Key of column metadata that holds the reference system of coordinates.
+SRID = "srid"
+
+
+def marked(df: DataFrame, srid: int | str, *columns: str) -> DataFrame:
+    """``df`` whose coordinate columns carry their reference system through later steps."""
+    for name in columns:
+        own = {**df.schema[name].metadata, SRID: parse_srid(srid)}
+        df = df.withMetadata(name, own)
+    return df
+
+
+def srid_of(df: DataFrame) -> int | None:
+    """The reference system that the columns of ``df`` are marked with; two of them are an error."""
+    found = {f.metadata[SRID] for f in df.schema.fields if SRID in f.metadata}
+    return common_srid(found) if found else None
+
+
 def _utm_forward(zone: int, south: bool) -> list[Stage]:
     central = math.radians(zone * 6 - 183)
 
@@ -190,7 +208,10 @@ def reproject_rings(rings: Column, source: int | str, target: int | str) -> Colu
 def reproject_columns(
     df: DataFrame, source: int | str, target: int | str, x: str, y: str, to_x: str, to_y: str
 ) -> DataFrame:
-    """Add ``to_x``/``to_y``: the reprojected ``x``/``y`` columns. Attribute columns stay as read."""
+    """Add ``to_x``/``to_y``: the reprojected ``x``/``y`` columns, marked with their reference system.
+
+    Attribute columns stay as read, and are no longer marked.
+    """
     stages = _stages(parse_srid(source), parse_srid(target))
     values = {"x": x, "y": y}
     temporary: list[str] = []
@@ -199,7 +220,10 @@ def reproject_columns(
         values = {name: f"_crs{i}_{name}" for name in computed}
         temporary += values.values()
         df = df.withColumns({values[name]: col for name, col in computed.items()})
-    kept = [c for c in df.columns if c not in temporary and c not in (to_x, to_y)]
-    return df.select(
-        *kept, F.col(values["x"]).alias(to_x), F.col(values["y"]).alias(to_y)
-    )
+    kept = [
+        F.col(f.name).alias(f.name, metadata={k: v for k, v in f.metadata.items() if k != SRID})
+        for f in df.schema.fields
+        if f.name not in (*temporary, to_x, to_y)
+    ]
+    placed = df.select(*kept, F.col(values["x"]).alias(to_x), F.col(values["y"]).alias(to_y))
+    return marked(placed, target, to_x, to_y)

@@ -1,10 +1,11 @@
 """Cropping point clouds by polygons.
 
-The plane is cut into squares whose sides are powers of two, so the square of a point is exact. For
-each polygon a square knows either that it lies fully inside, or which edges a point in it must be
-tested against plus the parity of the edges that lie entirely to its right. Squares with too many
-edges are split again, so the work per point is bounded wherever the vertices crowd. Points meet
-squares by equality, and a point is kept when some polygon holds it (left semi).
+The plane is cut into squares whose sides are powers of two, so the square of a point is exact. A
+square lies fully inside some polygon, or it knows for each polygon which edges a point in it must be
+tested against plus the parity of the edges that lie entirely to its right. Squares are at first so
+large that their number is in proportion to the edges, however often polygons cover the same ground;
+only those with too many edges are split again.
+Points meet squares by equality, one row a square, so points are never multiplied by polygons.
 """
 
 from __future__ import annotations
@@ -61,19 +62,45 @@ def _power_of_two(extent: float, cells: int) -> float:
 
 
 def _extent(edges: DataFrame):
-    return edges.agg(
+    """One row: the extent of all edges, their number, and how often their polygons' boxes cover it."""
+    boxes = edges.groupBy("poly_id").agg(
         *[F.least(F.min(f"{c}1"), F.min(f"{c}2")).alias(f"{c}_min") for c in ("x", "y")],
         *[F.greatest(F.max(f"{c}1"), F.max(f"{c}2")).alias(f"{c}_max") for c in ("x", "y")],
         F.count(F.lit(1)).alias("edges"),
-        F.approx_count_distinct("poly_id").alias("polygons"),
+    )
+    area = (F.col("x_max") - F.col("x_min")) * (F.col("y_max") - F.col("y_min"))
+    return boxes.agg(
+        *[F.min(f"{c}_min").alias(f"{c}_min") for c in ("x", "y")],
+        *[F.max(f"{c}_max").alias(f"{c}_max") for c in ("x", "y")],
+        F.coalesce(F.sum("edges"), F.lit(0)).alias("edges"),
+        F.count(F.lit(1)).alias("polygons"),
+        F.sum(area).alias("area"),
     ).first()
 
 
+def _first_grid(extent) -> tuple[int, int]:
+    """Bands and columns to begin with: a band for four edges and eight columns a polygon across, as
+    long as all polygons' squares together stay in proportion to the edges.
+    """
+    bands = min(max(extent["edges"] // 4, 16), 1 << 14)
+    columns = min(max(8 * math.isqrt(extent["polygons"]), 32), 1024)
+    whole = (extent["x_max"] - extent["x_min"]) * (extent["y_max"] - extent["y_min"])
+    times = extent["area"] / whole if whole > 0 else 1.0
+    while bands * columns * times > 16 * extent["edges"] + 4096 and (bands > 16 or columns > 8):
+        if columns <= 8 or bands > 4 * columns:
+            bands //= 2
+        else:
+            columns //= 2
+    return bands, columns
+
+
 @dataclass(frozen=True)
 class CoverLevel:
-    """Squares ``band, col, odd, tests`` of one size; ``tests`` is NULL for squares fully inside.
+    """Squares of one size, a row each: ``band, col, crowded, solid, parts``.
 
-    Elsewhere a point is inside when ``odd`` plus the number of test edges its ray crosses is odd.
+    A crowded square is split on the next level. Otherwise a point in it is inside where the square
+    is solid, or where for one of ``parts`` its ``odd`` plus the number of ``tests`` (edges) that the
+    point's ray crosses is odd.
     """
 
     height: float
@@ -164,7 +191,10 @@ def _level_squares(edges: DataFrame, regions: DataFrame, height: float, width: f
 def polygon_cover(
     edges: DataFrame, height: float, width: float, max_tests: int | None = None
 ) -> list[CoverLevel]:
-    """Levels of squares that hold all points of the polygons; no two levels share any place."""
+    """Levels of squares that hold all points of the polygons; no two levels share any place.
+
+    A square is split where some polygon has more than ``max_tests`` edges to test in it.
+    """
     max_tests = MAX_TESTS if max_tests is None else max_tests
     edges = edges.filter(F.col("y1") != F.col("y2")).withColumn("region", F.lit("all"))
 
@@ -195,16 +225,26 @@ def polygon_cover(
             kept.groupBy(*place)
             .agg(F.collect_list(F.struct(*EDGE)).alias("tests"))
             .join(squares.drop("tests"), place)
-            .select(*SQUARE, "odd", "tests")
-        )
-        solid = full.select(
-            *SQUARE,
-            F.lit(1).cast("long").alias("odd"),
-            F.lit(None).cast(partial.schema["tests"].dataType).alias("tests"),
+            .groupBy(*SQUARE)
+            .agg(F.collect_list(F.struct("odd", "tests")).alias("parts"))
+            .select(*SQUARE, F.lit(False).alias("crowded"), F.lit(False).alias("solid"), "parts")
         )
-        cover = cut(partial.unionByName(solid))
-        weight = F.lit(64) + F.coalesce(F.size("tests"), F.lit(0)) * 40
-        size = cover.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+
+        def plain(rows: DataFrame, crowded: bool) -> DataFrame:
+            nothing = F.lit(None).cast(partial.schema["parts"].dataType)
+            return rows.select(
+                *SQUARE,
+                F.lit(crowded).alias("crowded"),
+                F.lit(not crowded).alias("solid"),
+                nothing.alias("parts"),
+            )
+
+        cover = partial.unionByName(plain(full, crowded=False))
+        if splitting:
+            cover = cover.unionByName(plain(crowded, crowded=True))
+        cover = cut(cover)
+        edges_held = F.expr("aggregate(parts, 0, (n, p) -> n + 1 + size(p.tests))")
+        size = cover.agg(F.coalesce(F.sum(64 + 40 * F.coalesce(edges_held, F.lit(0))), F.lit(0))).first()[0]
         levels.append(CoverLevel(height, width, cover, size))
         if not splitting:
             return levels
@@ -244,8 +284,7 @@ def crop_points(
     extent = _extent(edges)
     if not extent["edges"]:
         return points.filter(F.lit(False))
-    bands = min(max(extent["edges"] // 4, 16), 1 << 14)
-    columns = min(max(8 * math.isqrt(extent["polygons"]), 32), 1024)
+    bands, columns = _first_grid(extent)
     height = _power_of_two(extent["y_max"] - extent["y_min"], bands)
     width = _power_of_two(extent["x_max"] - extent["x_min"], columns)
     near = points.filter(
@@ -256,39 +295,70 @@ def crop_points(
 
 
 def _inside(points: DataFrame, levels: list[CoverLevel]) -> DataFrame:
-    """Points in the squares of all levels, by one join: no two levels share any place, so a point
-    that is looked up once for each level is found once at most.
+    """Points in the squares of all levels.
+
+    A point looks up its square of the first level. Only where that is crowded it is looked up on the
+    further levels, which make one table; as no two levels share any place, it is found once at most.
     """
-    sizes = [
-        F.struct(F.lit(i).alias("at"), F.lit(v.height).alias("h"), F.lit(v.width).alias("w"))
-        for i, v in enumerate(levels)
-    ]
-    placed = points.withColumn("_level", F.explode(F.array(*sizes))).withColumns(
-        {
-            "_band": F.floor(F.col("y") / F.col("_level.h")),
-            "_col": F.floor(F.col("x") / F.col("_level.w")),
-            "_level": F.col("_level.at"),
-        }
+    names = {c: f"_crop_{c}" for c in ("band", "col", "level", "crowded", "solid", "parts")}
+    x, y = F.col("x"), F.col("y")
+
+    def looked_up(rows: DataFrame, squares: DataFrame, size: int, key: list[str]) -> DataFrame:
+        squares = squares.withColumnsRenamed(names)
+        if size <= BROADCAST_BYTES:
+            squares = F.broadcast(squares)
+        return rows.join(squares, [names[c] for c in key], "left")
+
+    crossed = F.exists(
+        F.col(names["parts"]),
+        lambda p: (
+            p["odd"]
+            + F.size(
+                F.filter(
+                    p["tests"],
+                    lambda e: g.edge_crossed(x, y, e["x1"], e["y1"], e["x2"], e["y2"]),
+                )
+            )
+        )
+        % 2
+        == 1,
     )
-    squares = reduce(
-        DataFrame.unionByName,
-        [v.squares.withColumn("level", F.lit(i)) for i, v in enumerate(levels)],
+    found = F.coalesce(F.col(names["solid"]) | crossed, F.lit(False))
+    first, deeper = levels[0], levels[1:]
+    placed = points.withColumns(
+        {names["band"]: F.floor(y / first.height), names["col"]: F.floor(x / first.width)}
     )
-    if sum(v.bytes for v in levels) <= BROADCAST_BYTES:
-        squares = F.broadcast(squares)
-    p, s = placed.alias("p"), squares.alias("s")
-    crossed = F.size(
-        F.filter(
-            "s.tests",
-            lambda e: g.edge_crossed(
-                F.col("p.x"), F.col("p.y"), e["x1"], e["y1"], e["x2"], e["y2"]
-            ),
+    rows = looked_up(placed, first.squares, first.bytes, SQUARE)
+    if not deeper:
+        return rows.filter(found).drop(*names.values())
+    sizes = F.array(
+        *[
+            F.struct(F.lit(i).alias("at"), F.lit(v.height).alias("h"), F.lit(v.width).alias("w"))
+            for i, v in enumerate(deeper)
+        ]
+    )
+    crowded = F.coalesce(names["crowded"], F.lit(False))
+    rows = (
+        rows.withColumn("_crop_found", found)
+        .filter(F.col("_crop_found") | crowded)
+        .withColumn(names["level"], F.explode(F.when(crowded, sizes).otherwise(F.slice(sizes, 1, 1))))
+        .drop(names["solid"], names["parts"])
+        .withColumns(  # what is decided meets nothing, and keeps its square to stay dealt out
+            {
+                names["band"]: F.when(crowded, F.floor(y / F.col(f"{names['level']}.h"))).otherwise(
+                    F.col(names["band"])
+                ),
+                names["col"]: F.when(crowded, F.floor(x / F.col(f"{names['level']}.w"))).otherwise(
+                    F.col(names["col"])
+                ),
+                names["level"]: F.when(crowded, F.col(f"{names['level']}.at")).otherwise(-1),
+            }
         )
+        .drop(names["crowded"])
     )
-    condition = (
-        (F.col("p._level") == F.col("s.level"))
-        & (F.col("p._band") == F.col("s.band"))
-        & (F.col("p._col") == F.col("s.col"))
-        & (F.col("s.tests").isNull() | ((F.col("s.odd") + crossed) % 2 == 1))
+    squares = reduce(
+        DataFrame.unionByName,
+        [v.squares.withColumn("level", F.lit(i)) for i, v in enumerate(deeper)],
     )
-    return p.join(s, condition, "left_semi").drop("_level", "_band", "_col")
+    rows = looked_up(rows, squares, sum(v.bytes for v in deeper), ["level", *SQUARE])
+    return rows.filter(F.col("_crop_found") | found).drop("_crop_found", *names.values())

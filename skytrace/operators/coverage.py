@@ -11,6 +11,8 @@ from skytrace.operators.sequence import with_next_vertex
 #: Squares of boxes up to this size are broadcast; a square takes about so many bytes.
 BROADCAST_BYTES = 64 << 20
 SQUARE_BYTES = 64
+#: Sizes of boxes that points are tested for one after the other.
+FEW_SIZES = 64
 
 
 def sorted_boxes(boxes: DataFrame) -> DataFrame:
@@ -36,9 +38,9 @@ def exclude_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
     """Points in none of the closed boxes ``x_min, x_max, y_min, y_max``.
 
     Boxes are sorted into sizes by powers of two. A box of size s overlaps at most four squares of
-    side s; the squares of all sizes make one table, in which a point looks up one square for each
-    size that occurs. What is found, places inside boxes, is then taken out of the points. Squares
-    are broadcast only below a measured size.
+    side s, and a point looks up one square of each size. Below a measured size the squares are
+    broadcast and points stay where they are, tested size after size. Otherwise the squares of all
+    sizes make one table, and the places that it has inside boxes are taken out of the points.
     """
     side = F.greatest(F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min"))
     level = F.when(side > 0, F.ceil(F.log2(side))).otherwise(0).cast("int")
@@ -56,23 +58,21 @@ def exclude_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
     sizes = {r["level"]: r["n"] for r in squares.groupBy("level").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return points
-    if sum(sizes.values()) * SQUARE_BYTES <= BROADCAST_BYTES:
-        squares = F.broadcast(squares)
+    inside_box = [F.col(f"p.{c}").between(F.col(f"b.{c}_min"), F.col(f"b.{c}_max")) for c in ("x", "y")]
+    if len(sizes) <= FEW_SIZES and sum(sizes.values()) * SQUARE_BYTES <= BROADCAST_BYTES:
+        for level in sorted(sizes):
+            own = F.broadcast(squares.filter(F.col("level") == level)).alias("b")
+            place = [F.floor(F.col(f"p.{c}") / 2.0**level) == F.col(f"b.s{c}") for c in ("x", "y")]
+            points = points.alias("p").join(own, place + inside_box, "left_anti")
+        return points
     keyed = (
         points.select("x", "y")
         .withColumn("level", F.explode(F.array(*[F.lit(n) for n in sorted(sizes)])))
         .withColumns({f"s{c}": square(F.col(c)) for c in ("x", "y")})
     )
     p, b = keyed.alias("p"), squares.alias("b")
-    inside = p.join(
-        b,
-        (F.col("p.level") == F.col("b.level"))
-        & (F.col("p.sx") == F.col("b.sx"))
-        & (F.col("p.sy") == F.col("b.sy"))
-        & F.col("p.x").between(F.col("b.x_min"), F.col("b.x_max"))
-        & F.col("p.y").between(F.col("b.y_min"), F.col("b.y_max")),
-        "left_semi",
-    )
+    place = [F.col(f"p.{c}") == F.col(f"b.{c}") for c in ("level", "sx", "sy")]
+    inside = p.join(b, place + inside_box, "left_semi")
     return points.join(inside.select("x", "y").distinct(), ["x", "y"], "left_anti")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytrace.functions import geometry as g
-from skytrace.functions.crs import GEOGRAPHIC, parse_srid, reproject_columns
+from skytrace.functions.crs import GEOGRAPHIC, marked, parse_srid, reproject_columns
 from skytrace.operators.lineage import cut, stored
 from skytrace.operators.sequence import (
     CHUNK_ROWS,
@@ -374,7 +374,8 @@ def production_vertices(
 ) -> DataFrame:
     """The vertices of the production lines, one row each, ``seq`` giving their order.
 
-    ``row_id`` numbers the lines of all flights by (flight, id). ``next_x``/``next_y`` are the
+    ``row_id`` numbers the lines of all flights by (flight, id), and the coordinates are marked with
+    their reference system. ``next_x``/``next_y`` are the
     following vertex of the same line (NULL at its end), so each row but the last of a line is also
     a segment.
     """
@@ -405,7 +406,7 @@ def production_vertices(
     at = points.join(lines, [*CHUNK, "stretch"])
     ahead = F.col("seq") < F.col("line_end")
     crossing = F.col("seq") == F.col("last_seq")
-    return at.select(
+    vertices = at.select(
         "row_id",
         "flight",
         "id",
@@ -421,6 +422,7 @@ def production_vertices(
             for c, name in (("u", "x"), ("v", "y"))
         ],
     )
+    return marked(vertices, srid, "x", "y", "next_x", "next_y")
 
 
 def rejected_flights(track: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:

@@ -106,14 +106,24 @@ def _propagate(edges: DataFrame, values: DataFrame, aggregate, pick) -> DataFram
 
     Nodes with one predecessor hang below each other in trees. Their way up to the root is gathered
     by pointer doubling, in rounds that grow with the logarithm of its length; only the roots, nodes
-    where ways meet, then exchange values round by round. A ring of such nodes has no root: there
-    doubling goes on until every node has the value of the whole ring.
+    where ways meet, then exchange values. A ring of such nodes has no root: there doubling goes on
+    until every node has the value of the whole ring.
     """
     edges = cut(edges.select("src", "dst").distinct())
     above = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("up"))
     parents = above.filter("n = 1").select(F.col("dst").alias("node"), "up")
     # ``value`` covers the way from a node up to, but without, ``up``.
-    ways = cut(values.join(parents, "node", "left"))
+    ways = _gathered(values.join(parents, "node", "left"), pick)
+    return _between_roots(edges, ways, aggregate, pick)
+
+
+def _gathered(ways: DataFrame, pick) -> DataFrame:
+    """Pointer doubling over ``(node, value, up)``: ``(node, up, value, open)``.
+
+    In the end ``up`` is the root above a node, or NULL for a root itself, and ``value`` covers the
+    way without the root. Open nodes hang on rings: theirs covers all of the way and the ring.
+    """
+    ways = ways.select("node", "up", "value")
     waiting = None
     while True:
         higher = ways.select(
@@ -134,7 +144,7 @@ def _propagate(edges: DataFrame, values: DataFrame, aggregate, pick) -> DataFram
         found = state.first()
         # Trees have fewer open nodes after each round; what does not shrink hangs on a ring.
         if not found["open"] or (found["open"] == waiting and not found["changed"]):
-            return _between_roots(edges, ways.drop("changed"), aggregate, pick)
+            return ways.drop("changed")
         waiting = found["open"]
         ways = ways.drop("open", "changed")
 
@@ -156,31 +166,55 @@ def _between_roots(edges: DataFrame, ways: DataFrame, aggregate, pick) -> DataFr
         .groupBy("dst", "root")
         .agg(aggregate("carried").alias("carried"))
     )
-    current = cut(roots)
-    while not feeds.isEmpty():
+    # What trees and rings bring to a root reaches it whatever else does.
+    brought = feeds.groupBy(F.col("dst").alias("node")).agg(aggregate("carried").alias("carried"))
+    start = roots.join(brought, "node", "left").select("node", pick("value", "carried").alias("value"))
+    links = feeds.filter("root IS NOT NULL AND root != dst").select(F.col("root").alias("src"), "dst")
+    current = _spread(links, start, aggregate, pick)
+    tops = current.withColumnsRenamed({"node": "up", "value": "top"})
+    trees = (
+        ways.filter("NOT open AND up IS NOT NULL")
+        .join(tops, "up")
+        .select("node", pick("value", "top").alias("value"))
+    )
+    rings = ways.filter("open").select("node", "value")
+    return current.unionByName(trees).unionByName(rings)
+
+
+def _spread(links: DataFrame, values: DataFrame, aggregate, pick) -> DataFrame:
+    """``(node, value)``: the pick over a node and all that reach it over ``links``.
+
+    Every round all links hand on their values; then each node follows the predecessor with the best
+    value, of equal ones the first, up a forest whose ways are gathered by pointer doubling. So a value
+    runs the length of a way in one round where the best predecessors lead along it, and one link
+    further at least. Rings need no care: going round one twice changes nothing.
+    """
+    current = values
+    while not links.isEmpty():
         arriving = (
-            feeds.join(current.withColumnsRenamed({"node": "root", "value": "own"}), "root", "left")
-            .select(F.col("dst").alias("node"), pick("carried", "own").alias("arrived"))
-            .groupBy("node")
-            .agg(aggregate("arrived").alias("arrived"))
+            links.join(current.withColumnsRenamed({"node": "src"}), "src")
+            .groupBy(F.col("dst").alias("node"))
+            .agg(
+                aggregate("value").alias("arrived"),
+                aggregate(F.struct(F.col("value"), F.col("src"))).alias("best"),
+            )
         )
         together = pick("value", "arrived")
-        current = cut(
+        handed = cut(
             current.join(arriving, "node", "left").select(
                 "node",
                 together.alias("value"),
+                F.col("best.src").alias("up"),
                 (~together.eqNullSafe(F.col("value"))).alias("changed"),
             )
         )
-        if current.filter("changed").isEmpty():
-            current = current.drop("changed")
-            break
-        current = current.drop("changed")
-    tops = current.withColumnsRenamed({"node": "up", "value": "top"})
-    trees = (
-        ways.filter("NOT open AND up IS NOT NULL")
-        .join(tops, "up")
-        .select("node", pick("value", "top").alias("value"))
-    )
-    rings = ways.filter("open").select("node", "value")
-    return current.unionByName(trees).unionByName(rings)
+        current = handed.select("node", "value")
+        if handed.filter("changed").isEmpty():
+            return current
+        ways = _gathered(handed.drop("changed"), pick)
+        tops = ways.filter("NOT open AND up IS NULL").select(
+            F.col("node").alias("up"), F.col("value").alias("top")
+        )
+        best = F.when(F.col("open"), F.col("value")).otherwise(pick("value", "top"))
+        current = ways.join(tops, "up", "left").select("node", best.alias("value"))
+    return cut(current)

@@ -23,9 +23,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder now; later plans read it from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` now; later plans read it from there, and know its true size.
+
+    A plan cut by ``checkpoint()`` keeps its estimated size. Estimates multiply in joins, so after some
+    rounds of a loop they are numbers of thousands of digits, and no table counts as small.
+    """
+    return stored(df, "cut")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -11,18 +11,25 @@ link per (cell, line nearby) - linear in the number of lines however many meet i
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.functions import geometry as g
-from skytrace.functions.crs import common_srid
+from skytrace.functions.crs import SRID, common_srid, marked, srid_of
+from skytrace.functions.exact import ExactSum
 from skytrace.operators import graph
+from skytrace.operators.dissolve import union_on_carriers
 from skytrace.operators.lineage import cut
 from skytrace.operators.sequence import CHUNK_ROWS, number_globally, with_next_vertex
 
 TOLERANCE = 10.0
 CELL_POINTS = 32
 SPLIT = 8
+#: Pieces that a segment is cut into at most, and how much wider the grid for longer ones is.
+PIECES = 64
+COARSER = 8
 CELL = ["direction", "cx", "cy"]
 
 
@@ -128,6 +135,9 @@ def cell_links(lines: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
 def _cell_links(lines: DataFrame, ends: DataFrame, tolerance: float) -> DataFrame:
     """Segments are keyed by a coarse grid over pieces no longer than one grid step, one row per
     piece; endpoints are spread over the (at most sixteen) grid squares their pieces can lie in.
+
+    Segments of more than ``PIECES`` pieces are cut into pieces of a coarser grid and led down to the
+    squares near them that hold an endpoint.
     """
     step = 2 * tolerance
     side = _cell_side(tolerance)
@@ -150,13 +160,36 @@ def _cell_links(lines: DataFrame, ends: DataFrame, tolerance: float) -> DataFram
         for c in ("cx", "cy")
     ]
     spread = targets.withColumn("gx", F.explode(around[0])).withColumn("gy", F.explode(around[1]))
+    keyed = _segment_pieces(lines, step)
+    # Both sides grow in an explode the size estimates do not see: never broadcast them by estimate.
+    short = keyed.filter("level = 0").drop("level")
+    pairs = short.hint("merge").join(spread, ["direction", "gx", "gy"])
+    long = keyed.filter("level > 0")
+    levels = long.agg(F.max("level")).first()[0] or 0
+    if levels:
+        pairs = pairs.drop("gx", "gy").unionByName(_led_down(long, targets, levels, step))
+    measured = _measured(pairs)
+    if any_crowded:
+        measured = cut(measured.distinct())
+        return _crowded_links(measured, points, crowded, side, tolerance).distinct()
+    return measured.filter("near").select(*CELL, "row_id").distinct()
+
+
+def _segment_pieces(lines: DataFrame, step: float) -> DataFrame:
+    """``row_id, direction, x, y, next_x, next_y, level, gx, gy``: a row for each piece of a segment.
 
+    The grid of a level is ``COARSER`` times as wide as that of the level below. A segment takes the
+    lowest level on which it has at most ``PIECES`` pieces, give or take one.
+    """
     length = g.distance(F.col("x"), F.col("y"), F.col("next_x"), F.col("next_y"))
-    pieces = F.greatest(F.ceil(length / step), F.lit(1)).cast("long")
+    level = F.ceil(F.log2(length / (step * PIECES)) / math.log2(COARSER)).cast("int")
+    wide = F.col("wide")
     share = (F.col("piece") + 0.5) / F.col("pieces")
-    keyed = (
+    return (
         segments(lines)
-        .withColumn("pieces", pieces)
+        .withColumn("level", F.when(length > step * PIECES, F.greatest(level, F.lit(1))).otherwise(0))
+        .withColumn("wide", step * F.pow(F.lit(float(COARSER)), F.col("level")))
+        .withColumn("pieces", F.greatest(F.ceil(length / wide), F.lit(1)).cast("long"))
         .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
         .select(
             "row_id",
@@ -165,18 +198,56 @@ def _cell_links(lines: DataFrame, ends: DataFrame, tolerance: float) -> DataFram
             "y",
             "next_x",
             "next_y",
+            "level",
             *[
-                F.floor((F.col(c) + (F.col(f"next_{c}") - F.col(c)) * share) / step).alias(f"g{c}")
+                F.floor((F.col(c) + (F.col(f"next_{c}") - F.col(c)) * share) / wide).alias(f"g{c}")
                 for c in ("x", "y")
             ],
         )
     )
-    # Both sides grow in an explode the size estimates do not see: never broadcast them by estimate.
-    measured = _measured(keyed.hint("merge").join(spread, ["direction", "gx", "gy"]))
-    if any_crowded:
-        measured = cut(measured.distinct())
-        return _crowded_links(measured, points, crowded, side, tolerance).distinct()
-    return measured.filter("near").select(*CELL, "row_id").distinct()
+
+
+def _led_down(long: DataFrame, targets: DataFrame, levels: int, step: float) -> DataFrame:
+    """Pairs of long segments and the targets that may be near them.
+
+    From the coarsest level on, a segment is kept with the squares near it that hold a target, and
+    these are replaced by their own squares on the level below. So the rows of a segment grow with
+    the targets near it, not with its length.
+    """
+    segment = ["row_id", "direction", "x", "y", "next_x", "next_y"]
+    square = ["direction", "gx", "gy"]
+    placed = cut(
+        targets.withColumns({f"g{c}": F.floor(F.col(f"t{c}") / step) for c in ("x", "y")})
+    )
+    held = [placed.select(*square).distinct()]
+    for _ in range(levels):
+        up = [F.floor(F.col(c) / COARSER).alias(c) for c in ("gx", "gy")]
+        held.append(cut(held[-1].select("direction", *up).distinct()))
+    near = None
+    for level in range(levels, -1, -1):
+        wide = step * COARSER**level
+        pairs = None
+        if near is not None:
+            children = held[level].withColumns(
+                {f"p{c}": F.floor(F.col(f"g{c}") / COARSER) for c in ("x", "y")}
+            )
+            parents = near.withColumnsRenamed({"gx": "px", "gy": "py"})
+            pairs = parents.join(children, ["direction", "px", "py"]).select(*segment, "gx", "gy")
+        if level:
+            beside = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+            around = held[level].withColumnsRenamed({"gx": "hx", "gy": "hy"})
+            for c in ("x", "y"):
+                around = around.withColumn("by", F.explode(beside)).withColumn(
+                    f"g{c}", F.col(f"h{c}") + F.col("by")
+                )
+            own = long.filter(F.col("level") == level).join(around, square)
+            own = own.select(*segment, F.col("hx").alias("gx"), F.col("hy").alias("gy")).distinct()
+            pairs = own if pairs is None else pairs.unionByName(own).distinct()
+        centre = [(F.col(c) + 0.5) * wide for c in ("gx", "gy")]
+        squared = g.point_segment_distance2(*centre, *[F.col(c) for c in ("x", "y", "next_x", "next_y")])
+        # Half a diagonal, and what a target may lie off its point: 1.5 tolerances, 0.75 steps.
+        near = cut(pairs.filter(squared <= (wide * 0.70711 + step * 0.7501) ** 2))
+    return near.join(placed, square).drop("gx", "gy")
 
 
 def _crowded_links(
@@ -282,47 +353,54 @@ def drop_singletons(groups: DataFrame, directions: list[str] | None = None) -> D
 
 
 def dissolved_segments(lines: DataFrame, groups: DataFrame) -> DataFrame:
-    """The distinct segments of every group, ``direction, grp, ax, ay, bx, by``.
+    """What the lines of every group cover, ``direction, grp, ax, ay, bx, by``, a row a piece.
 
-    A segment counts once, whichever way lines run along it; a is its lesser end by (x, y).
+    Segments that lie on each other, wholly or in part and whichever way lines run along them, count
+    once; a is the lesser end of a piece by (x, y). Lines that cross or touch stay as they are.
     """
     parts = segments(lines.join(groups.select("row_id", "grp"), "row_id"))
     forward = (F.col("x") < F.col("next_x")) | (
         (F.col("x") == F.col("next_x")) & (F.col("y") <= F.col("next_y"))
     )
     ends = (("x", "next_x", "ax"), ("y", "next_y", "ay"), ("next_x", "x", "bx"), ("next_y", "y", "by"))
-    return parts.select(
+    undirected = parts.select(
         "direction",
         "grp",
         *[F.when(forward, F.col(a)).otherwise(F.col(b)).alias(name) for a, b, name in ends],
-    ).distinct()
+    )
+    return union_on_carriers(undirected, ["direction", "grp"])
 
 
 def merged_lines(lines: DataFrame, groups: DataFrame) -> DataFrame:
     """One row per group: length, centroid and the two extreme vertices of its lines.
 
     East-West groups are extreme in x, all others in y; of several extreme vertices the first in
-    (row, vertex) order is taken.
+    (row, vertex) order is taken. Lengths and centroids are the same however the rows are dealt out.
     """
     key = ["direction", "grp"]
     grouped = lines.join(groups.select("row_id", "grp"), "row_id")
-    undirected = dissolved_segments(lines, groups)
-    weight = g.distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
-    centroids = (
-        undirected.withColumn("w", weight)
-        .withColumns(
-            {"mx": (F.col("ax") + F.col("bx")) / 2, "my": (F.col("ay") + F.col("by")) / 2}
-        )
-        .groupBy(*key)
-        .agg(
-            F.sum("w").alias("length"),
-            *[
-                F.when(
-                    F.sum("w") > 0, F.sum(F.col("w") * F.col(m)) / F.sum("w")
-                ).otherwise(F.avg(m)).alias(name)
-                for m, name in (("mx", "cx"), ("my", "cy"))
-            ],
-        )
+    pieces = dissolved_segments(lines, groups).select(
+        *key,
+        g.distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")).alias("w"),
+        ((F.col("ax") + F.col("bx")) / 2).alias("mx"),
+        ((F.col("ay") + F.col("by")) / 2).alias("my"),
+    )
+    length = ExactSum("w", F.col("w"))
+    moments = {c: ExactSum(c, F.col("w") * F.col(f"m{c[1]}")) for c in ("cx", "cy")}
+    sums = pieces.groupBy(*key).agg(
+        *length.aggregates(),
+        *[a for moment in moments.values() for a in moment.aggregates()],
+        *[F.avg(F.col(m).cast("decimal(38, 12)")).cast("double").alias(m) for m in ("mx", "my")],
+    )
+    centroids = sums.withColumn("length", length.total()).select(
+        *key,
+        "length",
+        *[
+            F.when(F.col("length") > 0, moments[c].total() / F.col("length"))
+            .otherwise(F.col(m))  # lines of no length
+            .alias(c)
+            for c, m in (("cx", "mx"), ("cy", "my"))
+        ],
     )
     along = F.when(F.col("direction") == g.EAST_WEST, F.col("x")).otherwise(F.col("y"))
     vertex = g.point(F.col("x"), F.col("y"))
@@ -338,20 +416,15 @@ def merged_lines(lines: DataFrame, groups: DataFrame) -> DataFrame:
 def ordered_lines(merged: DataFrame) -> DataFrame:
     """Number merged lines 1, 2, ...: North-South from west to east, then East-West from north
     to south, then all others from south to north; equal centroids by group.
-
-    Centroids are compared to six decimals, because a distributed sum may end in other last bits.
     """
-    ranked = merged.withColumns(
+    ranked = cut(merged).withColumns(  # numbering reads it twice
         {
             "block": F.when(F.col("direction") == g.NORTH_SOUTH, 0)
             .when(F.col("direction") == g.EAST_WEST, 1)
             .otherwise(2),
-            "place": F.round(
-                F.when(F.col("direction") == g.NORTH_SOUTH, F.col("cx"))
-                .when(F.col("direction") == g.EAST_WEST, -F.col("cy"))
-                .otherwise(F.col("cy")),
-                6,
-            ),
+            "place": F.when(F.col("direction") == g.NORTH_SOUTH, F.col("cx"))
+            .when(F.col("direction") == g.EAST_WEST, -F.col("cy"))
+            .otherwise(F.col("cy")),
         }
     )
     return number_globally(ranked, ["block", "place", "grp"], "id").drop("block", "place")
@@ -375,7 +448,7 @@ def extreme_points(ordered: DataFrame) -> DataFrame:
 
 
 def merge_lines(
-    lines: DataFrame,
+    lines: DataFrame | list[DataFrame],
     tolerance: float = TOLERANCE,
     drop_single: list[str] | None = (),
     mode: str = "directed",
@@ -383,11 +456,70 @@ def merge_lines(
     """Group, merge, order and straighten a line layer: ``id, direction, coords``.
 
     ``drop_single`` lists the directions whose lone lines are removed (None: every direction).
+    Several layers are united first. Layers that are marked with different reference systems, or rows
+    whose ``srid`` column says so, are refused.
     """
+    if not isinstance(lines, DataFrame):
+        lines = layer_union(lines)
+    srid = _one_srid(lines)
     groups = proximity_groups(lines, tolerance, mode)
     if drop_single is None or drop_single:
         groups = drop_singletons(groups, drop_single)
-    return extreme_chords(ordered_lines(merged_lines(lines, cut(groups))))
+    chords = extreme_chords(ordered_lines(merged_lines(lines, cut(groups))))
+    return chords if srid is None else marked(chords, srid, "coords")
+
+
+def _one_srid(layer: DataFrame) -> int | None:
+    """The reference system of a layer, by its marks and by its column ``srid``, or None if unknown."""
+    srid = srid_of(layer)
+    if "srid" not in layer.columns:
+        return srid
+    found = {r["srid"] for r in layer.select("srid").distinct().limit(2).collect()}
+    found = {s for s in found | {srid} if s}
+    return common_srid(found) if found else None
+
+
+def feature_vertices(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(lines, rejects)`` of features ``row_id, direction, parts`` of any kind of shape.
+
+    Lines and lines of several parts become vertices ``row_id, direction, vertex_no, x, y, next_x,
+    next_y``; ``vertex_no`` counts through the parts, and no segment leads from one part to the next.
+    Parts below two vertices are no lines and are left out. ``rejects`` has ``row_id, reason`` of
+    features without any line: ``no_shape`` (NULL or without parts), ``point`` (a single vertex) or
+    ``no_line``. Other columns of ``features`` are not kept, but for ``srid`` and marks on ``parts``.
+    """
+    srid = _one_srid(features)
+    parts = F.coalesce("parts", F.array().cast(features.schema["parts"].dataType))
+    kept = F.filter(F.transform(parts, g.make_line), lambda part: part.isNotNull())
+    reason = (
+        F.when(F.size(parts) == 0, "no_shape")
+        .when(F.size(kept) > 0, None)
+        .when(F.size(F.flatten(parts)) == 1, "point")
+        .otherwise("no_line")
+    )
+
+    def steps(part: Column) -> Column:
+        return F.transform(
+            part,
+            lambda v, i: F.struct(
+                v["x"].alias("x"),
+                v["y"].alias("y"),
+                F.get(part, i + 1)["x"].alias("next_x"),
+                F.get(part, i + 1)["y"].alias("next_y"),
+            ),
+        )
+
+    vertices = features.select(
+        "row_id", "direction", F.posexplode(F.flatten(F.transform(kept, steps))).alias("pos", "v")
+    ).select("row_id", "direction", F.col("pos").cast("long").alias("vertex_no"), "v.*")
+    rejects = features.select("row_id", reason.alias("reason")).filter("reason IS NOT NULL")
+    return (vertices if srid is None else marked(vertices, srid, "x", "y")), rejects
+
+
+def directions_seen(lines: DataFrame) -> DataFrame:
+    """``direction, rank, first_row``: the directions of a layer in the order of their first line."""
+    first = lines.groupBy("direction").agg(F.min("row_id").alias("first_row"))
+    return number_globally(first, ["first_row", "direction"], "rank")
 
 
 def line_endpoints(chords: DataFrame) -> DataFrame:
@@ -423,11 +555,16 @@ def volume_report(chords: DataFrame) -> DataFrame:
 def layer_union(layers: list[DataFrame], srids: list[int] | None = None) -> DataFrame:
     """All features of several layers by column name; missing columns become NULL.
 
-    ``srids`` are the reference systems of the layers; mixing systems is an error.
+    Layers in different reference systems are refused, as told by the marks of their columns
+    (``crs.marked``) and, for layers without, by ``srids``. The union carries the marks on.
     """
-    if srids is not None:
-        common_srid(set(srids))
+    known = [srid_of(layer) for layer in layers]
+    given = srids or [None] * len(layers)
+    found = {s for pair in zip(known, given, strict=True) for s in pair if s}
+    if found:
+        common_srid(found)
     union = layers[0]
     for layer in layers[1:]:
         union = union.unionByName(layer, allowMissingColumns=True)
-    return union
+    columns = {f.name for x in layers for f in x.schema.fields if SRID in f.metadata}
+    return marked(union, found.pop(), *sorted(columns)) if columns else union

@@ -126,6 +126,55 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def overlapping_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices ``row_id, direction, vertex_no, x, y, grp`` of lines that lie on each other in part.
+
+    Parts share forty carriers of four slopes, on which their lines begin at many places.
+    """
+    k = F.col("p_partkey").cast("long")
+    carrier, t = F.col("carrier"), F.col("t").cast("double")
+    far = (1000 * carrier).cast("double")
+    slope = carrier % 4
+    x = F.when(slope == 0, t).when(slope == 1, far).when(slope == 2, 2 * t).otherwise(-t)
+    y = F.when(slope == 0, far).when(slope == 1, t).otherwise(F.when(slope == 2, t).otherwise(3 * t) + far)
+    return (
+        table(spark, sf_dir, "part")
+        .select(
+            k.alias("row_id"),
+            (k % 40).alias("carrier"),
+            (k * 7 % 97 + 150 * _div(k, 1500)).alias("start"),
+            (3 + k % 11).alias("length"),
+        )
+        .withColumn("vertex_no", F.explode(F.array(*[F.lit(i).cast("long") for i in range(3)])))
+        .withColumn("t", F.col("start") + F.col("length") * F.col("vertex_no"))
+        .select(
+            "row_id",
+            F.when(carrier % 2 == 0, g.EAST_WEST).otherwise(g.NORTH_SOUTH).alias("direction"),
+            "vertex_no",
+            x.alias("x"),
+            y.alias("y"),
+            (carrier % 10).alias("grp"),
+        )
+    )
+
+
+def mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, parts`` per part: no shape, a point, a line, a line of two parts, and one with a loose vertex."""
+    part = table(spark, sf_dir, "part")
+    k = F.col("p_partkey").cast("long")
+
+    def at(dx: int, dy: int) -> Column:
+        return g.point(k + dx, F.col("p_size") + dy)
+
+    line, other = F.array(at(0, 0), at(3, 4)), F.array(at(10, 0), at(10, 5), at(16, 13))
+    shapes = [F.lit(None), F.array(F.array(at(0, 0))), F.array(line), F.array(line, other)]
+    shapes.append(F.array(F.array(at(0, 0)), other))
+    parts = F.when(k % 6 == 5, F.array(F.array(at(0, 0)), F.array(at(1, 1))))
+    for i, shape in enumerate(shapes):
+        parts = parts.when(k % 6 == i, shape)
+    return part.select(k.alias("id"), parts.alias("parts"))
+
+
 def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A concave L per nation: ``poly_id, rings``."""
     nation = table(spark, sf_dir, "nation")

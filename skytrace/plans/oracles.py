@@ -234,9 +234,12 @@ undirected AS (
 weighed AS (
   SELECT *, sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)) AS w FROM undirected),
 centred AS (
-  SELECT direction, grp, sum(w) / 1000 AS long_km,
-         sum(w * (ax + bx) / 2) / sum(w) AS cx, sum(w * (ay + by_) / 2) / sum(w) AS cy
-  FROM weighed GROUP BY 1, 2),
+  SELECT direction, grp, w / power(2, 60) / 1000 AS long_km, wx / w AS cx, wy / w AS cy
+  FROM (
+    SELECT direction, grp, CAST(sum(CAST(w * power(2, 60) AS HUGEINT)) AS DOUBLE) AS w,
+           CAST(sum(CAST(w * (ax + bx) / 2 * power(2, 60) AS HUGEINT)) AS DOUBLE) AS wx,
+           CAST(sum(CAST(w * (ay + by_) / 2 * power(2, 60) AS HUGEINT)) AS DOUBLE) AS wy
+    FROM weighed GROUP BY 1, 2)),
 members AS (
   SELECT g.direction, g.grp, v.row_id, v.vertex_no, v.x, v.y,
          CASE WHEN g.direction = 'E - W' THEN v.x ELSE v.y END AS along
@@ -252,7 +255,7 @@ merged AS (
   SELECT c.*, e.most_x, e.most_y, e.least_x, e.least_y,
     row_number() OVER (ORDER BY
       CASE c.direction WHEN 'N - S' THEN 0 WHEN 'E - W' THEN 1 ELSE 2 END,
-      round(CASE c.direction WHEN 'N - S' THEN cx WHEN 'E - W' THEN -cy ELSE cy END, 6), c.grp
+      CASE c.direction WHEN 'N - S' THEN cx WHEN 'E - W' THEN -cy ELSE cy END, c.grp
       ) AS id
   FROM centred c JOIN extremes e ON c.direction = e.direction AND c.grp = e.grp)"""
 
@@ -436,6 +439,54 @@ ORACLES["dissolved_segments"] = sql(
     recursive=True,
 )
 
+CTES["overlapping"] = """
+placed AS (
+  SELECT p_partkey % 40 AS c, (p_partkey * 7) % 97 + 150 * (p_partkey // 1500) AS start,
+         3 + p_partkey % 11 AS len
+  FROM part),
+steps AS (
+  SELECT c, start + len * i AS t1, start + len * (i + 1) AS t2
+  FROM placed, (SELECT unnest([0, 1]) AS i)),
+starts AS (SELECT c, t1, max(t2) AS t2 FROM steps GROUP BY 1, 2),
+marked AS (
+  SELECT *, CASE WHEN t1 < max(t2) OVER (PARTITION BY c ORDER BY t1
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens
+  FROM starts),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY c ORDER BY t1) AS piece FROM marked),
+covered AS (SELECT c, piece, min(t1) AS t1, max(t2) AS t2 FROM numbered GROUP BY 1, 2),
+ends AS (
+  SELECT c, piece, CAST(t AS DOUBLE) AS t,
+         CAST(CASE c % 4 WHEN 0 THEN t WHEN 1 THEN 1000 * c WHEN 2 THEN 2 * t ELSE -t END AS DOUBLE) AS x,
+         CAST(CASE c % 4 WHEN 0 THEN 1000 * c WHEN 1 THEN t WHEN 2 THEN t + 1000 * c
+              ELSE 3 * t + 1000 * c END AS DOUBLE) AS y
+  FROM (SELECT c, piece, unnest([t1, t2]) AS t FROM covered)),
+covered_segments AS (
+  SELECT CASE WHEN c % 2 = 0 THEN 'E - W' ELSE 'N - S' END AS direction, c % 10 AS grp, c, piece,
+         min(struct_pack(x, y)) AS a, max(struct_pack(x, y)) AS b
+  FROM ends GROUP BY c, piece)"""
+
+ORACLES["overlapping_segments"] = sql(
+    ["overlapping"],
+    """SELECT direction, grp, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS "by" FROM covered_segments""",
+)
+
+ORACLES["overlapping_lines"] = sql(
+    ["overlapping"],
+    """SELECT direction, grp, round(sum(w) / 1000, 9) AS long_km,
+         round(sum(w * (a.x + b.x) / 2) / sum(w), 6) AS cx,
+         round(sum(w * (a.y + b.y) / 2) / sum(w), 6) AS cy
+       FROM (SELECT *, sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) AS w
+             FROM covered_segments)
+       GROUP BY 1, 2""",
+)
+
+ORACLES["direction_order"] = sql(
+    ["line_layer"],
+    """SELECT direction, min(row_id) AS first_row,
+              row_number() OVER (ORDER BY min(row_id)) AS rank
+       FROM line_vertices GROUP BY direction""",
+)
+
 ORACLES["merged_lines"] = sql(
     [*LAYER, "groups", "all_kept", "merged"],
     """SELECT id, direction, grp, round(long_km, 9) AS long_km, round(cx, 6) AS cx,
@@ -521,6 +572,41 @@ FROM customer
 UNION ALL
 SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier"""
 
+ORACLES["reprojected_union"] = sql(
+    [*PRODUCTION, PROJECTED],
+    """SELECT CAST(layer AS INTEGER) AS layer, flight, id, seq, round(x, 3) AS east,
+              round(y, 3) AS north, 32614 AS srid
+       FROM projected, (SELECT unnest([0, 1]) AS layer)""",
+)
+
+ORACLES["polygon_wkt"] = """
+SELECT n_nationkey AS poly_id, 'POLYGON ((' || string_agg(
+         CAST(200 * (n_nationkey % 5) + cx[i] AS DOUBLE) || ' '
+           || CAST(200 * (n_nationkey // 5) + cy[i] AS DOUBLE), ', ' ORDER BY i) || '))' AS wkt
+FROM nation, (SELECT unnest(range(1, 8)) AS i, [0, 150, 150, 60, 60, 0, 0] AS cx,
+                     [0, 0, 60, 60, 150, 150, 0] AS cy)
+GROUP BY n_nationkey"""
+
+ORACLES["own_polygon"] = """
+SELECT s_suppkey AS id, s_nationkey AS poly_id,
+       s_suppkey % 151 < 60 AND s_suppkey * 7 % 151 < 150
+       OR s_suppkey % 151 < 150 AND s_suppkey * 7 % 151 < 60 AS inside
+FROM supplier"""
+
+ORACLES["named_files"] = """
+SELECT p_partkey AS id, '/survey/GNSS_' || p_partkey % 7 || '/GNSS_' || p_partkey || '.txt' AS path
+FROM part WHERE p_partkey % 12 = 0"""
+
+ORACLES["missing_inputs"] = "SELECT r_name, r_regionkey FROM region WHERE r_regionkey % 2 = 1"
+
+ORACLES["mixed_shapes"] = """
+SELECT p_partkey AS row_id,
+       CASE p_partkey % 6 WHEN 2 THEN 2 WHEN 3 THEN 5 WHEN 4 THEN 3 END AS vertices,
+       CAST(CASE p_partkey % 6 WHEN 2 THEN 5 WHEN 3 THEN 20 WHEN 4 THEN 15 END AS DOUBLE) AS length,
+       CASE p_partkey % 6 WHEN 0 THEN 'no_shape' WHEN 1 THEN 'point' WHEN 5 THEN 'no_line' END AS reason,
+       CASE WHEN p_partkey % 6 IN (2, 3, 4) THEN 32614 END AS srid
+FROM part"""
+
 ORACLES["ring_areas"] = sql(
     ["rings", "areas"],
     "SELECT *, area_m2 / 10000 AS area_ha, area_m2 / 1e6 AS area_km2 FROM areas",

@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skytrace.functions import geometry as g
-from skytrace.functions.crs import reproject_columns
-from skytrace.functions.text import with_suffix
+from skytrace.functions.crs import reproject_columns, srid_of
+from skytrace.functions.text import has_name, with_suffix
 from skytrace.operators import cloud, coverage, flights, lines, photos, reports
 from skytrace.operators.lineage import cut, ensure_checkpoint_dir
 from skytrace.operators.sequence import running_offsets
 from skytrace.plans import inputs
 from skytrace.sources import register, sinks
+from skytrace.sources.files import missing
+from skytrace.sources.shapefile import read_layers
 from skytrace.sources.text import numbered_lines, read_camera_logs, read_tracks
 
 UTM = 32614
@@ -157,6 +159,30 @@ def dissolved_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dissolved_segments(layer, cut(lines.proximity_groups(layer)))
 
 
+def _overlapping(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    layer = inputs.overlapping_lines(spark, sf_dir)
+    return layer.drop("grp"), layer.select("row_id", "direction", "grp").distinct()
+
+
+@query
+def overlapping_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that lie on each other in part: what they cover, once."""
+    return lines.dissolved_segments(*_overlapping(spark, sf_dir))
+
+
+@query
+def overlapping_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.merged_lines(*_overlapping(spark, sf_dir)).select(
+        "direction", "grp", _round("long_km", 9), _round("cx", 6), _round("cy", 6)
+    )
+
+
+@query
+def direction_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The directions of the layer in the order in which they are first met."""
+    return lines.directions_seen(inputs.lines(spark, sf_dir))
+
+
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     layer = inputs.lines(spark, sf_dir)
     return lines.merged_lines(layer, cut(lines.proximity_groups(layer)))
@@ -263,6 +289,30 @@ def layer_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.layer_union([customers, suppliers], srids=[UTM, UTM])
 
 
+@query
+def reprojected_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two layers that come to one reference system by different ways, which their marks tell."""
+    vertices = flights.production_vertices(inputs.track(spark, sf_dir)).select(
+        "flight", "id", "seq", "x", "y"
+    )
+    vertices = cut(vertices)
+    direct = reproject_columns(vertices, "", "EPSG: 32614", "x", "y", "east", "north")
+    mercator = reproject_columns(vertices, 4326, "3857", "x", "y", "mx", "my")
+    around = reproject_columns(mercator, "EPSG:3857", UTM, "mx", "my", "east", "north")
+    layers = [
+        layer.select(F.lit(i).alias("layer"), "flight", "id", "seq", "east", "north")
+        for i, layer in enumerate((direct, around))
+    ]
+    union = lines.layer_union(layers)
+    return union.withColumns(
+        {
+            "east": F.round("east", 3),
+            "north": F.round("north", 3),
+            "srid": F.lit(srid_of(union)),
+        }
+    )
+
+
 # Coverage, clouds, photos
 
 
@@ -276,6 +326,28 @@ def polygon_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cloud.polygon_areas(inputs.polygons(spark, sf_dir))
 
 
+@query
+def polygon_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.polygons(spark, sf_dir).select("poly_id", g.polygon_wkt(F.col("rings")).alias("wkt"))
+
+
+@query
+def own_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Does a supplier's place lie in the polygon of its nation?"""
+    key = F.col("s_suppkey")
+    nation = F.col("s_nationkey")
+    east, north = 200 * (nation % 5), 200 * F.call_function("div", nation, F.lit(5))
+    suppliers = inputs.table(spark, sf_dir, "supplier").select(
+        key.alias("id"),
+        nation.cast("long").alias("poly_id"),
+        (east + key % 151 + 0.5).alias("x"),
+        (north + key * 7 % 151 + 0.5).alias("y"),
+    )
+    return suppliers.join(inputs.polygons(spark, sf_dir), "poly_id").select(
+        "id", "poly_id", g.rings_contain(F.col("rings"), F.col("x"), F.col("y")).alias("inside")
+    )
+
+
 @query
 def crop_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cloud.crop_points(inputs.cloud(spark, sf_dir), inputs.polygons(spark, sf_dir))
@@ -398,6 +470,33 @@ def camera_log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return photos.renumber_photos(_in_parts(named, "file", "line_no"))
 
 
+@query
+def named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of files, as data, that begin and end like tracks do."""
+    key = F.col("p_partkey")
+    folder = F.concat(F.lit("/survey/GNSS_"), key % 7, F.lit("/"))
+    start = F.when(key % 3 == 0, "GNSS_").when(key % 3 == 1, "gnss_").otherwise("Camara_v")
+    end = F.when(key % 4 == 0, ".txt").when(key % 4 == 1, ".TXT").when(key % 4 == 2, ".txt.bak")
+    path = F.concat(folder, start, key, end.otherwise(""))
+    files = inputs.table(spark, sf_dir, "part").select(key.alias("id"), path.alias("path"))
+    return files.filter(has_name(F.col("path"), "GNSS_", ".txt"))
+
+
+@query
+def missing_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders of regions, of which every other one is there."""
+    path = _scratch(spark, "inputs")
+    regions = inputs.table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    there = regions.filter("r_regionkey % 2 = 0").select("r_regionkey", F.col("r_name").alias("value"))
+    there.write.partitionBy("r_regionkey").text(path)
+    return regions.select("r_name", "r_regionkey").join(
+        missing(spark, [f"{path}/r_regionkey={r['r_regionkey']}" for r in regions.collect()]).select(
+            F.regexp_extract("path", "r_regionkey=(.*)", 1).cast("int").alias("r_regionkey")
+        ),
+        "r_regionkey",
+    )
+
+
 # Sinks: written and read back
 
 
@@ -588,6 +687,28 @@ def las_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shapes of every kind in one layer, written and read back: lines, and why the rest are none."""
+    path = _scratch(spark, "mixed")
+    register(spark)
+    inputs.mixed_shapes(spark, sf_dir).write.format("shp").mode("append").options(
+        kind="line", srid=UTM
+    ).save(path)
+    layer = read_layers(spark, path).select(
+        F.col("id").alias("row_id"), F.lit(g.EAST_WEST).alias("direction"), "parts"
+    )
+    vertices, rejects = lines.feature_vertices(cut(layer))
+    steps = [F.col(c) for c in ("x", "y", "next_x", "next_y")]
+    measured = vertices.groupBy("row_id").agg(
+        F.count("*").alias("vertices"),
+        F.round(F.sum(g.distance(*steps)), 9).alias("length"),
+        F.lit(None).cast("string").alias("reason"),
+        F.lit(srid_of(vertices)).alias("srid"),
+    )
+    return measured.unionByName(rejects, allowMissingColumns=True)
+
+
 @query
 def line_shapefile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line layer written as shapefiles, twice with overwrite, in latin-1, and read back."""
@@ -603,7 +724,7 @@ def line_shapefile(spark: SparkSession, sf_dir: str) -> DataFrame:
         layer.write.format("shp").mode(mode).options(kind="line", srid=UTM, encoding="latin1").save(
             path
         )
-    read = spark.read.format("shp").load(path)
+    read = read_layers(spark, path)
     return read.select(
         F.col("ID").alias("id"),
         F.col("direccion").alias("direction"),

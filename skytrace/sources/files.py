@@ -6,6 +6,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 
 
 def qualified(path: str, default: str | None) -> str:
@@ -26,19 +27,56 @@ def locate(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), path
 
 
-def list_files(path: str, suffix: str) -> list[str]:
-    """A single file, or the files of a folder (not its subfolders) by suffix, in name order."""
+def list_sizes(path: str, suffixes: tuple[str, ...]) -> dict[str, int]:
+    """Sizes of a single file, or of a folder's files (not its subfolders') by suffix, in name order.
+
+    A folder is listed; none of its files is opened or looked at on its own.
+    """
     system, inner = locate(path)
     info = system.get_file_info(inner)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(path)
     if info.is_file:
-        return [path]
+        return {path: info.size}
     found = system.get_file_info(fs.FileSelector(inner))
     scheme = path[: len(path) - len(inner)] if "://" in path else ""
-    return sorted(
-        scheme + f.path for f in found if f.is_file and f.path.lower().endswith(suffix)
-    )
+    kept = [f for f in found if f.is_file and f.path.lower().endswith(suffixes)]
+    return {scheme + f.path: f.size for f in sorted(kept, key=lambda f: f.path)}
+
+
+def list_files(path: str, suffix: str) -> list[str]:
+    """A single file, or the files of a folder by suffix, in name order."""
+    return list(list_sizes(path, (suffix,)))
+
+
+def packed(sizes: dict[str, int], limit: int, opening: int) -> list[list[tuple[str, int, int]]]:
+    """Files as ranges ``(file, from, to)`` of at most ``limit``, small ones several to a partition.
+
+    Each range counts for ``opening`` besides its size, since opening a file takes time, too.
+    """
+    partitions: list[list[tuple[str, int, int]]] = []
+    room = 0
+    for file, size in sizes.items():
+        for start in range(0, size, limit):
+            end = min(start + limit, size)
+            if end - start + opening > room:
+                partitions.append([])
+                room = limit + opening
+            partitions[-1].append((file, start, end))
+            room -= end - start + opening
+    return partitions
+
+
+def missing(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path`` of the inputs, files or folders, that are not there; for checks before a run."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def there(path: str) -> bool:
+        own = hadoop(path)
+        return own.getFileSystem(configuration).exists(own)
+
+    return spark.createDataFrame([(p,) for p in paths if not there(p)], "path string")
 
 
 def read_range(path: str, start: int, length: int) -> bytes:

@@ -1,7 +1,8 @@
 """``las``: point clouds in the ASPRS LAS format (1.0 to 1.4, record formats 0 to 10).
 
-Records have a fixed width, so a file splits into ranges of records that tasks read on their own.
-Options of the reader: ``path`` (file or folder), ``records`` per partition.
+Records have a fixed width, so a file splits into ranges that tasks read on their own. Ranges are made
+from the sizes in the folder's listing; a file's header is read by the tasks that read the file.
+Options of the reader: ``path`` (file or folder), ``records`` per partition at most.
 Options of the writer: ``path`` (folder), ``scale`` of the stored coordinates, ``offset_x/y/z``.
 
 The scan angle is in degrees in all formats. ``class_flags`` are bits: 1 synthetic, 2 key point,
@@ -26,15 +27,18 @@ from pyspark.sql.types import StructType
 
 from skytrace.sources.files import (
     StagedFolder,
-    concurrently,
     file_size,
-    list_files,
+    list_sizes,
+    packed,
     qualified,
     read_range,
     write_file,
 )
 
 RECORDS = 1 << 20
+#: Bytes of the shortest record, and what opening a file counts for when small files share a task.
+SHORTEST = 20
+OPENING = 1 << 16
 FILE_POINTS = 1 << 22
 BATCH = 1 << 16
 
@@ -91,7 +95,8 @@ class Header:
 
 
 def read_header(path: str) -> Header:
-    raw = read_range(path, 0, min(375, file_size(path)))
+    size = file_size(path)
+    raw = read_range(path, 0, min(375, size))
     if raw[:4] != b"LASF":
         raise ValueError(f"{path} is not a LAS file")
     version = (raw[24], raw[25])
@@ -102,15 +107,16 @@ def read_header(path: str) -> Header:
         (count,) = struct.unpack_from("<Q", raw, 247)
     if kind not in FORMATS:
         raise ValueError(f"{path}: point format {kind} is compressed or unknown")
+    if size < offset + count * width:
+        raise ValueError(f"{path} ends before its {count} records do")
     return Header(version, offset, kind, width, count, numbers[:3], numbers[3:])
 
 
 @dataclass
-class RecordRange(InputPartition):
-    file: str
-    header: Header
-    first: int
-    last: int
+class ByteRanges(InputPartition):
+    """Parts of files; a record belongs to the range that its first byte lies in."""
+
+    ranges: list[tuple[str, int, int]]
 
 
 class LasReader(DataSourceReader):
@@ -118,33 +124,31 @@ class LasReader(DataSourceReader):
         self.path = options["path"]
         self.records = int(options.get("records", RECORDS))
 
-    def partitions(self) -> list[RecordRange]:
-        ranges = []
-        files = list_files(self.path, ".las")
-        for file, header in zip(files, concurrently(read_header, files), strict=True):
-            for first in range(0, header.count, self.records):
-                last = min(first + self.records, header.count)
-                ranges.append(RecordRange(file, header, first, last))
-        return ranges or [None]
+    def partitions(self) -> list[ByteRanges]:
+        limit = self.records * SHORTEST
+        sizes = list_sizes(self.path, (".las",))
+        return [ByteRanges(own) for own in packed(sizes, limit, min(OPENING, limit))] or [ByteRanges([])]
 
-    def read(self, partition: RecordRange | None):
-        if partition is None:
-            return
-        for first in range(partition.first, partition.last, BATCH):
-            yield _batch(partition, first, min(first + BATCH, partition.last))
+    def read(self, partition: ByteRanges):
+        for file, start, end in partition.ranges:
+            header = read_header(file)
+            first, last = (
+                min(max(-((header.offset - at) // header.width), 0), header.count) for at in (start, end)
+            )
+            for at in range(first, last, BATCH):
+                yield _batch(file, header, at, min(at + BATCH, last))
 
 
-def _batch(part: RecordRange, first: int, last: int) -> pa.RecordBatch:
-    header = part.header
+def _batch(file: str, header: Header, first: int, last: int) -> pa.RecordBatch:
     fields = FORMATS[header.format]
     width = np.dtype(fields).itemsize
     layout = np.dtype([*fields, ("extra", f"V{header.width - width}")])
-    raw = read_range(part.file, header.offset + first * header.width, (last - first) * header.width)
+    raw = read_range(file, header.offset + first * header.width, (last - first) * header.width)
     points = np.frombuffer(raw, layout)
     modern = header.format >= 6
     bits, classes = points["bits"], points["classification"]
     values = {
-        "file": pa.array([part.file] * len(points)),
+        "file": pa.array([file] * len(points)),
         "point_no": np.arange(first, last),
         **{
             name: points[name.upper()] * header.scale[i] + header.shift[i]

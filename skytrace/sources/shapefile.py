@@ -5,7 +5,9 @@ a point, one part per piece of a line, one ring per part of a polygon. ``file``,
 ``srid`` (0 when the .prj is missing or unknown) are added on reading.
 
 Reader options: ``path`` (file or folder), ``encoding`` of the attributes, ``records`` per
-partition. The .shx index lets tasks read ranges of records on their own.
+partition at most. The .shx index lets tasks read ranges of records on their own; ranges are made from
+its size in the folder's listing. Without a schema the driver reads the attributes of all tables;
+``read_layers`` has tasks do that.
 Writer options: ``path`` (folder), ``kind`` (point, line or polygon), ``srid``, ``encoding``.
 """
 
@@ -17,6 +19,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
@@ -26,19 +30,23 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from skytrace.functions.crs import GEOGRAPHIC, WEB_MERCATOR, utm_zone
+from skytrace.functions.crs import GEOGRAPHIC, WEB_MERCATOR, marked, utm_zone
+from skytrace.sources import register
 from skytrace.sources.files import (
     StagedFolder,
     concurrently,
     exists,
-    file_size,
     list_files,
+    list_sizes,
+    packed,
     qualified,
     read_range,
     write_file,
 )
 
 RECORDS = 1 << 16
+#: What opening a file counts for, in bytes of its index, when small files share a task.
+OPENING = 1 << 12
 BATCH = 1 << 12
 TEXT_WIDTH = 254
 FILE_BYTES = 1 << 28
@@ -142,10 +150,10 @@ def projection_text(srid: int) -> str | None:
 
 
 @dataclass
-class RecordRange(InputPartition):
-    file: str
-    first: int
-    last: int
+class RecordRanges(InputPartition):
+    """Records of files, as ranges of bytes in their index (8 bytes each after the header)."""
+
+    ranges: list[tuple[str, int, int]]
 
 
 class ShapefileReader(DataSourceReader):
@@ -155,32 +163,35 @@ class ShapefileReader(DataSourceReader):
         self.encoding = options.get("encoding")
         self.fields = [f for f in schema.fields if f.name not in {a.name for a in ADDED}]
 
-    def partitions(self) -> list[RecordRange]:
-        ranges = []
-        files = list_files(self.path, ".shp")
-        sizes = concurrently(lambda file: file_size(_sibling(file, ".shx")), files)
-        for file, size in zip(files, sizes, strict=True):
-            count = (size - 100) // 8
-            for first in range(0, count, self.records):
-                ranges.append(RecordRange(file, first, min(first + self.records, count)))
-        return ranges or [None]
-
-    def read(self, partition: RecordRange | None):
-        if partition is None:
-            return
-        file = partition.file
+    def partitions(self) -> list[RecordRanges]:
+        if self.path.lower().endswith(".shp"):
+            index = _sibling(self.path, ".shx")
+            sizes = {self.path: list_sizes(index, (".shx",))[index]}
+        else:
+            listed = list_sizes(self.path, (".shp", ".shx"))
+            by_name = {name.lower(): size for name, size in listed.items()}
+            sizes = {f: by_name[f.lower()[:-4] + ".shx"] for f in listed if f.lower().endswith(".shp")}
+        sizes = {file: size - 100 for file, size in sizes.items()}
+        limit = 8 * self.records
+        return [RecordRanges(own) for own in packed(sizes, limit, min(OPENING, limit))] or [RecordRanges([])]
+
+    def read(self, partition: RecordRanges):
+        for file, start, end in partition.ranges:
+            yield from self._records(file, start // 8, end // 8)
+
+    def _records(self, file: str, start: int, end: int):
         encoding = _encoding(file, self.encoding)
         table = read_table_layout(_sibling(file, ".dbf"), encoding)
         srid = _srid(file)
-        for first in range(partition.first, partition.last, BATCH):
-            last = min(first + BATCH, partition.last)
+        for first in range(start, end, BATCH):
+            last = min(first + BATCH, end)
             index = np.frombuffer(
                 read_range(_sibling(file, ".shx"), 100 + 8 * first, 8 * (last - first)), ">i4"
             ).reshape(-1, 2).astype(np.int64) * 2
-            start = int(index[0, 0])
-            end = int((index[:, 0] + index[:, 1]).max()) + 8
-            raw = read_range(file, start, end - start)
-            parts = _shapes(raw, index[:, 0] - start + 8)
+            low = int(index[0, 0])
+            high = int((index[:, 0] + index[:, 1]).max()) + 8
+            raw = read_range(file, low, high - low)
+            parts = _shapes(raw, index[:, 0] - low + 8)
             kept, columns = _attributes(file, table, first, last, encoding)
             n = last - first
             arrays = []
@@ -284,6 +295,7 @@ class _OpenFile:
         self.shapes: list[bytes] = []
         self.index: list[bytes] = []
         self.rows: list[bytes] = []
+        self.count = 0
         self.size = 100
         self.low, self.high = np.full(2, np.inf), np.full(2, -np.inf)
 
@@ -319,65 +331,120 @@ class ShapefileWriter(DataSourceArrowWriter):
             return "L", 1, 0
         return "C", TEXT_WIDTH, 0
 
-    def _cell(self, value, letter: str, width: int) -> bytes:
-        if value is None:
-            return b" " * width
+    def _cells(self, values: pa.Array, letter: str, width: int) -> np.ndarray:
+        """A column's cells of fixed width, one row of bytes each; NULL is blank."""
+        missing = np.asarray(values.is_null())
         if letter == "C":
-            text = str(value).encode(self.encoding).ljust(width)
+            cells = [str(v).encode(self.encoding) for v in values.fill_null("").to_pylist()]
         elif letter == "L":
-            text = b"T" if value else b"F"
-        elif letter == "N":
-            text = str(value).encode().rjust(width)
+            cells = np.where(np.asarray(values.fill_null(False)), b"T", b"F")
         else:
-            text = repr(float(value)).encode().rjust(width)
-        if len(text) > width:
-            raise ValueError(f"{value!r} does not fit a field of {width} bytes")
-        return text
-
-    def _record(self, parts: list) -> tuple[bytes, np.ndarray]:
-        flat = [(v["x"], v["y"]) for part in parts for v in part]
-        vertices = np.array(flat, "<f8").reshape(-1, 2)
-        if self.kind == KINDS["point"]:
-            return struct.pack("<i", self.kind) + vertices[:1].tobytes(), vertices
-        starts = np.cumsum([0] + [len(p) for p in parts[:-1]]).astype("<i4")
-        box = (*vertices.min(axis=0), *vertices.max(axis=0))
-        head = struct.pack("<i4d2i", self.kind, *box, len(parts), len(vertices))
-        return head + starts.tobytes() + vertices.tobytes(), vertices
+            whole = letter == "N"
+            kind = pa.int64() if whole else pa.float64()
+            cells = np.asarray(values.cast(kind).fill_null(0 if whole else 0.0)).astype("S32")
+            cells = np.char.rjust(cells, width)
+        cells = np.asarray(cells, np.bytes_)
+        if len(cells) and np.char.str_len(cells).max() > width:
+            longest = values[int(np.char.str_len(cells).argmax())].as_py()
+            raise ValueError(f"{longest!r} does not fit a field of {width} bytes")
+        out = np.char.ljust(cells, width).astype(f"S{width}")
+        out[missing] = b" " * width
+        return out.view(np.uint8).reshape(len(out), width)
 
     def write(self, iterator) -> WrittenFiles:
         files: list[str] = []
         out = _OpenFile()
         for batch in iterator:
-            for row in batch.to_pylist():
-                self._add(out, row)
+            sizes = np.cumsum(self._sizes(batch.column("parts")))
+            start = 0
+            while start < len(batch):  # a slice at a time, so that a file is closed in time
+                before = int(sizes[start - 1]) if start else 0
+                room = before + max(FILE_BYTES - out.size, 1)
+                end = max(int(np.searchsorted(sizes, room, "left")) + 1, start + 1)
+                end = min(end, len(batch))
+                self._add(out, batch.slice(start, end - start))
+                start = end
                 if out.size >= FILE_BYTES:
                     files += self._finish(out)
                     out = _OpenFile()
-        if out.rows:
+        if out.count:
             files += self._finish(out)
         return WrittenFiles(files)
 
-    def _add(self, out: _OpenFile, row: dict) -> None:
-        body = struct.pack("<i", 0)
-        if row["parts"]:
-            body, vertices = self._record(row["parts"])
-            out.low = np.minimum(out.low, vertices.min(axis=0))
-            out.high = np.maximum(out.high, vertices.max(axis=0))
-        if len(body) > RECORD_LIMIT:
+    def _sizes(self, parts: pa.Array) -> np.ndarray:
+        """Bytes of the records, their own headers included."""
+        counts = np.asarray(parts.value_lengths().fill_null(0), np.int64)
+        vertices = np.append(0, np.cumsum(np.asarray(parts.flatten().value_lengths().fill_null(0), np.int64)))
+        ends = np.cumsum(counts)
+        points = vertices[ends] - vertices[ends - counts]
+        if self.kind == KINDS["point"]:
+            return np.where(points > 0, 28, 12)
+        body = np.where(counts > 0, 44 + 4 * counts + 16 * points, 4)
+        if len(body) and body.max() > RECORD_LIMIT:
             raise ValueError("a feature is too large for a shapefile record")
-        out.index.append(struct.pack(">2i", out.size // 2, len(body) // 2))
-        out.shapes.append(struct.pack(">2i", len(out.shapes) + 1, len(body) // 2) + body)
-        out.size += len(body) + 8
-        cells = (self._cell(row[n], letter, w) for n, letter, w, _ in self.fields)
-        out.rows.append(b" " + b"".join(cells))
+        return body + 8
+
+    def _add(self, out: _OpenFile, batch: pa.RecordBatch) -> None:
+        """Append the records of a batch, put together as columns of 32-bit words."""
+        parts = batch.column("parts")
+        words = self._sizes(parts) // 4
+        at = np.cumsum(words) - words
+        raw = np.zeros(int(words.sum()), "<u4")
+
+        def put(place: np.ndarray, values: np.ndarray, kind: str) -> None:
+            raw[place] = np.ascontiguousarray(values.astype(kind)).view("<u4")
+
+        def put_doubles(place: np.ndarray, values: np.ndarray) -> None:
+            """Rows of doubles from ``place`` on; a double takes two words."""
+            own = np.ascontiguousarray(values, "<f8").view("<u4").reshape(len(values), -1)
+            raw[place[:, None] + np.arange(own.shape[1])] = own
+
+        put(at, np.arange(out.count + 1, out.count + 1 + len(batch)), ">i4")
+        put(at + 1, words * 2 - 4, ">i4")
+        counts = np.asarray(parts.value_lengths().fill_null(0), np.int64)
+        rings = parts.flatten()
+        ring_sizes = np.asarray(rings.value_lengths().fill_null(0), np.int64)
+        flat = rings.flatten()
+        xy = np.stack([np.asarray(c, np.float64) for c in flat.flatten()], 1)
+        ring_ends = np.cumsum(counts)
+        vertex = np.append(0, np.cumsum(ring_sizes))
+        first, points = vertex[ring_ends - counts], vertex[ring_ends] - vertex[ring_ends - counts]
+        full = np.flatnonzero(points > 0 if self.kind == KINDS["point"] else counts > 0)
+        put(at[full] + 2, np.full(len(full), self.kind), "<i4")
+        if self.kind == KINDS["point"]:
+            xy = xy[first[full]]
+            put_doubles(at[full] + 3, xy)
+        elif len(full):
+            if not points[full].all():
+                raise ValueError("a feature has parts but no vertex")
+            low, high = (f.reduceat(xy, first[full]) for f in (np.minimum, np.maximum))
+            put_doubles(at[full] + 3, np.hstack([low, high]))
+            put(at[full] + 11, counts[full], "<i4")
+            put(at[full] + 12, points[full], "<i4")
+            owner = np.repeat(np.arange(len(batch)), counts)
+            begin = ring_ends - counts
+            put(at[owner] + 13 + np.arange(len(owner)) - begin[owner], vertex[:-1] - first[owner], "<i4")
+            owner = np.repeat(np.arange(len(batch)), points)
+            place = at[owner] + 13 + counts[owner] + 4 * (np.arange(len(owner)) - first[owner])
+            put_doubles(place, xy)
+        if len(xy):
+            out.low, out.high = np.minimum(out.low, xy.min(0)), np.maximum(out.high, xy.max(0))
+        index = np.stack([out.size // 2 + at * 2, words * 2 - 4], 1)
+        out.index.append(index.astype(">i4").tobytes())
+        out.shapes.append(raw.tobytes())
+        out.size += 4 * len(raw)
+        out.count += len(batch)
+        columns = [np.full((len(batch), 1), ord(" "), np.uint8)]
+        columns += [self._cells(batch.column(n), letter, w) for n, letter, w, _ in self.fields]
+        out.rows.append(np.hstack(columns).tobytes())
 
     def _finish(self, out: _OpenFile) -> list[str]:
         stem = self.out.new_stem()
         box = (*out.low, *out.high) if np.isfinite(out.low).all() else (0.0,) * 4
         outputs = {
             ".shp": [self._main_header(out.size, box), *out.shapes],
-            ".shx": [self._main_header(100 + 8 * len(out.index), box), *out.index],
-            ".dbf": [self._table_header(len(out.rows)), *out.rows, b"\x1a"],
+            ".shx": [self._main_header(100 + 8 * out.count, box), *out.index],
+            ".dbf": [self._table_header(out.count), *out.rows, b"\x1a"],
             ".cpg": [self.encoding.encode("ascii")],
         }
         projection = projection_text(self.srid)
@@ -439,3 +506,57 @@ class ShapefileDataSource(DataSource):
 
     def writer(self, schema: T.StructType, overwrite: bool) -> ShapefileWriter:
         return ShapefileWriter(self._options(), schema, overwrite)
+
+
+_FIELDS = "file string, place int, name string, letter string, width int, decimals int, srid int"
+
+
+def _layouts(encoding: str | None):
+    """mapInArrow function from file names to the attributes of their tables."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for file in batch.column(0).to_pylist():
+                srid = _srid(file)
+                table = read_table_layout(_sibling(file, ".dbf"), _encoding(file, encoding))
+                rows += [(file, i, *field, srid) for i, field in enumerate(table.fields)]
+                rows.append((file, -1, None, None, None, None, srid))
+            columns = zip(*rows, strict=True) if rows else [[]] * 7
+            kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), *[pa.int32()] * 3]
+            names = [x.split()[0] for x in _FIELDS.split(", ")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
+            )
+
+    return run
+
+
+def read_layers(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The layers at ``path`` by name of attribute, as the ``shp`` format reads them.
+
+    Tasks read the tables' headers and projections; the driver gets a row for each name and for each
+    reference system. Where all layers share a known one, ``parts`` is marked with it
+    (``crs.srid_of``); where they don't, every row still tells its own in ``srid``.
+    """
+    register(spark)
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    files = list_files(qualified(path, default), ".shp")
+    if not files:
+        return spark.createDataFrame([], T.StructType(ADDED))
+    names = spark.createDataFrame([(f,) for f in files], "file string")
+    tasks = max(1, min(len(files) // 16, 10_000))
+    found = names.repartition(tasks, "file").mapInArrow(_layouts(options.get("encoding")), _FIELDS)
+    first = F.struct("file", "place", "letter", "width", "decimals")
+    rows = (  # two rows a name or reference system that occurs
+        found.groupBy("name", F.when(F.col("name").isNull(), F.col("srid")).alias("srid"))
+        .agg(F.min(first).alias("first"))
+        .collect()
+    )
+    fields = sorted((r for r in rows if r["name"] is not None), key=lambda r: r["first"][:2])
+    schema = T.StructType(
+        [T.StructField(r["name"], _spark_type(*r["first"][2:])) for r in fields] + ADDED
+    )
+    layers = spark.read.format("shp").schema(schema).options(**options).load(path)
+    srids = {r["srid"] for r in rows if r["name"] is None}
+    return marked(layers, srids.pop(), "parts") if len(srids) == 1 and 0 not in srids else layers

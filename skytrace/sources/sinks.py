@@ -15,11 +15,14 @@ def write_layer(df: DataFrame, path: str, by: str | None = None) -> None:
     """One Parquet layer, in a folder per value of ``by`` (a flight, say) when given.
 
     Flights are told apart by their full path, so files of equal name do not overwrite each other.
+    Rows are dealt out by ``by`` first, and large values over several tasks, by their size; so a small
+    flight is one file and a large one has as many as its size asks for
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), however many tasks there are.
     """
-    writer = df.write.mode("overwrite")
     if by:
-        writer = writer.partitionBy(by)
-    writer.parquet(path)
+        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def write_text(rows: DataFrame, path: str, append: bool = False) -> None:

@@ -110,3 +110,26 @@ def test_areas(spark):
     polygons = {1: [[(0, 0), (100, 0), (100, 200), (0, 200)]]}
     row = cloud.polygon_areas(polygon_frame(spark, polygons)).first()
     assert (row.area_m2, row.area_ha, row.area_km2) == (20000.0, 2.0, 0.02)
+
+
+def test_large_polygons_take_few_squares(spark, monkeypatch):
+    """A thousand polygons over the whole extent: rows in proportion to their edges."""
+    rng = random.Random(5)
+    polygons = {
+        i: [[(rng.uniform(0, 9), 0), (1000, rng.uniform(0, 9)), (1000 - rng.uniform(0, 9), 1000), (0, 990)]]
+        for i in range(1000)
+    }
+    edges = cloud.ring_edges(polygon_frame(spark, polygons))
+    extent = cloud._extent(edges)
+    bands, columns = cloud._first_grid(extent)
+    assert bands * columns * 1000 <= 40 * extent["edges"]
+    tiles = {"edges": 4_000_000, "polygons": 10**6, "area": 1.0, **dict(x_min=0, x_max=1, y_min=0, y_max=1)}
+    assert cloud._first_grid(tiles) == (1 << 14, 1024)
+    rows = []
+    whole = cloud._level_squares
+    monkeypatch.setattr(
+        cloud, "_level_squares", lambda *a: rows.append((r := whole(*a))[0].count() + r[1].count()) or r
+    )
+    places = [(rng.uniform(-5, 1005), rng.uniform(-5, 1005)) for _ in range(300)]
+    check(spark, polygons, places)
+    assert sum(rows) < 40 * extent["edges"]

@@ -12,7 +12,7 @@ def test_area_of_a_rectangle(spark):
     assert got == {1: (5000.0, 0.5, 0.005), 2: (None, None, None)}
 
 
-def test_boxes_of_every_size(spark):
+def test_boxes_of_every_size(spark, monkeypatch):
     rng = random.Random(6)
     points = [(i, rng.randrange(-50, 50) / 2, rng.randrange(-50, 50) / 2) for i in range(2000)]
     boxes = []
@@ -32,8 +32,14 @@ def test_boxes_of_every_size(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan
     assert "BroadcastHashJoin" in plan
-    logical = kept._jdf.queryExecution().optimizedPlan().toString()
-    assert logical.count("Join LeftSemi") == 1  # boxes of all sizes together
+    assert plan.count("Exchange") == plan.count("BroadcastExchange")  # points stay where they are
+    for limit in ("BROADCAST_BYTES", "FEW_SIZES"):
+        monkeypatch.setattr(coverage, limit, -1)
+        together = coverage.exclude_boxes(df, frame)
+        assert {r.point_id for r in together.collect()} == want
+        logical = together._jdf.queryExecution().optimizedPlan().toString()
+        assert logical.count("Join LeftSemi") == 1  # boxes of all sizes together
+        monkeypatch.undo()
     literal = df.filter(~coverage.in_any_box(df.x, df.y, boxes))
     assert {r.point_id for r in literal.collect()} == want
 

@@ -240,3 +240,81 @@ def test_paths_without_a_scheme_are_those_of_spark():
     assert qualified("/a/b", "hdfs://h:1") == "hdfs://h:1/a/b"
     assert qualified("/a/b", "file:///") == "/a/b"
     assert qualified("s3a://b/c", "hdfs://h:1") == "s3a://b/c"
+
+
+def test_ten_thousand_files_are_planned_from_the_listing(monkeypatch):
+    sizes = {f"/c/{i:05}.las": 227 + 34 * (i % 7) for i in range(10_000)} | {"/c/large.las": 1 << 28}
+
+    def opened(*_):
+        raise AssertionError("a file was opened")
+
+    for name in ("read_header", "read_range", "file_size"):
+        monkeypatch.setattr(las, name, opened)
+    monkeypatch.setattr(las, "list_sizes", lambda path, suffixes: sizes)
+    parts = las.LasReader({"path": "/c"}).partitions()
+    held = [r for p in parts for r in p.ranges]
+    assert len(parts) < 200 and len(held) == 10_000 + -(-(1 << 28) // (las.RECORDS * 20))
+    assert sorted({f for f, _, _ in held}) == sorted(sizes)
+    assert max(sum(b - a for _, a, b in p.ranges) for p in parts) <= las.RECORDS * 20
+
+    monkeypatch.setattr(shapefile, "read_range", opened)
+    index = {f"/s/{i:05}{e}": 100 + 8 * (i % 5) for i in range(10_000) for e in (".shp", ".shx")}
+    monkeypatch.setattr(shapefile, "list_sizes", lambda path, suffixes: index)
+    fields = T.StructType(shapefile.ADDED)
+    parts = shapefile.ShapefileReader({"path": "/s"}, fields).partitions()
+    held = [r for p in parts for r in p.ranges]
+    assert len(held) == 8_000 and sum(b - a for _, a, b in held) == 8 * 20_000
+
+
+def test_small_and_cut_las_files(spark, tmp_path):
+    path = str(tmp_path / "many")
+    cloud = spark.range(300, numPartitions=30).selectExpr("id * 1.0D AS x", "0.0D AS y", "0.0D AS z")
+    cloud.write.format("las").mode("append").save(path)
+    read = spark.read.format("las").load(path)
+    assert read.rdd.getNumPartitions() == 1  # thirty small files share a task
+    assert sorted(r.x for r in read.select("x").collect()) == [float(i) for i in range(300)]
+    for records in (1, 3, 7):
+        some = spark.read.format("las").option("records", records).load(path)
+        assert sorted(r.x for r in some.select("x").collect()) == [float(i) for i in range(300)]
+    file = list_files(path, ".las")[0]
+    with open(file, "r+b") as f:
+        f.truncate(240)
+    with pytest.raises(Exception, match="ends before"):
+        spark.read.format("las").load(path).count()
+
+
+def test_layers_are_described_by_tasks(spark, tmp_path, monkeypatch):
+    from skytrace.functions.crs import srid_of
+
+    path = str(tmp_path / "layers")
+    line = "array(array(named_struct('x', 0.0D, 'y', id * 1.0D), named_struct('x', 2.0D, 'y', 0.0D)))"
+    for i, srid in enumerate((32614, 32614)):
+        layer = spark.range(5).selectExpr(f"id AS n{i}", "'dirección' AS name", f"{line} AS parts")
+        layer.write.format("shp").mode("append").options(kind="line", srid=srid).save(path)
+    read = shapefile.read_layers(spark, path)
+    assert {"n0", "n1", "name"} < set(read.columns) and srid_of(read) == 32614
+    assert read.filter("n0 IS NOT NULL").count() == read.filter("n1 IS NOT NULL").count() == 5
+    assert {r.name for r in read.collect()} == {"dirección"}
+    layer.write.format("shp").mode("append").options(kind="line", srid=3857).save(path)
+    mixed = shapefile.read_layers(spark, path)
+    assert srid_of(mixed) is None and {r.srid for r in mixed.collect()} == {32614, 3857}
+    (tmp_path / "none").mkdir()
+    assert shapefile.read_layers(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_written_records_of_every_shape(spark, tmp_path):
+    kind = f"id long, ok boolean, v double, name string, parts {PARTS}"
+    line, other = [(0.0, 0.0), (3.0, -4.0)], [(9.5, 9.0), (9.0, 8.0), (7.0, 1e9)]
+    rows = [
+        (1, True, 0.1, "a", [line]),
+        (None, None, None, None, None),
+        (-5, False, -1e300, "é" * 127, [line, other]),
+        (7, True, 5e-324, " b", [other[:1]]),
+        (8, False, 0.0, "", []),
+    ]
+    path = str(tmp_path / "s")
+    spark.createDataFrame(rows, kind).coalesce(1).write.format("shp").mode("append").save(path)
+    read = spark.read.format("shp").load(path).orderBy("record_no").collect()
+    got = [(r.id, r.ok, r.v, r.name, r.parts and [[tuple(v) for v in p] for p in r.parts]) for r in read]
+    rows[4] = (8, False, 0.0, None, None)  # blank text and shapes without parts are NULL
+    assert got == rows

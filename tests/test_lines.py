@@ -131,6 +131,96 @@ def test_crowded_cell_links_are_exact(spark, monkeypatch):
     assert got == want
 
 
+def test_long_segments_take_few_rows(spark):
+    """A segment of a million tolerances, beside short ones all along it."""
+    rng = random.Random(12)
+    shapes = {0: ("E - W", [(-5e6, -1e6), (5e6, 2e6)])}
+    for i in range(1, 150):
+        x = rng.uniform(-5e6, 5e6)
+        y = -1e6 + 3e6 * (x + 5e6) / 1e7 + rng.uniform(-16, 16)
+        shapes[i] = ("E - W", [(x, y), (x + rng.choice([1, 40, 3000]), y + 60)])
+    shapes[200] = ("E - W", [(-4e6, 1e6), (4e6, 1e6 + 5)])
+    shapes[201] = ("E - W", [(0, 1e6 - 4), (0, 2e6)])
+    df = layer(spark, shapes)
+    pieces = lines._segment_pieces(df, 20.0).groupBy("row_id").count().collect()
+    assert max(r["count"] for r in pieces) < 100
+    got = {(r.cx, r.cy, r.row_id) for r in lines.cell_links(df).collect()}
+    want = set()
+    for d, a in shapes.values():
+        for x, y in (a[0], a[-1]):
+            cell = (math.floor(x / 7), math.floor(y / 7))
+            want |= {(*cell, j) for j, (e, b) in shapes.items() if e == d and near((x, y), b, 10)}
+    assert got == want
+    assert len({r[2] for r in got if r[2] in (0, 200)}) == 2
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    from fractions import Fraction
+
+    from skytrace.functions.exact import ExactSum
+
+    rng = random.Random(3)
+    groups = {
+        0: [rng.uniform(-1, 1) * 10.0 ** rng.randrange(-12, 13) for _ in range(3000)],
+        1: [1e16, 1.0, -1e16, 3e-9],
+        2: [-0.1] * 10,
+        3: [1e-300, 5.0],
+        4: [0.0],
+        5: [float("inf"), 1.0],
+        6: [None],
+        7: [2.0**98, -(2.0**98), 2.0**-100],
+    }
+    rows = [(k, v) for k, own in groups.items() for v in own]
+    total = ExactSum("v", F.col("v"))
+    seen = []
+    for parts in (1, 7):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "k int, v double").repartition(parts)
+        sums = df.groupBy("k").agg(*total.aggregates()).select("k", total.total().alias("s"))
+        seen.append({r.k: r.s for r in sums.collect()})
+    assert seen[0] == seen[1]
+    for k, own in groups.items():
+        if k in (5, 6):
+            assert seen[0][k] == {5: float("inf"), 6: None}[k]
+            continue
+        exact = float(sum(map(Fraction, own)))
+        assert seen[0][k] == pytest.approx(exact, rel=3e-16, abs=1e-30)
+
+
+def test_layers_of_different_systems_are_refused(spark):
+    from skytrace.functions.crs import marked, srid_of
+
+    one = layer(spark, {1: ("E - W", [(0, 0), (50, 0)])})
+    other = layer(spark, {2: ("E - W", [(55, 0), (90, 0)])})
+    utm, mercator = marked(one, 32614, "x", "y"), marked(other, 3857, "x", "y")
+    with pytest.raises(ValueError, match="reference system"):
+        lines.merge_lines([utm, mercator])
+    with pytest.raises(ValueError, match="reference system"):
+        lines.layer_union([utm, other], srids=[None, 3857])
+    both = one.withColumn("srid", F.lit(32614)).unionByName(other.withColumn("srid", F.lit(3857)))
+    with pytest.raises(ValueError, match="reference system"):
+        lines.merge_lines(both)
+    assert srid_of(lines.layer_union([utm, other])) == 32614
+    chords = lines.merge_lines([utm, marked(other, "EPSG:32614", "x", "y")])
+    assert srid_of(chords) == 32614 and chords.count() == 1
+
+
+def test_features_of_every_kind(spark):
+    line, other = [(0.0, 0.0), (3.0, 4.0)], [(9.0, 9.0), (9.0, 8.0), (7.0, 8.0)]
+    parts = {1: None, 2: [], 3: [line[:1]], 4: [line], 5: [line, other], 6: [line[:1], other], 7: [[], []]}
+    rows = [(i, "E - W", p) for i, p in parts.items()] + [(8, "E - W", [line[:1], line[1:]])]
+    kind = "row_id long, direction string, parts array<array<struct<x: double, y: double>>>"
+    vertices, rejects = lines.feature_vertices(spark.createDataFrame(rows, kind))
+    got = {(r.row_id, r.vertex_no): (r.x, r.next_x) for r in vertices.collect()}
+    assert got == {
+        (4, 0): (0, 3), (4, 1): (3, None),
+        (5, 0): (0, 3), (5, 1): (3, None), (5, 2): (9, 9), (5, 3): (9, 7), (5, 4): (7, None),
+        (6, 0): (9, 9), (6, 1): (9, 7), (6, 2): (7, None),
+    }
+    reasons = {r.row_id: r.reason for r in rejects.collect()}
+    assert reasons == {1: "no_shape", 2: "no_shape", 3: "point", 7: "no_line", 8: "no_line"}
+
+
 def test_later_seed_takes_over(spark):
     """2 -> 1 and 3 -> 1 without ways back: 1 ends up with 3, and 2 alone."""
     target = [(0, 0), (1000, 0)]
@@ -165,7 +255,9 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert got == {**dict.fromkeys(range(400), 0), **{1000 + k: 1000 for k in range(300)}}
 
 
-@pytest.mark.parametrize("shape", ["path", "ring", "ring with a tail", "tree"])
+@pytest.mark.parametrize(
+    "shape", ["path", "ring", "ring with a tail", "tree", "ladder", "wide ladder", "ladder ring"]
+)
 def test_long_ways_take_few_rounds(spark, monkeypatch, shape):
     n = 200
     order = list(range(n))
@@ -179,6 +271,10 @@ def test_long_ways_take_few_rounds(spark, monkeypatch, shape):
         edges.append((order[50], order[100]))
     elif shape == "tree":
         edges = [(order[i // 2], order[i]) for i in range(1, n)]
+    elif "ladder" in shape:  # every node but the first few has two predecessors or more
+        ahead = (1, 2, 3, 5) if shape == "wide ladder" else (1, 2)
+        last = n if shape == "ladder ring" else 0
+        edges = [(order[i], order[(i + k) % n]) for i in range(n) for k in ahead if i + k < n + last]
     cuts = []
     monkeypatch.setattr(graph, "cut", lambda df, cut=graph.cut: cuts.append(1) or cut(df))
     df = spark.createDataFrame(edges, "src long, dst long")
@@ -199,7 +295,7 @@ def test_long_ways_take_few_rounds(spark, monkeypatch, shape):
     reach = {a: reached(a) for a in range(n)}
     seeds = [a for a in range(n) if not any(a in reach[b] for b in range(a))]
     assert got == {b: max(a for a in seeds if b in reach[a]) for b in range(n)}
-    assert len(cuts) <= 2 * (10 + 4)
+    assert len(cuts) <= (2 * (3 * 10 + 8) if "ladder" in shape else 2 * (10 + 4))
 
 
 @pytest.mark.parametrize("seed", [1, 2])

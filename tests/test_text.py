@@ -221,3 +221,47 @@ def test_layouts_are_written_in_many_parts(spark):
     own = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert sum(r["count"] for r in lines) == own + parts
+
+
+def test_files_of_a_flight_follow_its_size(spark, tmp_path):
+    import glob
+
+    many = spark.range(200_000, numPartitions=16).selectExpr("'large' AS flight", "uuid() AS a")
+    few = spark.range(16, numPartitions=16).selectExpr("concat('small', id % 4) AS flight", "uuid() AS a")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        sinks.write_layer(many.unionByName(few), str(tmp_path / "l"), by="flight")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {k: len(glob.glob(f"{tmp_path}/l/flight={k}/*.parquet")) for k in ("large", "small0", "small3")}
+    assert files["small0"] == files["small3"] == 1
+    assert 4 <= files["large"] <= 16
+    assert spark.read.parquet(str(tmp_path / "l")).count() == 200_016
+
+
+def test_decimals_are_those_of_the_exact_value(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from skytrace.functions.text import fixed_decimals
+
+    rng = random.Random(7)
+    values = [1.0005, 0.0005, 0.0015, 2.5, -2.0005, 0.9995, 0.99949999, 999.9995, 1e-300, 5e-324, -0.0, 0.0]
+    values += [2.0**53 + 2, 2.0**62, 1 / 16, 3 / 16, 1.0625, -0.0001, 123456789.0625, float("nan")]
+    values += [float("inf"), -float("inf"), 2.0**43 + 2.0**-9, 0.5, 0.4995, 0.00049999999999999]
+    values += [rng.uniform(-1, 1) * 10.0 ** rng.randrange(-6, 12) for _ in range(2000)]
+    values += [rng.randrange(-(10**7), 10**7) / 2**rng.randrange(1, 12) for _ in range(1000)]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+    for digits in (3, 1):
+        got = [r[0] for r in df.select(fixed_decimals(F.col("v"), digits)).collect()]
+        assert got == [f"{v:.{digits}f}" for v in values] + [None]
+
+
+def test_missing_inputs_are_named(spark, tmp_path):
+    from skytrace.sources.files import missing
+
+    (tmp_path / "there.txt").write_text("x")
+    paths = [str(tmp_path / "there.txt"), str(tmp_path), str(tmp_path / "gone"), f"file:{tmp_path}/lost"]
+    assert [r.path for r in missing(spark, paths).collect()] == paths[2:]
+    assert missing(spark, paths[:2]).count() == 0
