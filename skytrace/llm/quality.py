@@ -7,7 +7,6 @@ logistic curve fitted on other labelled texts, so that the score is a probabilit
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -110,8 +109,6 @@ def fit_quality(
     x = _features(held[0] + held[1], model.good, model.bad)
     centre, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
     beta = logistic((x - centre) / spread, y, weight, ridge=1e-4)
-    if not all(map(math.isfinite, beta)):
-        raise ArithmeticError("the calibration did not converge")
     return QualityModel(
         model.good, model.bad, tuple(centre), tuple(spread), tuple(map(float, beta)), prior
     )
