@@ -24,6 +24,8 @@ from skytrace.llm.bpe import tokenizer_file
 from skytrace.llm.common import column, stored
 
 CAPACITY = 2048
+#: Counts by length and task, of some 100 bytes each in memory, that are broadcast at most.
+FEW_COUNTS = 400_000
 
 
 def fillings(counts: list[int], capacity: int) -> Iterator[tuple[Counter, int]]:
@@ -196,6 +198,10 @@ def pack(
             [pa.array(sequence), pa.array(offset)], ["sequence_id", "offset"]
         )
 
+    if by_task.count() <= FEW_COUNTS:  # else pieces meet the counts by a shuffle on length and task
+        before = F.broadcast(before)
+    else:
+        before = before.hint("merge")
     ranked = cut.join(before, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("before"))
     return ranked.withColumn("place", place("length", "rank")).select(
         "doc_id",
