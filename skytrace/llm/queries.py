@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from skytrace.llm import (
     unigram,
     vectors,
 )
-from skytrace.llm.common import fold, read, scratch
+from skytrace.llm.common import fold, read, scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -72,6 +73,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's columns, and ``text``: what stays, without bytes of characters cut apart."""
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     return suffixes.without_repeats(documents, kept="kept", n_spans="n_spans").select(
@@ -80,6 +82,7 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (size - F.octet_length("kept")).alias("n_removed"),
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
+        suffixes.whole_characters()("kept").alias("text"),
     )
 
 
@@ -135,6 +138,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words",
         (~rules.verdict("base")).alias("base_failed"),
         rules.verdict("v2").alias("kept"),
+        "failed",
+    )
+
+
+@query
+def rules_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger, stored once, and what each rule of each policy rejects, counted from its bits."""
+    entries = stored(rules.ledger(read(spark, sf_dir, "documents"), keep=["doc_id"]), "rules-ledger")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            rules.ablation(entries, policy).select(F.lit(policy).alias("policy"), "*")
+            for policy in rules.POLICIES
+        ],
     )
 
 
@@ -167,24 +184,8 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(*prefix_trie.with_shared_openings(turns, convs))
 
 
-ORACLES = {
-    "op7_nearest_vectors": """
-        WITH v AS (
-            SELECT vec_id, row_number() OVER () AS row_no, embedding::DOUBLE[] AS e FROM embeddings
-            WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-        ), ranked AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score,
-                   row_number() OVER (PARTITION BY q.row_no
-                       ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
-            FROM v q JOIN v c ON q.row_no <> c.row_no AND len(q.e) = len(c.e)
-            WHERE q.vec_id % 20 = 0
-        )
-        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
-    """,
-    "op9_quality_rules": r"""
-        WITH base AS (
+# Measurements of the quality rules, and a bit for each that fails.
+_JUDGED = r"""base AS (
             SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS t,
                    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
                    string_split(coalesce(text, ''), chr(10)) AS all_lines
@@ -214,13 +215,46 @@ ORACLES = {
                    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
             FROM measured m LEFT JOIN covered c USING (row_no)
         ), judged AS (
-            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+            SELECT *, CAST(n_words < 20 AS BIGINT) + 2 * CAST(100 * n_repeat_words > 30 * n_words AS BIGINT)
+                      + 4 * CAST(20 * n_symbols > word_chars AS BIGINT)
+                      + 8 * CAST(2 * n_dup_lines > n_lines AS BIGINT)
+                      + 16 * CAST(word_chars < 2 * n_words AS BIGINT)
+                      + 32 * CAST(word_chars > 25 * n_words AS BIGINT) AS failed
+            FROM counted
+        )"""
+
+ORACLES = {
+    "op7_nearest_vectors": """
+        WITH v AS (
+            SELECT vec_id, row_number() OVER () AS row_no, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), ranked AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score,
+                   row_number() OVER (PARTITION BY q.row_no
+                       ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
+            FROM v q JOIN v c ON q.row_no <> c.row_no AND len(q.e) = len(c.e)
+            WHERE q.vec_id % 20 = 0
         )
-        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-               NOT (base_failed OR 20 * n_symbols > word_chars OR 2 * n_dup_lines > n_lines
-                    OR word_chars < 2 * n_words OR word_chars > 25 * n_words) AS kept
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+    "op9_quality_rules": f"""
+        WITH {_JUDGED}
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed
         FROM judged
     """,
+    "rules_ablation": f"""
+        WITH {_JUDGED}, rules(rule, bit) AS (
+            VALUES ('few_words', 1), ('repeated_windows', 2), ('many_symbols', 4),
+                   ('repeated_lines', 8), ('short_words', 16), ('long_words', 32)
+        ), policies(policy, mask) AS (VALUES ('base', 3), ('v1', 15), ('v2', 63))
+        SELECT policy, rule, CAST(count(*) FILTER (failed & bit <> 0) AS BIGINT) AS n_failed,
+               CAST(count(*) FILTER (failed & mask = bit) AS BIGINT) AS n_only
+        FROM policies, rules, judged WHERE mask & bit <> 0
+        GROUP BY policy, rule
+    """,
     "op11_lexical_search": r"""
         WITH words AS (
             SELECT row_no, doc_id, unnest(w) AS term, len(w) AS n

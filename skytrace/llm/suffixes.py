@@ -410,6 +410,16 @@ def without_repeats(
     )
 
 
+def whole_characters():
+    """A column function: bytes as text; what is left of a character that was cut apart is dropped."""
+
+    @F.arrow_udf("string")
+    def decoded(values: pa.Array) -> pa.Array:
+        return pa.array([(v or b"").decode("utf-8", "ignore") for v in values.to_pylist()], pa.string())
+
+    return decoded
+
+
 def suffix_dedup(documents: DataFrame, *, text_col: str = "text", length: int = 400) -> DataFrame:
     """The rows of ``documents`` with repeated strings taken out of their texts.
 
@@ -419,11 +429,7 @@ def suffix_dedup(documents: DataFrame, *, text_col: str = "text", length: int =
     kept, n_spans = fresh(documents, "kept_bytes"), fresh(documents, "kept_runs")
     cut = without_repeats(documents, text_col=text_col, length=length, kept=kept, n_spans=n_spans)
 
-    @F.arrow_udf("string")
-    def decoded(values: pa.Array) -> pa.Array:
-        return pa.array([(v or b"").decode("utf-8", "ignore") for v in values.to_pylist()])
-
-    new = F.when(F.col(f"`{text_col}`").isNotNull(), decoded(F.col(kept)))
+    new = F.when(F.col(f"`{text_col}`").isNotNull(), whole_characters()(F.col(kept)))
     cut = cut.withColumn(text_col, new).drop(kept, n_spans)
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
