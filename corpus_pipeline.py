@@ -10,8 +10,17 @@ from skytrace.llm.common import read, small_batches, stored
 from skytrace.llm.queries import fitted_quality, fitted_toxicity
 
 
+#: Bytes of the strings that the suffix stage takes out. Passages of 50 words and more are to go; of the
+#: stretches of 51 words in the test documents some 98 in 100 are longer than this.
+PASSAGE_BYTES = 256
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier calls good."""
+    """Documents that the compression classifier calls good.
+
+    Each row is judged by its whole text alone, so repeated rows stay or go together; NULL and empty
+    texts are scored like any other; columns stay as they are. This holds for the next stage, too.
+    """
     return quality.quality_filter(docs, fitted_quality(spark, docs, sf_dir))
 
 
@@ -21,19 +30,25 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: the one of least id, of equal ones any.
+
+    Texts without words are near-duplicates of each other, NULL among them.
+    """
     small_batches(spark)
     return simhash.simhash_dedup(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the long strings that they share."""
+    """Documents without the strings of ``PASSAGE_BYTES`` bytes or more that they share.
+
+    No row goes; a text may become empty. NULL stays NULL, repeated rows are copies of each other.
+    """
     small_batches(spark)
-    return suffixes.suffix_dedup(docs)
+    return suffixes.suffix_dedup(docs, length=PASSAGE_BYTES)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each piece of a document, with its place in a sequence."""
+    """A row for each piece of a document, with its place in a sequence; empty texts have one piece."""
     small_batches(spark)
     return packing.pack(
         docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
