@@ -12,7 +12,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -121,16 +121,23 @@ _ATTRIBUTE = re.compile(
 )
 
 
+#: Forms, and elements of bad name only, that something is in: the innermost one and the others.
+Chain = tuple[int, "Chain | None"]
+
+
 @dataclass(slots=True)
 class _Element:
     tag: str
     number: int
     good: bool
     bad: int
-    named: tuple[int, ...]
+    named: Chain | None
     form: bool
     silent: bool
     link: bool
+    #: Its place on the stack, and that of the innermost element around it that makes a block.
+    at: int = 0
+    holder: int = 0
 
 
 @dataclass(slots=True)
@@ -143,8 +150,8 @@ class Block:
     bad: bool
     heading: bool
     linked: float
-    #: Forms, and elements of bad name only, that it is in: their text may outweigh that.
-    named: tuple[int, ...] = ()
+    #: Their text may outweigh their name.
+    named: Chain | None = None
 
 
 def _open(tag: str, attrs: str, parent: _Element, number: int) -> _Element:
@@ -154,9 +161,9 @@ def _open(tag: str, attrs: str, parent: _Element, number: int) -> _Element:
     # An article stands for itself unless it lies beside the text, a main part even there; neither does
     # inside an aside, a footer, a list of comments or the like.
     if tag in GOOD_TAGS and bad < (SIDE if tag == "article" else FIRM):
-        good, bad, named, form = True, 0, (), False
+        good, bad, named, form = True, 0, None, False
     elif tag == "form":
-        bad, named, form = max(bad, FORM), (*named, number), True
+        bad, named, form = max(bad, FORM), (number, named), True
     elif tag in BAD_TAGS:
         bad = FIRM
     elif tag == "header" and not good:
@@ -180,7 +187,8 @@ def _open(tag: str, attrs: str, parent: _Element, number: int) -> _Element:
             level = 0  # the element outweighs the name
         if level:
             bad = max(bad, level)
-            named = (*named, number) if level < FIRM else named
+            if level < FIRM and not (named and named[0] == number):
+                named = (number, named)
         elif called_good and bad <= FORM:
             good = True
     return _Element(tag, number, good, bad, named, form, silent, parent.link or tag == "a")
@@ -204,7 +212,8 @@ def blocks(page: str | None) -> list[Block]:
     """The blocks of a page in order, references decoded and white space made single spaces."""
     page = page or ""
     found: list[Block] = []
-    stack = [_Element("", 0, False, 0, (), False, False, False)]
+    stack = [_Element("", 0, False, 0, None, False, False, False)]
+    opened: Counter[str] = Counter()  # tags on the stack, so that stray ends cost one look
     parts: list[str] = []
     linked = total = number = 0
     closed: set[int] | None = None
@@ -216,15 +225,26 @@ def blocks(page: str | None) -> list[Block]:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                holder = next(e for e in reversed(stack) if e.tag not in INLINE)
+                holder = stack[stack[-1].holder]
                 heading = len(holder.tag) == 2 and holder.tag[0] == "h" and holder.tag[1].isdigit()
                 share = linked / total if total else 0.0
-                outer = stack[max(0, stack.index(holder) - 1)] if holder.tag else holder
-                named = holder.named if holder.bad < FIRM else ()
+                outer = stack[max(0, holder.at - 1)]
+                named = holder.named if holder.bad < FIRM else None
                 bad = holder.bad > 0
                 found.append(Block(text, outer.number, holder.good, bad, heading, share, named))
         linked = total = 0
 
+    def push(element: _Element) -> None:
+        element.at = len(stack)
+        element.holder = stack[-1].holder if stack and element.tag in INLINE else element.at
+        stack.append(element)
+        opened[element.tag] += 1
+
+    def close(i: int) -> None:
+        """End the elements from place ``i`` on."""
+        opened.subtract(e.tag for e in stack[i:])
+        del stack[i:]
+
     def add(text: str) -> None:
         nonlocal linked, total
         top = stack[-1]
@@ -247,29 +267,33 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in INLINE:
             flush()
         if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    if any(e.tag not in INLINE for e in stack[i:]):
-                        flush()
-                    del stack[i:]
-                    break
+            if opened[tag]:
+                i = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag)
+                if any(e.tag not in INLINE for e in stack[i:]):
+                    flush()
+                close(i)
             continue
-        if tag == "body":
-            stack = [e for e in stack if e.tag != "head"]
+        if tag == "body" and opened["head"]:
+            kept = [e for e in stack[1:] if e.tag != "head"]
+            close(1)
+            for element in kept:
+                push(element)
         if loose and tag not in INLINE and tag not in ("option", "optgroup"):
             ended = next((i for i, e in enumerate(stack) if e.number in loose), len(stack))
-            del stack[ended:]
+            close(ended)
             loose.clear()
-        for i in range(len(stack) - 1, 0, -1):
-            if tag not in CLOSES or stack[i].tag in ("table", "ul", "ol", "dl", "div", "article"):
-                break
-            if stack[i].tag in CLOSES[tag]:
-                flush()
-                del stack[i:]
-                break
+        group = CLOSES.get(tag, ())
+        if any(opened[t] for t in group):
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].tag in ("table", "ul", "ol", "dl", "div", "article"):
+                    break
+                if stack[i].tag in group:
+                    flush()
+                    close(i)
+                    break
         if tag not in VOID and not m["attrs"].rstrip().endswith("/"):
             number += 1
-            stack.append(_open(tag, m["attrs"], stack[-1], number))
+            push(_open(tag, m["attrs"], stack[-1], number))
             if tag in CONTROLS and stack[-1].silent:
                 closed = _closed_controls(page, m.start()) if closed is None else closed
                 if m.start() not in closed:
@@ -280,23 +304,36 @@ def blocks(page: str | None) -> list[Block]:
 
 
 def _doubts(found: list[Block]) -> dict[int, float]:
-    """For each element of bad name the share of the name's weight that its text outweighs.
+    """For each element of bad name the share of its and its outer ones' weight that text outweighs.
 
     Outside of what is called good, only text beyond the text that is called good counts.
     """
-    prose: dict[int, int] = {}
+    outer: dict[int, int] = {}
+    prose: Counter[int] = Counter()
+    inside: set[int] = set()
     good = 0
     for block in found:
-        if len(block.text) >= PROSE and block.linked < 0.3:
-            good += len(block.text) if block.good and not block.bad else 0
-            for element in block.named:
-                prose[element] = prose.get(element, 0) + len(block.text)
-    inside = {element for block in found if block.good for element in block.named}
-    shares = {}
-    for element, size in prose.items():
-        size -= 0 if element in inside else good
+        long = len(block.text) >= PROSE and block.linked < 0.3
+        if long and block.good and not block.bad:
+            good += len(block.text)
+        chain = block.named
+        if chain:
+            prose[chain[0]] += len(block.text) if long else 0
+            if block.good:
+                inside.add(chain[0])
+        while chain and chain[0] not in outer:
+            outer[chain[0]] = chain[1][0] if chain[1] else 0
+            chain = chain[1]
+    # Elements are numbered as they open, so an inner one has the greater number.
+    for element in sorted(outer, reverse=True):
+        prose[outer[element]] += prose[element]
+        if element in inside:
+            inside.add(outer[element])
+    shares = {0: 1.0}
+    for element in sorted(outer):
+        size = prose[element] - (0 if element in inside else good)
         share = math.log(max(size, 1) / DOUBTED) / math.log(REFUTED / DOUBTED)
-        shares[element] = min(1.0, max(0.0, share))
+        shares[element] = min(shares[outer[element]], max(0.0, share))
     return shares
 
 
@@ -304,7 +341,7 @@ def _costs(block: Block, doubts: dict[int, float]) -> tuple[float, float]:
     """Cost of calling a block boilerplate, and of calling it content: minus log probabilities."""
     z = W_BASE + W_LINKS * block.linked + W_LONG * math.log(len(block.text))
     if block.named:
-        z += W_BAD * (1.0 - min(doubts.get(e, 0.0) for e in block.named))
+        z += W_BAD * (1.0 - doubts[block.named[0]])
         z += W_GOOD / 2 if block.good else 0.0
     elif block.bad:
         z += W_BAD
@@ -406,7 +443,11 @@ def main_text(page: str | None) -> str:
 
 
 def extract():
-    """A column function: the main text of a whole page. NULL and empty pages give empty text."""
+    """A column function: the main text of a whole page. NULL and empty pages give empty text.
+
+    Every page is read by itself and whole, in time that grows with its length, however deep its
+    elements lie; equal pages have equal texts.
+    """
 
     @F.arrow_udf("string")
     def run(pages: pa.Array) -> pa.Array:

@@ -5,14 +5,17 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+import zstandard
 
 from awkward import AWKWARD, documents
-from skytrace.llm import html_text, quality, rules, toxicity, vectors
+from skytrace.llm import common, html_text, quality, queries, rules, toxicity, vectors
 from skytrace.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -31,6 +34,73 @@ def _held_out(spark, name, label, folds, remainder):
     return held
 
 
+def _labelled():
+    """Labelled texts of a table, bad ones and good ones, in a fixed order."""
+    folder = "/root/testdata/sf0.1"
+    table = pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"])
+    texts = {r["doc_id"]: r["text"] or "" for r in table.to_pylist()}
+    labels = pq.read_table(f"{folder}/labels.parquet").to_pylist()
+    rows = [(texts[r["doc_id"]], r["quality"]) for r in labels if len(texts[r["doc_id"]]) < 20_000]
+    random.Random(3).shuffle(rows)
+    return [[t for t, y in rows if y == k] for k in (0, 1)]
+
+
+def test_calibration_converges_at_any_share_of_classes():
+    """The same texts under class shares from 0.05 to 0.95; none may lose the held-out texts."""
+    bad, good = _labelled()
+    held = good[400:900] + bad[-120:]
+    y = np.repeat([1, 0], [len(good[400:900]), 120])
+    dictionaries = [quality._dictionary(x[:200:2], 65_536) for x in (good, bad)]
+    fit = [good[1:400:2], bad[1:200:2]]
+    x = quality._features(fit[0] + fit[1], *dictionaries)
+    own = np.repeat([1.0, 0.0], [len(fit[0]), len(fit[1])])
+    centre, spread = x.mean(0), x.std(0) + 1e-9
+    design = (x - centre) / spread
+    found = {}
+    for share in (0.05, 0.2, 0.5, 0.6, 0.7, 0.857, 0.95):
+        weight = np.where(own == 1, share / len(fit[0]), (1 - share) / len(fit[1])) * len(own)
+        beta = common.logistic(design, own, weight, ridge=1e-4)
+        z = beta[0] + design @ beta[1:]
+        slope = design.T @ (weight * (1 / (1 + np.exp(-z)) - own)) + 1e-4 * weight.sum() * beta[1:]
+        assert np.abs(slope).max() <= 1e-5 * weight.sum()
+        model = quality.QualityModel(*dictionaries, tuple(centre), tuple(spread), tuple(beta), share)
+        found[share] = float(((model.score(held) >= 0.5) == y).mean())
+    assert found[0.5] >= found[0.857] - 0.02
+    assert min(found.values()) > 0.9
+
+
+def test_no_convergence_is_an_error():
+    x = np.array([[1e308], [-1e308], [1e308]])
+    with pytest.raises((ArithmeticError, np.linalg.LinAlgError)), np.errstate(all="ignore"):
+        common.logistic(x, np.array([1.0, 0.0, 0.0]), np.ones(3), ridge=0.0)
+
+
+def test_quality_scores_equal_the_formula(spark):
+    """The registered query's scores, text by text from sizes by fresh compressors."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = queries.fitted_quality(spark, docs, folder)
+    assert model.weights
+
+    def size(data, dictionary):
+        own = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+        bare = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        return len(zstandard.ZstdCompressor(level=quality.LEVEL, **bare, **own).compress(data))
+
+    got = {r.doc_id: r.score for r in QUERIES["op1_quality_classifier"](spark, folder).collect()}
+    assert len(got) == docs.count()
+    for row in docs.collect():
+        data = (row.text or "").encode()
+        g, b, p, n = (*(size(data, d) for d in (model.good, model.bad, b"")), len(data) + 1)
+        plain = [(b - g) / max(b, g), g / n, b / n, p / n, math.log(n), (b - g) / n]
+        features = plain + [v * v for v in plain] + [plain[0] * v for v in plain[1:]]
+        z = model.weights[0] + sum(
+            w * (v - c) / s
+            for w, v, c, s in zip(model.weights[1:], features, model.centre, model.spread, strict=True)
+        )
+        assert got[row.doc_id] == pytest.approx(1 / (1 + math.exp(-max(-40.0, min(40.0, z)))), abs=1e-9)
+
+
 def test_quality_on_held_out_labels(spark):
     held = _held_out(spark, "op1_quality_classifier", "quality", 3, 1)
     right = sum(row["predicted"] == y for row, y in held) / len(held)
@@ -202,6 +272,35 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><b
 <footer>&copy; Site</footer></body></html>"""
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 8000 + "</span>" * 8000,
+        '<div class="ad">x ' * 4000,
+        "<b>x</b><i>" * 8000,
+        "<section>" * 8000 + "<p>x" * 8000,
+        "<div>y" * 8000,
+    ],
+)
+def test_deep_and_stray_tags_take_little_time(page):
+    started = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - started < 1.5
+
+
+def test_pages_of_a_table(spark):
+    """NULL, empty, repeated and very long pages, and columns of clashing names."""
+    article = "<article><p>" + "A sentence of some length, and another one. " * 9 + "</p></article>"
+    pages = [None, "", article, article, "plain &amp; simple", "<nav>menu</nav>" + article * 400]
+    frame = spark.createDataFrame(
+        [(i, p, "x", 1) for i, p in enumerate(pages)], "page_id long, html string, text string, n_chars int"
+    )
+    rows = frame.select("page_id", html_text.extract()("html").alias("main")).collect()
+    assert {r.page_id: r.main for r in rows} == {i: html_text.main_text(p) for i, p in enumerate(pages)}
+    assert html_text.main_text(None) == html_text.main_text("") == ""
+    assert frame.filter("false").select(html_text.extract()("html")).collect() == []
+
+
 def test_main_text_of_pages():
     assert html_text.main_text(PAGE) == (
         "Title & more\n\nFirst bold paragraph, with a link.\n\nSecond one line <5.\n\n"

@@ -213,3 +213,9 @@ def test_digests_of_the_registered_query(spark):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(ids.tobytes()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_empty_tables(spark):
+    nothing = documents(spark, [])
+    for column in (bpe.encode(RANKS, PATTERN), bpe.round_trip(RANKS, PATTERN), unigram.token_counts(PIECES)):
+        assert nothing.select("doc_id", column("text").alias("x")).collect() == []
