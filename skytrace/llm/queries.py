@@ -76,13 +76,14 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's columns, and ``text``: what stays, without bytes of characters cut apart."""
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
-    return suffixes.without_repeats(documents, kept="kept", n_spans="n_spans").select(
+    cut = suffixes.without_repeats(documents, kept="kept", n_spans="n_spans", as_text="kept_text")
+    return cut.select(
         "doc_id",
         size.alias("n_bytes"),
         (size - F.octet_length("kept")).alias("n_removed"),
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
-        suffixes.whole_characters()("kept").alias("text"),
+        F.col("kept_text").alias("text"),
     )
 
 

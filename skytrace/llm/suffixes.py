@@ -357,9 +357,12 @@ def repeated_spans(documents: DataFrame, *, text_col: str = "text", length: int
 
 
 def remove_spans(length: int):
-    """A column function of text and spans: ``struct(kept, n_spans)``, the bytes that stay."""
+    """A column function of text and spans: ``struct(kept, n_spans, text)``, the bytes that stay.
 
-    @F.arrow_udf("struct<kept: binary, n_spans: bigint>")
+    ``text`` is the same without what is left of characters that were cut apart.
+    """
+
+    @F.arrow_udf("struct<kept: binary, n_spans: bigint, text: string>")
     def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
         data, offsets = utf8(texts)
         kept, number = [], []
@@ -380,18 +383,26 @@ def remove_spans(length: int):
                 at = b
             kept.append(b"".join([*parts, text[at:]]))
             number.append(len(first))
-        return pa.StructArray.from_arrays(
-            [pa.array(kept, pa.binary()), pa.array(number, pa.int64())], ["kept", "n_spans"]
-        )
+        text = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+        columns = [pa.array(kept, pa.binary()), pa.array(number, pa.int64()), text]
+        return pa.StructArray.from_arrays(columns, ["kept", "n_spans", "text"])
 
     return run
 
 
 def without_repeats(
-    documents: DataFrame, *, text_col: str = "text", length: int = 400, kept: str, n_spans: str
+    documents: DataFrame,
+    *,
+    text_col: str = "text",
+    length: int = 400,
+    kept: str,
+    n_spans: str,
+    as_text: str | None = None,
 ) -> DataFrame:
     """``documents`` with two more columns: the bytes that stay, and the number of removed runs.
 
+    A third one, ``as_text``, has these bytes as text, without parts of characters cut apart.
+
     A byte goes if some string of ``length`` bytes of the same text covers it and also starts
     elsewhere, in any text, as the texts came in; so of copies none keeps its long strings. NULL
     counts as empty; repeated rows are copies of each other; texts shorter than ``length`` stay
@@ -401,36 +412,28 @@ def without_repeats(
     found = repeated_spans(documents, text_col=text_col, length=length)
     text = F.coalesce(column(documents, text_col), F.lit(""))
     keys = _keys(text)
+    added = {kept: "kept", n_spans: "n_spans"} | ({as_text: "text"} if as_text else {})
     return (
         documents.withColumns({k0: keys[0], k1: keys[1]})
         .join(found.withColumnsRenamed({"k0": k0, "k1": k1, "spans": spans}), [k0, k1], "left")
         .withColumn(both, remove_spans(length)(text, F.col(spans)))
-        .withColumns({kept: F.col(f"{both}.kept"), n_spans: F.col(f"{both}.n_spans")})
-        .select(*[column(documents, c) for c in documents.columns], kept, n_spans)
+        .withColumns({name: F.col(f"{both}.{part}") for name, part in added.items()})
+        .select(*[column(documents, c) for c in documents.columns], *added)
     )
 
 
-def whole_characters():
-    """A column function: bytes as text; what is left of a character that was cut apart is dropped."""
-
-    @F.arrow_udf("string")
-    def decoded(values: pa.Array) -> pa.Array:
-        return pa.array([(v or b"").decode("utf-8", "ignore") for v in values.to_pylist()], pa.string())
-
-    return decoded
-
-
 def suffix_dedup(documents: DataFrame, *, text_col: str = "text", length: int = 400) -> DataFrame:
     """The rows of ``documents`` with repeated strings taken out of their texts.
 
     Bytes of a character that was cut apart are dropped with it. A column ``n_chars`` is brought up
     to date. NULL texts stay NULL.
     """
-    kept, n_spans = fresh(documents, "kept_bytes"), fresh(documents, "kept_runs")
-    cut = without_repeats(documents, text_col=text_col, length=length, kept=kept, n_spans=n_spans)
-
-    new = F.when(F.col(f"`{text_col}`").isNotNull(), whole_characters()(F.col(kept)))
-    cut = cut.withColumn(text_col, new).drop(kept, n_spans)
+    kept, n_spans, new = (fresh(documents, x) for x in ("kept_bytes", "kept_runs", "kept_text"))
+    cut = without_repeats(
+        documents, text_col=text_col, length=length, kept=kept, n_spans=n_spans, as_text=new
+    )
+    text = F.when(F.col(f"`{text_col}`").isNotNull(), F.col(new))
+    cut = cut.withColumn(text_col, text).drop(kept, n_spans, new)
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.char_length(F.col(f"`{text_col}`")).cast(kind))
