@@ -116,11 +116,11 @@ def union_on_carriers(
         .groupBy(*key, "a")
         .agg(F.max("b").alias("b"))
     )
-    heavy = cut(rows.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > carrier_rows))
+    heavy = rows.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > carrier_rows)
     if heavy.isEmpty():
         pieces = _in_tasks(rows, key)
     else:  # one row for carrier_rows segments or more
-        heavy = F.broadcast(heavy.drop("n"))
+        heavy = F.broadcast(cut(heavy.drop("n")))
         pieces = _in_tasks(rows.join(heavy, key, "left_anti"), key).unionByName(
             _in_ranges(rows.join(heavy, key, "left_semi"), key)
         )

@@ -142,11 +142,10 @@ def _cell_links(lines: DataFrame, ends: DataFrame, tolerance: float) -> DataFram
     step = 2 * tolerance
     side = _cell_side(tolerance)
     points = ends.select(*CELL, "x", "y").distinct()
-    crowded = cut(
-        points.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL_POINTS)
-    )
+    crowded = points.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL_POINTS)
     any_crowded = not crowded.isEmpty()
     if any_crowded:
+        crowded = cut(crowded)
         targets = _targets(points, side, tolerance)
     else:
         targets = _exact_targets(
