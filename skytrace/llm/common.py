@@ -93,10 +93,10 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) ->
         size = 1.0
         while (then := loss(beta - size * step)) > now - 1e-4 * size * (slope @ step) and size > 1e-12:
             size /= 2
-        if then >= now:  # as low as doubles can tell
+        if not then < now:  # as low as doubles can tell, or not a number
             break
         beta, now = beta - size * step, then
-    if np.abs(slope).max() > 1e-5 * weight.sum():
+    if not np.abs(slope).max() <= 1e-5 * weight.sum():
         raise ArithmeticError("the logistic regression did not converge")
     return beta
 
