@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytrace.operators.lineage import cut
+from skytrace.operators.lineage import sized as cut
 
 #: Segments on one carrier that may be swept by one task; more are swept in ranges.
 CARRIER_ROWS = 1 << 20

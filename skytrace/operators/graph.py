@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytrace.operators.lineage import cut
+from skytrace.operators.lineage import sized as cut
 
 
 def _is_star_forest(edges: DataFrame) -> bool:

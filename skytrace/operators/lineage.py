@@ -23,12 +23,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` now; later plans read it from there, and know its true size.
+    """Write ``df`` to the checkpoint folder now; later plans read it from there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """Like ``cut``, for loops: later plans also know the true size of ``df``.
 
     A plan cut by ``checkpoint()`` keeps its estimated size. Estimates multiply in joins, so after some
-    rounds of a loop they are numbers of thousands of digits, and no table counts as small.
+    rounds of a loop they are numbers of thousands of digits, and planning takes longer than running.
     """
-    return stored(df, "cut")
+    return stored(df, "sized")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ from skytrace.functions.crs import SRID, common_srid, marked, srid_of
 from skytrace.functions.exact import ExactSum
 from skytrace.operators import graph
 from skytrace.operators.dissolve import union_on_carriers
-from skytrace.operators.lineage import cut
+from skytrace.operators.lineage import sized as cut
 from skytrace.operators.sequence import CHUNK_ROWS, number_globally, with_next_vertex
 
 TOLERANCE = 10.0
