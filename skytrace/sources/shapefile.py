@@ -50,6 +50,8 @@ OPENING = 1 << 12
 BATCH = 1 << 12
 TEXT_WIDTH = 254
 FILE_BYTES = 1 << 28
+#: What a task gathers for one shapefile in all, attributes and index included, before it is written.
+HELD_BYTES = 1 << 26
 RECORD_LIMIT = (1 << 31) - FILE_BYTES - (1 << 20)
 
 # Shape type codes.
@@ -297,6 +299,7 @@ class _OpenFile:
         self.rows: list[bytes] = []
         self.count = 0
         self.size = 100
+        self.held = 0
         self.low, self.high = np.full(2, np.inf), np.full(2, -np.inf)
 
 
@@ -354,17 +357,20 @@ class ShapefileWriter(DataSourceArrowWriter):
     def write(self, iterator) -> WrittenFiles:
         files: list[str] = []
         out = _OpenFile()
+        row = 8 + self._row_width()  # of the index and of the table
         for batch in iterator:
-            sizes = np.cumsum(self._sizes(batch.column("parts")))
+            shapes = self._sizes(batch.column("parts"))
+            limits = ((np.cumsum(shapes), "size", FILE_BYTES), (np.cumsum(shapes + row), "held", HELD_BYTES))
             start = 0
             while start < len(batch):  # a slice at a time, so that a file is closed in time
-                before = int(sizes[start - 1]) if start else 0
-                room = before + max(FILE_BYTES - out.size, 1)
-                end = max(int(np.searchsorted(sizes, room, "left")) + 1, start + 1)
-                end = min(end, len(batch))
+                end = len(batch)
+                for sizes, name, limit in limits:
+                    before = int(sizes[start - 1]) if start else 0
+                    room = before + max(limit - getattr(out, name), 1)
+                    end = min(end, max(int(np.searchsorted(sizes, room, "left")) + 1, start + 1))
                 self._add(out, batch.slice(start, end - start))
                 start = end
-                if out.size >= FILE_BYTES:
+                if out.size >= FILE_BYTES or out.held >= HELD_BYTES:
                     files += self._finish(out)
                     out = _OpenFile()
         if out.count:
@@ -437,6 +443,7 @@ class ShapefileWriter(DataSourceArrowWriter):
         columns = [np.full((len(batch), 1), ord(" "), np.uint8)]
         columns += [self._cells(batch.column(n), letter, w) for n, letter, w, _ in self.fields]
         out.rows.append(np.hstack(columns).tobytes())
+        out.held += len(out.shapes[-1]) + len(out.index[-1]) + len(out.rows[-1])
 
     def _finish(self, out: _OpenFile) -> list[str]:
         stem = self.out.new_stem()
@@ -459,8 +466,11 @@ class ShapefileWriter(DataSourceArrowWriter):
             "<2i8d", 1000, self.kind, *box, 0.0, 0.0, 0.0, 0.0
         )
 
+    def _row_width(self) -> int:
+        return 1 + sum(w for _, _, w, _ in self.fields)
+
     def _table_header(self, count: int) -> bytes:
-        width = 1 + sum(w for _, _, w, _ in self.fields)
+        width = self._row_width()
         start = 33 + 32 * len(self.fields)
         head = struct.pack("<4BIHH20x", 3, 95, 7, 26, count, start, width)
         for name, letter, w, decimals in self.fields:

@@ -56,6 +56,22 @@ def test_writers_start_new_files_in_time(monkeypatch, tmp_path):
     assert sum(f.endswith(".shp") for f in done.files) > 1
 
 
+def test_shapefiles_are_closed_by_all_that_is_held(monkeypatch, tmp_path):
+    """A point takes 28 bytes, its index 8 and its text attribute 255: all of them are in memory."""
+    n = 100
+    parts = pa.array([[[{"x": float(i), "y": 1.0}]] for i in range(n)])
+    batch = pa.record_batch({"parts": parts, "name": pa.array([str(i) for i in range(n)])})
+    monkeypatch.setattr(shapefile, "HELD_BYTES", 10 * (28 + 8 + 255))
+    fields = T.StructType(
+        [T.StructField("name", T.StringType()), T.StructField("parts", shapefile.PARTS)]
+    )
+    writer = shapefile.ShapefileWriter({"path": str(tmp_path / "s"), "kind": "point"}, fields)
+    done = writer.write(iter([batch.slice(0, 37), batch.slice(37)]))
+    tables = [f for f in done.files if f.endswith(".dbf")]
+    counts = [shapefile.read_table_layout(f, "utf-8").count for f in tables]
+    assert counts == [10] * 10
+
+
 def test_las_1_4_format_8(spark, tmp_path):
     layout = np.dtype([*las.FORMATS[8], ("tail", "V3")])
     records = np.zeros(10, layout)
