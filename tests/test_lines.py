@@ -384,3 +384,50 @@ def test_no_nested_loops(spark):
     shapes = random_shapes(1, n=30)
     plan = lines.cell_links(layer(spark, shapes))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_merging_reads_its_layer_once(spark):
+    """Grouping, dissolving and the extremes share one written copy of the layer."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    rows = [
+        (i, "E - W", k, 100.0 * k, 50.0 * (i // 2) + i % 2) for i in range(8) for k in range(3)
+    ]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(counted), SCHEMA)
+    chords = lines.merge_lines(df).collect()
+    assert len(chords) == 4
+    assert read.value == len(rows)
+
+
+@pytest.mark.parametrize("size", [1.0, 1000.0])
+def test_short_segments_and_ends_meet_in_few_squares(spark, size):
+    rng = random.Random(13)
+    at = lambda: rng.uniform(-3000 * size, 3000 * size)
+    shapes = {}
+    for i in range(400):
+        x, y, turn = at(), at(), rng.uniform(0, 2 * math.pi)
+        far = rng.choice([0, 8, 45, 300]) * size
+        shapes[i] = ("E - W", [(x, y), (x + far * math.cos(turn), y + far * math.sin(turn))])
+    for i in range(400):  # ends close to the limit
+        (ax, ay), (bx, by) = shapes[i][1]
+        t, turn = rng.random(), rng.uniform(0, 2 * math.pi)
+        off = rng.uniform(9.9, 10.1) * size
+        x, y = ax + t * (bx - ax) + off * math.cos(turn), ay + t * (by - ay) + off * math.sin(turn)
+        shapes[400 + i] = ("E - W", [(x, y), (x + size, y)])
+    df = layer(spark, shapes)
+    squares = lines._touched_squares(lines._with_level(df, 20.0 * size), 40.0 * size)
+    # A box of a piece touches four squares at most; on average it is two or so.
+    assert squares.count() < 2.6 * sum(
+        max(1, math.ceil(math.dist(*v) / (40 * size))) for _, v in shapes.values()
+    )
+    got = {(r.cx, r.cy, r.row_id) for r in lines.cell_links(df, 10.0 * size).collect()}
+    want = set()
+    for _, v in shapes.values():
+        for p in v:
+            cell = (math.floor(p[0] / (0.7 * 10 * size)), math.floor(p[1] / (0.7 * 10 * size)))
+            want |= {(*cell, j) for j, (_, s) in shapes.items() if near(p, s, 10 * size)}
+    assert got == want
