@@ -3,6 +3,7 @@
 import random
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from skytrace.operators import dissolve, lines
@@ -100,3 +101,15 @@ def test_carriers_are_exact():
     assert dissolve._carrier(5.0, 1.0, 5.0, 9.0) == dissolve._carrier(5.0, -7.0, 5.0, -9.0)
     assert dissolve._carrier(1e-300, 0.0, 1e300, 0.0) == dissolve._carrier(0.0, 0.0, 1.0, 0.0)
     assert dissolve._carrier(1.0, None, 2.0, 3.0) == dissolve._carrier(1.0, float("nan"), 2.0, 3.0)
+
+
+def test_carriers_by_column_equal_those_by_row(monkeypatch):
+    rng = np.random.default_rng(5)
+    whole = rng.integers(-9, 9, (4, 2000)).astype(float)
+    parts = [whole, whole / 8, rng.integers(-(2**29), 2**29, (4, 500)).astype(float)]
+    odd = [rng.normal(0, 1e5, (4, 500)), rng.integers(-9, 9, (4, 500)) * 1e300]
+    odd += [rng.choice([0.0, -0.0, 5e-324, np.nan, np.inf, 2.0**30, 0.5 + 2.0**30], (4, 500))]
+    every = np.hstack(parts + odd)
+    assert dissolve._carriers(every).to_pylist() == [dissolve._carrier(*r) for r in every.T.tolist()]
+    monkeypatch.delattr(dissolve, "_carrier")  # whole numbers and eighths take no step row by row
+    assert dissolve._carriers(np.hstack(parts)).null_count == 0
