@@ -322,8 +322,9 @@ def _doubts(found: list[Block]) -> dict[int, float]:
             if block.good:
                 inside.add(chain[0])
         while chain and chain[0] not in outer:
-            outer[chain[0]] = chain[1][0] if chain[1] else 0
-            chain = chain[1]
+            above = chain[1] if len(chain) > 1 else None  # a chain of one has nothing outside
+            outer[chain[0]] = above[0] if above else 0
+            chain = above
     # Elements are numbered as they open, so an inner one has the greater number.
     for element in sorted(outer, reverse=True):
         prose[outer[element]] += prose[element]
