@@ -205,6 +205,49 @@ def test_runs_do_not_depend_on_blocks():
         assert (low, high, len(starts), set(rows)) == (0, 3000, 2601, {0})
 
 
+def test_a_hot_text_or_passage_is_split_over_tasks(spark, monkeypatch):
+    """Joins of many copies, and of a passage that many texts hold, are open to AQE."""
+    rng = random.Random(5)
+    copied, passage = (" ".join(f"{c}{rng.random()}" for _ in range(60)) for c in "cp")
+    texts = [copied + passage] * 500
+    texts += [f"{rng.random()} {rng.random()} {passage} {rng.random()}" for _ in range(500)]
+    texts += [" ".join(f"o{rng.random()}" for _ in range(30)) for _ in range(200)]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    plans = {}
+
+    def final(df):
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+    def watched(df, name):
+        plans.setdefault(name, final(df))
+        return kept(df, name)
+
+    kept = suffixes.stored
+    monkeypatch.setattr(suffixes, "stored", watched)
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        frame = documents(spark, list(enumerate(texts))).repartition(24)
+        cut = suffixes.without_repeats(frame, kept="kept_", n_spans="n_spans")
+        plans["rows"] = final(cut)
+        own = {r["doc_id"]: (len(r["kept_"]), r["n_spans"]) for r in cut.collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    expected = _without_repeats(texts, 400)
+    assert [own[i] for i in range(len(texts))] == [row[:2] for row in expected]
+    joins = {"suffix-shared": 1, "suffix-judged": 2, "suffix-contexts": 1, "rows": 1}
+    assert {name: plans[name].count("skew=true") for name in joins} == joins
+
+
 def test_suffix_dedup_returns_the_columns(spark):
     passage = " ".join(f"passage{i}" for i in range(60))
     rows = [(1, f"begin {passage} end"), (2, f"other start {passage} other end"), (3, None)]
